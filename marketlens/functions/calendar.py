@@ -41,4 +41,5 @@ def date_spine(bounds: DataFrame, low: str, high: str) -> DataFrame:
 
 def label_spine(spark: SparkSession, name: str, labels: list[str]) -> DataFrame:
     """The fixed labels of a band with their order."""
-    return spark.createDataFrame(list(enumerate(labels, 1)), f"_order int, {name} string")
+    words = F.array(*[F.lit(label) for label in labels])
+    return spark.range(1).select(F.posexplode(words).alias("_order", name))

@@ -52,8 +52,11 @@ def running_totals(cells: DataFrame, keys: list[str], unit: str, weight: str,
 
 
 def exact_percentiles(df: DataFrame, keys: list[str], value: str, scale: int,
-                      fractions: dict[str, tuple[int, int]]) -> DataFrame:
-    """Interpolated percentiles per group; a fraction is (numerator, denominator)."""
+                      fractions: dict[str, tuple[int, int]], size: str | None = None) -> DataFrame:
+    """Interpolated percentiles per group; a fraction is (numerator, denominator).
+
+    `size` names a column for the number of values, when the caller wants it.
+    """
     cells = (df.filter(F.col(value).isNotNull())
              .groupBy(*keys, units(value, scale).alias("_unit"))
              .agg(F.count(F.lit(1)).alias("_n")))
@@ -67,7 +70,7 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, scale: int,
             covers = (F.col("_before") <= k) & (k < F.col("_before") + F.col("_n"))
             aggregates.append(F.max(F.when(covers, F.col("_unit"))).alias(f"{name}_{side}"))
     picked = placed.groupBy(*keys).agg(F.max("_total").alias("_total"), *aggregates)
-    results = []
+    results = [F.col("_total").alias(size)] if size else []
     for name, (top, bottom) in fractions.items():
         lo, hi = (F.col(f"{name}_{side}").cast("decimal(20,0)") for side in ("lo", "hi"))
         part = ((F.col("_total") - 1) * top % bottom).cast("decimal(10,0)")

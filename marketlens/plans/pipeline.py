@@ -2,30 +2,68 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlens.plans.clean import clean_tables
+from marketlens.plans.clean import Cleaned, clean_tables
 from marketlens.plans.quality import (
     assert_checks, issue_counts, issue_log, quality_metrics, quarantined_records, run_checks,
-    run_summary,
+    run_summary, stamp_loaded,
 )
 from marketlens.session import Workspace, tune
 
 
-def curate(spark: SparkSession, raw: dict[str, DataFrame], label: str,
-           catalog: DataFrame | None = None, verify: bool = False) -> dict[str, DataFrame]:
-    """Clean the raw tables; returns the ten curated tables read back from the work folder."""
-    tune(spark)
-    workspace = Workspace(spark, label)
-    cleaned = clean_tables(raw, workspace, catalog)
-    if verify:
-        assert_checks(run_checks(cleaned.curated))
-    counts = workspace.stage(issue_counts(cleaned), "issue_counts")
-    return {
-        **cleaned.curated,
-        "data_quality_metrics": workspace.stage(
-            quality_metrics(raw, cleaned.curated), "quality_metrics"),
-        "data_quality_issue_log": issue_log(counts),
-        "quarantined_records": quarantined_records(cleaned, workspace),
-        "pipeline_run_summary": workspace.stage(run_summary(raw, cleaned, counts), "run_summary"),
-    }
+class Run:
+    """One cleaning run. Every table is computed on first use and stored in the work folder."""
+
+    def __init__(self, spark: SparkSession, raw: dict[str, DataFrame], label: str,
+                 catalog: DataFrame | None = None):
+        tune(spark)
+        self.raw = raw
+        self.catalog = catalog
+        self.workspace = Workspace(spark, label)
+
+    @cached_property
+    def cleaned(self) -> Cleaned:
+        return clean_tables(self.raw, self.workspace, self.catalog)
+
+    @property
+    def curated(self) -> dict[str, DataFrame]:
+        return self.cleaned.curated
+
+    @cached_property
+    def issue_counts(self) -> DataFrame:
+        return self.workspace.stage(issue_counts(self.cleaned), "issue_counts")
+
+    @cached_property
+    def issue_log(self) -> DataFrame:
+        return issue_log(self.issue_counts)
+
+    @cached_property
+    def quality_metrics(self) -> DataFrame:
+        return self.workspace.stage(quality_metrics(self.raw, self.curated), "quality_metrics")
+
+    @cached_property
+    def quarantined_records(self) -> DataFrame:
+        return quarantined_records(self.cleaned, self.workspace)
+
+    @cached_property
+    def run_summary(self) -> DataFrame:
+        return self.workspace.stage(
+            run_summary(self.raw, self.cleaned, self.issue_counts), "run_summary")
+
+    def verify(self) -> None:
+        """Raise unless all load assertions hold on the curated tables."""
+        assert_checks(run_checks(self.curated))
+
+    def tables(self, loaded: bool = False) -> dict[str, DataFrame]:
+        """The curated six plus the four quality and operations tables."""
+        summary = stamp_loaded(self.run_summary) if loaded else self.run_summary
+        return {
+            **self.curated,
+            "data_quality_metrics": self.quality_metrics,
+            "data_quality_issue_log": self.issue_log,
+            "quarantined_records": self.quarantined_records,
+            "pipeline_run_summary": summary,
+        }

@@ -101,36 +101,44 @@ def issue_log(counts: DataFrame) -> DataFrame:
 
 # --- quality scores ------------------------------------------------------------------------
 
-def completeness(tables: dict[str, DataFrame]) -> DataFrame:
-    return _union([
-        passed_counts(tables[table], {c: F.col(c).isNotNull() for c in columns})
-        for table, columns in REQUIRED_COLUMNS.items()])
-
-
-def validity(tables: dict[str, DataFrame]) -> DataFrame:
-    checks = {
-        "dim_vehicle": {
-            "mileage": N.valid_mileage("mileage_km"),
-            "market_value": N.above("estimated_market_value", 0),
-            "year": N.valid_year("manufacture_year"),
-        },
-        "dim_dealer": {"rating": N.valid_rating("dealer_rating")},
-        "fact_inquiry": {"inquiry_date": N.to_day("inquiry_date").isNotNull()},
-        "fact_quote": {
-            "amount": N.valid_quote_amount("quote_amount"),
-            "quote_date": N.to_day("quote_date").isNotNull(),
-            "response": N.at_or_above("response_time_hours", 0),
-        },
-    }
-    return _union([passed_counts(tables[table], rules) for table, rules in checks.items()])
+VALIDITY = {
+    "dim_vehicle": {
+        "mileage": N.valid_mileage, "market_value": lambda c: N.above(c, 0),
+        "year": N.valid_year,
+    },
+    "dim_dealer": {"rating": N.valid_rating},
+    "fact_inquiry": {"inquiry_date": lambda c: N.to_day(c).isNotNull()},
+    "fact_quote": {
+        "amount": N.valid_quote_amount, "quote_date": lambda c: N.to_day(c).isNotNull(),
+        "response": lambda c: N.at_or_above(c, 0),
+    },
+}
+VALIDITY_COLUMNS = {
+    "mileage": "mileage_km", "market_value": "estimated_market_value",
+    "year": "manufacture_year", "rating": "dealer_rating", "inquiry_date": "inquiry_date",
+    "amount": "quote_amount", "quote_date": "quote_date", "response": "response_time_hours",
+}
 
 
-def uniqueness(tables: dict[str, DataFrame]) -> DataFrame:
+def field_checks(tables: dict[str, DataFrame]) -> DataFrame:
+    """Completeness and validity (metric_name, check, passed, checked), one pass per table."""
+    parts = []
+    for table, required in REQUIRED_COLUMNS.items():
+        checks = {f"completeness_rate:{c}": F.col(c).isNotNull() for c in required}
+        checks |= {f"validity_rate:{name}": rule(VALIDITY_COLUMNS[name])
+                   for name, rule in VALIDITY.get(table, {}).items()}
+        parts.append(passed_counts(tables[table], checks))
+    return _union(parts).withColumns({
+        "metric_name": F.substring_index("check", ":", 1),
+        "check": F.substring_index("check", ":", -1)})
+
+
+def uniqueness_checks(tables: dict[str, DataFrame]) -> DataFrame:
     return _union([
         tables[table].agg(F.lit(key).alias("check"), N.rows().alias("checked"),
                           duplicate_count(key).alias("_twice"))
         .select("check", (F.col("checked") - F.col("_twice")).alias("passed"), "checked")
-        for table, key in KEYS.items()])
+        for table, key in KEYS.items()]).withColumn("metric_name", F.lit("uniqueness_rate"))
 
 
 FOREIGN_KEYS = [
@@ -142,42 +150,30 @@ FOREIGN_KEYS = [
 ]
 
 
-def integrity(tables: dict[str, DataFrame]) -> DataFrame:
+def integrity_checks(tables: dict[str, DataFrame]) -> DataFrame:
     return _union([
         orphan_counts(tables[child], foreign, tables[parent], key)
         .select(F.lit(f"{child}.{foreign}").alias("check"), F.col("resolved").alias("passed"),
                 "checked")
-        for child, foreign, parent, key in FOREIGN_KEYS])
+        for child, foreign, parent, key in FOREIGN_KEYS]).withColumn(
+        "metric_name", F.lit("referential_integrity_rate"))
 
 
-DIMENSIONS = {
-    "completeness_rate": completeness,
-    "validity_rate": validity,
-    "uniqueness_rate": uniqueness,
-    "referential_integrity_rate": integrity,
-}
+def dimension_checks(tables: dict[str, DataFrame]) -> DataFrame:
+    """Every single check of the four quality dimensions of one table set."""
+    return _union([field_checks(tables), uniqueness_checks(tables), integrity_checks(tables)])
 
 
 def quality_metrics(raw: dict[str, DataFrame], curated: dict[str, DataFrame]) -> DataFrame:
     """Four dimensions and the check-weighted overall score, before and after cleaning."""
-    parts = [
-        measure(tables).agg(F.sum("passed").alias("passed_records"),
-                            F.sum("checked").alias("total_records"))
-        .select(F.lit(name).alias("metric_name"), F.lit(stage).alias("stage"),
-                F.coalesce("passed_records", F.lit(0)).alias("passed_records"),
-                F.coalesce("total_records", F.lit(0)).alias("total_records"))
-        for stage, tables in (("Raw", raw), ("Processed", curated))
-        for name, measure in DIMENSIONS.items()]
-    found = _union(parts)
-    # Eight rows: the grouping set with the NULL metric is the overall score of the stage.
-    scored = found.groupBy("stage", "metric_name").agg(
-        F.sum("passed_records").alias("passed_records"),
-        F.sum("total_records").alias("total_records"))
-    overall = found.groupBy("stage").agg(
-        F.lit("overall_data_quality_score").alias("metric_name"),
-        F.sum("passed_records").alias("passed_records"),
-        F.sum("total_records").alias("total_records"))
-    return scored.unionByName(overall).select(
+    checks = _union([
+        dimension_checks(tables).withColumn("stage", F.lit(stage))
+        for stage, tables in (("Raw", raw), ("Processed", curated))])
+    names = F.array(F.col("metric_name"), F.lit("overall_data_quality_score"))
+    scored = checks.withColumn("metric_name", F.explode(names)).groupBy(
+        "metric_name", "stage").agg(
+        F.sum("passed").alias("passed_records"), F.sum("checked").alias("total_records"))
+    return scored.select(
         "metric_name", "stage", "passed_records", "total_records",
         N.bounded_rate(F.col("passed_records"), F.col("total_records")).alias("rate"),
         _lookup_literal(DIMENSION_TEXT, "metric_name").alias("description"),

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.functions.calendar import date_spine
+from marketlens.session import Workspace
 
 # Source words as the raw layer spells them.
 LEAD_TEXT = {
@@ -218,9 +219,14 @@ def dates(spark: SparkSession, folder: str) -> DataFrame:
         F.struct("date").alias("_ordinal"))
 
 
-def raw_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+def raw_tables(spark: SparkSession, folder: str,
+               workspace: Workspace | None = None) -> dict[str, DataFrame]:
+    """The six raw tables; with a workspace they are landed once and read back from there."""
     builders = {
         "dim_customer": customers, "dim_vehicle": vehicles, "dim_dealer": dealers,
         "fact_inquiry": inquiries, "fact_quote": quotes, "dim_date": dates,
     }
-    return {name: build(spark, folder) for name, build in builders.items()}
+    tables = {name: build(spark, folder) for name, build in builders.items()}
+    if workspace is None:
+        return tables
+    return {name: workspace.stage(df, f"raw_{name}") for name, df in tables.items()}
