@@ -8,6 +8,8 @@ and values inside a block, so no window partition holds more than about sqrt(ran
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -72,32 +74,57 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, scale: int,
     picked = placed.groupBy(*keys).agg(F.max("_total").alias("_total"), *aggregates)
     results = [F.col("_total").alias(size)] if size else []
     for name, (top, bottom) in fractions.items():
-        lo, hi = (F.col(f"{name}_{side}").cast("decimal(20,0)") for side in ("lo", "hi"))
-        part = ((F.col("_total") - 1) * top % bottom).cast("decimal(10,0)")
-        results.append(((lo * bottom + (hi - lo) * part) / F.lit(bottom * 10 ** scale))
-                       .cast(f"decimal(28,{scale + 4})").alias(name))
+        lo, hi = (F.col(f"{name}_{side}").cast("decimal(18,0)") for side in ("lo", "hi"))
+        part = ((F.col("_total") - 1) * top % bottom).cast("decimal(4,0)") / F.lit(bottom)
+        exact = (lo + (hi - lo) * part.cast("decimal(6,4)")).cast("decimal(22,4)")
+        unit = F.lit(Decimal(1).scaleb(-scale)).cast(f"decimal({scale},{scale})")
+        results.append((exact * unit).cast(f"decimal(28,{scale + 4})").alias(name))
     return picked.select(*keys, *results)
 
 
+def _ranks(cells: DataFrame, keys: list[str], name: str, method: str,
+           descending: bool) -> DataFrame:
+    """(keys, `_ranked`, rank) of every distinct value from cells (keys, `_unit`, `_n`)."""
+    if method == "dense_rank":
+        cells = cells.withColumn("_n", F.lit(1))
+    placed = running_totals(cells, keys, "_unit", "_n")
+    ahead = F.col("_total") - F.col("_before") - F.col("_n") if descending else F.col("_before")
+    if method == "percent_rank":
+        rank = F.when(F.col("_total") > 1, ahead / (F.col("_total") - 1)).otherwise(F.lit(0.0))
+    else:
+        rank = (ahead + 1).cast("bigint")
+    return placed.select(*keys, F.col("_unit").alias("_ranked"), rank.alias(name))
+
+
 def value_ranks(df: DataFrame, unit: str, name: str, method: str = "rank",
                 descending: bool = False) -> DataFrame:
     """`rank`, `dense_rank` or `percent_rank` of a whole-number column over all rows.
 
     Ranks are computed per distinct value and joined back; rows with a NULL value get NULL.
     """
-    cells = (df.filter(F.col(unit).isNotNull())
-             .groupBy(unit).agg(F.count(F.lit(1)).alias("_rows")))
-    cells = cells.withColumn("_n", F.lit(1) if method == "dense_rank" else F.col("_rows"))
-    placed = running_totals(cells, [], unit, "_n")
-    ahead = F.col("_total") - F.col("_before") - F.col("_n") if descending else F.col("_before")
-    if method == "percent_rank":
-        rank = F.when(F.col("_total") > 1, ahead / (F.col("_total") - 1)).otherwise(F.lit(0.0))
-    else:
-        rank = (ahead + 1).cast("bigint")
-    ranks = placed.select(F.col(unit).alias("_ranked"), rank.alias(name))
+    cells = (df.filter(F.col(unit).isNotNull()).groupBy(F.col(unit).alias("_unit"))
+             .agg(F.count(F.lit(1)).alias("_n")))
+    ranks = _ranks(cells, [], name, method, descending)
     return df.join(ranks, F.col(unit) == F.col("_ranked"), "left").drop("_ranked")
 
 
+def several_ranks(df: DataFrame, key: str, columns: dict[str, Column],
+                  method: str = "rank") -> DataFrame:
+    """(key, one rank per column): the columns are stacked and ranked in a single pass."""
+    entries = F.explode(F.array(*[
+        F.struct(F.lit(name).alias("_which"), unit.cast("bigint").alias("_unit"))
+        for name, unit in columns.items()]))
+    stacked = df.select(key, entries.alias("_e")).select(key, "_e.*").filter(
+        "_unit is not null")
+    cells = stacked.groupBy("_which", "_unit").agg(F.count(F.lit(1)).alias("_n"))
+    ranks = _ranks(cells, ["_which"], "_rank", method, False).withColumnRenamed(
+        "_which", "_column")
+    return (stacked.join(ranks, (F.col("_which") == F.col("_column"))
+                         & (F.col("_unit") == F.col("_ranked")))
+            .groupBy(key).agg(*[F.max(F.when(F.col("_which") == name, F.col("_rank")))
+                                .alias(name) for name in columns]))
+
+
 def tile_summary(df: DataFrame, tiles: int, value: str, scale: int, flag: str,
                  tile_name: str) -> DataFrame:
     """NTILE over all rows ordered by (value, flag), summarised per tile.

@@ -10,9 +10,12 @@ from marketlens.functions import numbers as N
 from marketlens.functions.bands import band_below, band_upto
 from marketlens.functions.calendar import month_of
 from marketlens.operators.joins import one_row
-from marketlens.operators.order_stats import exact_percentiles, tile_summary, value_ranks
+from marketlens.operators.order_stats import (
+    exact_percentiles, several_ranks, tile_summary, value_ranks,
+)
 from marketlens.plans.views import Tables, dealer_performance, quote_vehicle
 from marketlens.schema import AGE_BANDS, RESPONSE_BANDS
+from marketlens.session import cut
 
 
 
@@ -229,20 +232,18 @@ def q18(t: Tables, min_quotes: int = 250) -> DataFrame:
     Percent ranks are whole positions over (dealers - 1), so the score is kept as a whole
     number until it is shown and equal scores tie exactly. No step sorts all dealers at once.
     """
-    df = dealer_performance(t).filter(F.col("total_quotes") >= min_quotes)
-    parts = {"win": ("dealer_win_rate", 4), "hours": ("average_response_time_hours", 2),
-             "market": ("average_quote_to_market_ratio", 4)}
-    for name, (column, scale) in parts.items():
-        df = df.withColumn(f"_{name}", (F.col(column) * 10 ** scale).cast("bigint"))
-        df = value_ranks(df, f"_{name}", f"_{name}_rank", "rank")
-    size = df.agg(N.rows().alias("_dealers"))
+    df = cut(dealer_performance(t).filter(F.col("total_quotes") >= min_quotes))
+    ranks = several_ranks(df, "dealer_id", {
+        "_win": F.col("dealer_win_rate") * 10_000,
+        "_hours": F.col("average_response_time_hours") * 100,
+        "_market": F.col("average_quote_to_market_ratio") * 10_000})
     last = F.col("_dealers") - 1
     # One minus the percent rank is one for a single dealer, when all percent ranks are zero.
-    speed = F.when(last == 0, F.lit(1)).otherwise(last - (F.col("_hours_rank") - 1))
-    points = (F.col("_win_rank") - 1) * 2 + speed + (F.col("_market_rank") - 1)
-    df = one_row(df, size).withColumn("_points", points.cast("bigint"))
-    df = value_ranks(df, "_points", "dealer_rank", "rank", descending=True)
-    return df.select(
+    speed = F.when(last == 0, F.lit(1)).otherwise(last - (F.col("_hours") - 1))
+    points = (F.col("_win") - 1) * 2 + speed + (F.col("_market") - 1)
+    scored = one_row(df.join(ranks, "dealer_id"), df.agg(N.rows().alias("_dealers")))
+    scored = cut(scored.withColumn("_points", points.cast("bigint")))
+    return value_ranks(scored, "_points", "dealer_rank", descending=True).select(
         "dealer_id", "dealer_name", "dealer_region", "total_quotes", "dealer_win_rate",
         "average_response_time_hours", "average_quote_to_market_ratio",
         N.ratio_up(F.col("_points"), F.greatest(last, F.lit(1)) * 4, 4).alias("composite_score"),

@@ -35,6 +35,14 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """Store an intermediate result that several branches read, in the checkpoint folder."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()
+
+
 class Workspace:
     """Materialises stage tables as Parquet, so a lost executor never replays the whole job."""
 
