@@ -29,16 +29,27 @@ def within(value: Column, low, high) -> Column:
 
 
 def valid_mileage(value: str | Column) -> Column:
-    return within(to_number(value), 0, MAX_MILEAGE)
+    return mileage_in_range(to_number(value))
+
+
+def mileage_in_range(number: Column) -> Column:
+    return within(number, 0, MAX_MILEAGE)
 
 
 def valid_quote_amount(value: str | Column) -> Column:
-    amount = to_number(value)
-    return F.coalesce((amount > 0) & (amount <= MAX_QUOTE_AMOUNT), F.lit(False))
+    return amount_in_range(to_number(value))
+
+
+def amount_in_range(number: Column) -> Column:
+    return F.coalesce((number > 0) & (number <= MAX_QUOTE_AMOUNT), F.lit(False))
 
 
 def valid_year(value: str | Column) -> Column:
-    return within(to_number(value), *YEAR_RANGE)
+    return year_in_range(to_number(value))
+
+
+def year_in_range(number: Column) -> Column:
+    return within(number, *YEAR_RANGE)
 
 
 def valid_rating(value: str | Column) -> Column:

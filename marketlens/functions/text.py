@@ -95,8 +95,11 @@ def prettify(value: str | Column) -> Column:
     return F.initcap(F.replace(_col(value), F.lit("_"), F.lit(" ")))
 
 
-def record_json(columns: list[str], missing: str = "<NULL>") -> Column:
-    """One JSON document per row with keys in sorted order; NULL is spelled out."""
+def record_json(columns: list[str], prefix: str = "", missing: str = "<NULL>") -> Column:
+    """One JSON document per row with keys in sorted order; NULL is spelled out.
+
+    `prefix` is the part of the column names that the keys do not carry.
+    """
     return F.to_json(F.struct(*[
-        F.coalesce(F.col(name).cast("string"), F.lit(missing)).alias(name)
+        F.coalesce(F.col(prefix + name).cast("string"), F.lit(missing)).alias(name)
         for name in sorted(columns)]))

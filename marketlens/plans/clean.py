@@ -53,8 +53,7 @@ def _tag(df: DataFrame, table: str, rules: list[tuple[str, Column]], columns: di
          fixes: dict[str, Column]) -> DataFrame:
     """Final projection of a tagged table; only rejects carry the original row as JSON."""
     tagged = df.withColumn("_rule", first_failure(rules))
-    payload = T.record_json([f"raw_{name}" for name in RAW_COLUMNS[table]])
-    payload = F.regexp_replace(payload, '"raw_', '"')
+    payload = T.record_json(RAW_COLUMNS[table], prefix="raw_")
     return tagged.select(
         *[expression.alias(name) for name, expression in columns.items()],
         *[flag.alias(f"_fix_{name}") for name, flag in fixes.items()],
@@ -69,9 +68,11 @@ def _typed(df: DataFrame, table: str) -> DataFrame:
 
 def tag_customers(raw: DataFrame) -> DataFrame:
     df = flag_later_copies(_prepare(raw, "dim_customer", ["customer_id"]), ["customer_id"])
-    created = N.to_day("raw_customer_created_date")
-    canton = T.business_key("raw_canton")
-    lead = T.canonical("raw_lead_source", LEAD_SOURCES)
+    df = df.withColumns({
+        "_created": N.to_day("raw_customer_created_date"),
+        "_canton": T.business_key("raw_canton"),
+        "_lead": T.canonical("raw_lead_source", LEAD_SOURCES)})
+    created, canton, lead = F.col("_created"), F.col("_canton"), F.col("_lead")
     survives = ~F.col("_later_copy") & created.isNotNull()
     return _tag(
         df, "dim_customer",
@@ -97,12 +98,16 @@ def tag_vehicles(raw: DataFrame, catalog: DataFrame | None = None) -> DataFrame:
         df = lookup(df, names, F.lower(T.clean_text("raw_brand")), "_spelling",
                     {"_brand": "_brand"})
         brand = F.col("_brand")
-    fuel = T.canonical("raw_fuel_type", FUEL_TYPES)
-    wrong_sign, mileage = N.fix_sign(N.to_number("raw_mileage_km"))
-    value = N.to_number("raw_estimated_market_value")
+    df = df.withColumns({
+        "_fuel": T.canonical("raw_fuel_type", FUEL_TYPES),
+        "_km": N.to_number("raw_mileage_km"),
+        "_price": N.to_number("raw_estimated_market_value"),
+        "_year": N.to_number("raw_manufacture_year")})
+    fuel, value, year = F.col("_fuel"), F.col("_price"), F.col("_year")
+    wrong_sign, mileage = N.fix_sign(F.col("_km"))
     kilometres = F.bround(mileage, 0)
-    invalid = (~N.valid_mileage(mileage) | ~N.above(value, 0)
-               | ~N.valid_year("raw_manufacture_year"))
+    invalid = (~N.mileage_in_range(mileage) | ~F.coalesce(value > 0, F.lit(False))
+               | ~N.year_in_range(year))
     money = F.bround(value, 2)
     first = ~F.col("_later_copy")
     return _tag(
@@ -110,7 +115,7 @@ def tag_vehicles(raw: DataFrame, catalog: DataFrame | None = None) -> DataFrame:
         [("duplicate_primary_key", F.col("_later_copy")), ("invalid_vehicle_domain", invalid)],
         {"vehicle_id": F.col("vehicle_id"), "brand": brand, "model": T.clean_text("raw_model"),
          "vehicle_type": T.title_case("raw_vehicle_type"), "fuel_type": T.or_unknown(fuel),
-         "manufacture_year": N.to_number("raw_manufacture_year").try_cast("smallint"),
+         "manufacture_year": year.try_cast("smallint"),
          "mileage_km": kilometres.try_cast("int"),
          "estimated_market_value": money.try_cast("decimal(12,2)"),
          "vehicle_condition": T.canonical("raw_vehicle_condition", VEHICLE_CONDITIONS),
@@ -156,7 +161,8 @@ def tag_inquiries(raw: DataFrame, customers: DataFrame, vehicles: DataFrame) ->
     df = lookup(df, vehicles.withColumn("_known", F.lit(True)), "vehicle_id", "vehicle_id",
                 {"manufacture_year": "_year", "estimated_market_value": "_value",
                  "_known": "_vehicle"})
-    day = N.to_day("raw_inquiry_date")
+    df = df.withColumn("_day", N.to_day("raw_inquiry_date"))
+    day = F.col("_day")
     orphan = ((F.col("customer_id").isNotNull() & F.col("_customer").isNull())
               | (F.col("vehicle_id").isNotNull() & F.col("_vehicle").isNull()))
     return _tag(
@@ -175,7 +181,7 @@ def tag_inquiries(raw: DataFrame, customers: DataFrame, vehicles: DataFrame) ->
          "days_to_conversion": N.to_number("raw_days_to_conversion").try_cast("smallint"),
          "estimated_market_value": F.col("_value"),
          "vehicle_age_at_inquiry": (F.year(day) - F.col("_year")).cast("smallint"),
-         "_payload_source": T.record_json([f"raw_{c}" for c in RAW_COLUMNS["fact_inquiry"]])},
+         "_payload_source": T.record_json(RAW_COLUMNS["fact_inquiry"], prefix="raw_")},
         {})
 
 
@@ -186,13 +192,15 @@ def tag_quotes(raw: DataFrame, inquiries: DataFrame, dealers: DataFrame) -> Data
                 {"_known": "_dealer"})
     df = lookup(df, inquiries, "inquiry_id", "inquiry_id",
                 {"inquiry_date": "_inquired", "inquiry_id": "_inquiry"})
-    day, amount = N.to_day("raw_quote_date"), N.to_number("raw_quote_amount")
+    df = df.withColumns({"_day": N.to_day("raw_quote_date"),
+                         "_amount": N.to_number("raw_quote_amount")})
+    day, amount = F.col("_day"), F.col("_amount")
     orphan = ((F.col("inquiry_id").isNotNull() & F.col("_inquiry").isNull())
               | (F.col("dealer_id").isNotNull() & F.col("_dealer").isNull()))
     return _tag(
         df, "fact_quote",
         [("duplicate_primary_key", F.col("_later_copy")),
-         ("invalid_quote_domain", day.isNull() | ~N.valid_quote_amount(amount)),
+         ("invalid_quote_domain", day.isNull() | ~N.amount_in_range(amount)),
          ("invalid_quote_foreign_key", orphan),
          ("quote_date_sequence", ~N.date_sequence(day, F.col("_inquired")))],
         {"quote_id": F.col("quote_id"), "inquiry_id": F.col("inquiry_id"),
@@ -241,7 +249,6 @@ def reconcile_inquiries(inquiries: DataFrame, quotes: DataFrame) -> DataFrame:
     converted = F.col("conversion_flag") & ~lost
     spread = F.col("highest") - F.col("lowest")
     no_quote = F.col("quote_count").isNull()
-    payload = F.regexp_replace(F.col("_payload_source"), '"raw_', '"')
     return df.select(
         "inquiry_id", "customer_id", "vehicle_id", "inquiry_date", "lead_source",
         F.when(lost, "Lost").otherwise(F.col("status")).alias("status"),
@@ -264,7 +271,7 @@ def reconcile_inquiries(inquiries: DataFrame, quotes: DataFrame) -> DataFrame:
         (converted & F.coalesce(F.col("winning_dealer_id") != F.col("_won.dealer_id"),
                                 F.lit(False))).alias("_fix_winning_dealer_mismatch"),
         F.when(no_quote, F.lit("inquiry_without_quote")).alias("_rule"), "_ordinal",
-        F.when(no_quote, payload).alias("_payload"))
+        F.when(no_quote, F.col("_payload_source")).alias("_payload"))
 
 
 def enrich_quotes(quotes: DataFrame, inquiries: DataFrame, workspace: Workspace) -> DataFrame:

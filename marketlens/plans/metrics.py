@@ -44,10 +44,13 @@ REACH = {
 
 @dataclass(frozen=True)
 class Base:
-    """An aggregate of one fact. `without` lists dimensions whose context is removed."""
+    """An aggregate of one fact. `without` lists dimensions whose context is removed.
+
+    The column is built on use: it belongs to the session that is active then.
+    """
 
     fact: str
-    value: Column
+    value: Callable[[], Column]
     without: tuple[str, ...] = ()
 
 
@@ -73,55 +76,68 @@ def _divide(*inputs: str) -> Derived:
 
 
 def _fixed_rate(metric: str, stage: str = "Processed") -> Base:
-    chosen = (F.col("stage") == stage) & (F.col("metric_name") == metric)
-    return Base("quality", F.max(F.when(chosen, F.col("rate"))), ("stage", "metric_name"))
+    def value() -> Column:
+        chosen = (F.col("stage") == stage) & (F.col("metric_name") == metric)
+        return F.max(F.when(chosen, F.col("rate")))
+    return Base("quality", value, ("stage", "metric_name"))
 
 
 def _stage_rate(stage: str) -> Base:
-    return Base("quality", F.max(F.when(F.col("stage") == stage, F.col("rate"))), ("stage",))
+    return Base("quality", lambda: F.max(F.when(F.col("stage") == stage, F.col("rate"))),
+                ("stage",))
+
+
+def _sold() -> Column:
+    return F.col("conversion_flag")
+
+
+def _won() -> Column:
+    return F.col("accepted_flag")
+
+
+def _accepted_value() -> Column:
+    return F.sum(F.when(_won(), F.col("quote_amount")))
 
 
 def _growth(now: Column, before: Column) -> Column:
     return N.quotient(now - before, before)
 
 
-_SOLD, _WON = F.col("conversion_flag"), F.col("accepted_flag")
-_ACCEPTED_VALUE = F.sum(F.when(_WON, F.col("quote_amount")))
 # The primary keys are unique by load check, so a distinct count of them is a row count.
 MEASURES: dict[str, Base | Derived | Special] = {
-    "total_inquiries": Base("inquiry", N.rows()),
-    "total_quotes": Base("quote", N.rows()),
-    "total_quotes_by_quote_date": Base("quote_date", N.rows()),
-    "converted_inquiries": Base("inquiry", N.count_where(_SOLD)),
+    "total_inquiries": Base("inquiry", N.rows),
+    "total_quotes": Base("quote", N.rows),
+    "total_quotes_by_quote_date": Base("quote_date", N.rows),
+    "converted_inquiries": Base("inquiry", lambda: N.count_where(_sold())),
     "conversion_rate": _divide("converted_inquiries", "total_inquiries"),
     "average_quotes_per_inquiry": _divide("total_quotes", "total_inquiries"),
-    "average_days_to_conversion": Base("inquiry", N.mean("days_to_conversion", _SOLD)),
+    "average_days_to_conversion": Base("inquiry", lambda: N.mean("days_to_conversion", _sold())),
     "inquiries_under_sla":
-        Base("inquiry", N.count_where(F.col("fastest_response_hours") < SLA_HOURS)),
+        Base("inquiry", lambda: N.count_where(F.col("fastest_response_hours") < SLA_HOURS)),
     "sla_compliance_rate": _divide("inquiries_under_sla", "total_inquiries"),
-    "average_quote": Base("quote", N.mean("quote_amount")),
-    "maximum_quote": Base("quote", F.max("quote_amount")),
-    "minimum_quote": Base("quote", F.min("quote_amount")),
+    "average_quote": Base("quote", lambda: N.mean("quote_amount")),
+    "maximum_quote": Base("quote", lambda: F.max("quote_amount")),
+    "minimum_quote": Base("quote", lambda: F.min("quote_amount")),
     "median_quote": Special("median", options={"fact": "quote", "column": "quote_amount",
                                                "scale": 2}),
-    "average_highest_quote": Base("inquiry", N.mean("highest_quote")),
-    "average_lowest_quote": Base("inquiry", N.mean("lowest_quote")),
-    "average_quote_spread": Base("inquiry", N.mean("quote_spread")),
-    "average_quote_spread_pct": Base("inquiry", N.mean("quote_spread_pct")),
-    "average_sale_value": Base("inquiry", N.mean("final_sale_price", _SOLD)),
-    "total_accepted_quote_value": Base("quote", _ACCEPTED_VALUE),
+    "average_highest_quote": Base("inquiry", lambda: N.mean("highest_quote")),
+    "average_lowest_quote": Base("inquiry", lambda: N.mean("lowest_quote")),
+    "average_quote_spread": Base("inquiry", lambda: N.mean("quote_spread")),
+    "average_quote_spread_pct": Base("inquiry", lambda: N.mean("quote_spread_pct")),
+    "average_sale_value": Base("inquiry", lambda: N.mean("final_sale_price", _sold())),
+    "total_accepted_quote_value": Base("quote", _accepted_value),
     "quote_to_market_ratio":
-        Base("quote", N.quotient(F.sum("quote_amount"), F.sum("estimated_market_value"))),
-    "average_estimated_market_value": Base("quote", N.mean("estimated_market_value")),
-    "quote_anomalies": Base("quote", N.count_where(F.col("anomaly_flag"))),
+        Base("quote", lambda: N.quotient(F.sum("quote_amount"), F.sum("estimated_market_value"))),
+    "average_estimated_market_value": Base("quote", lambda: N.mean("estimated_market_value")),
+    "quote_anomalies": Base("quote", lambda: N.count_where(F.col("anomaly_flag"))),
     "quote_anomaly_rate": _divide("quote_anomalies", "total_quotes"),
-    "average_response_time": Base("quote", N.mean("response_time_hours")),
-    "average_fastest_response_time": Base("inquiry", N.mean("fastest_response_hours")),
-    "dealer_wins": Base("quote", N.count_where(_WON)),
+    "average_response_time": Base("quote", lambda: N.mean("response_time_hours")),
+    "average_fastest_response_time": Base("inquiry", lambda: N.mean("fastest_response_hours")),
+    "dealer_wins": Base("quote", lambda: N.count_where(_won())),
     "dealer_win_rate": _divide("dealer_wins", "total_quotes"),
-    "average_dealer_competitiveness": Base("quote", N.mean("quote_to_market_ratio")),
-    "dealer_accepted_value": Base("quote", _ACCEPTED_VALUE),
-    "active_dealers": Base("dealer", N.count_where(F.col("active_flag"))),
+    "average_dealer_competitiveness": Base("quote", lambda: N.mean("quote_to_market_ratio")),
+    "dealer_accepted_value": Base("quote", _accepted_value),
+    "active_dealers": Base("dealer", lambda: N.count_where(F.col("active_flag"))),
     "dealer_rank": Special("rank", ("dealer_wins", "total_quotes"), {"by": "win_rate"}),
     "dealer_win_rate_top_7": Special(
         "rank", ("dealer_wins", "total_quotes", "dealer_win_rate"),
@@ -141,7 +157,7 @@ MEASURES: dict[str, Base | Derived | Special] = {
         ("conversion_rate", "previous_month_conversion_rate"), lambda now, before: now - before),
     "rolling_3m_conversion_rate": Special(
         "shift", ("converted_inquiries", "total_inquiries"), {"months": (0, 1, 2)}),
-    "data_quality_metric_rate": Base("quality", F.max("rate")),
+    "data_quality_metric_rate": Base("quality", lambda: F.max("rate")),
     "raw_data_quality_rate": _stage_rate("Raw"),
     "raw_data_quality_score": _fixed_rate("overall_data_quality_score", "Raw"),
     "processed_data_quality_rate": _stage_rate("Processed"),
@@ -153,11 +169,11 @@ MEASURES: dict[str, Base | Derived | Special] = {
     "validity_rate": _fixed_rate("validity_rate"),
     "uniqueness_rate": _fixed_rate("uniqueness_rate"),
     "referential_integrity_rate": _fixed_rate("referential_integrity_rate"),
-    "affected_rows": Base("issue", F.sum("affected_rows")),
-    "raw_records": Base("run", F.sum("raw_records")),
-    "clean_records": Base("run", F.sum("clean_records")),
-    "rejected_records": Base("run", F.sum("quarantined_records")),
-    "loaded_records": Base("run", F.sum("loaded_records")),
+    "affected_rows": Base("issue", lambda: F.sum("affected_rows")),
+    "raw_records": Base("run", lambda: F.sum("raw_records")),
+    "clean_records": Base("run", lambda: F.sum("clean_records")),
+    "rejected_records": Base("run", lambda: F.sum("quarantined_records")),
+    "loaded_records": Base("run", lambda: F.sum("loaded_records")),
 }
 
 
@@ -251,7 +267,7 @@ def _aggregate(t: Tables, names: list[str], by: list[str], filters: dict) -> Dat
     for (fact, without), members in groups.items():
         df, keys = _context(t, fact, by, filters, without)
         found.setdefault(tuple(keys), []).append(
-            df.groupBy(*keys).agg(*[MEASURES[m].value.alias(m) for m in members]))
+            df.groupBy(*keys).agg(*[MEASURES[m].value().alias(m) for m in members]))
     for name in names:
         measure = MEASURES[name]
         if isinstance(measure, Special) and measure.kind == "median":

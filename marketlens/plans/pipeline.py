@@ -12,6 +12,8 @@ from marketlens.plans.quality import (
     run_summary, stamp_loaded,
 )
 from marketlens.session import Workspace, tune
+from marketlens.sources.curated import write_tables
+from marketlens.sources.raw import read_catalog, read_raw
 
 
 class Run:
@@ -67,3 +69,14 @@ class Run:
             "quarantined_records": self.quarantined_records,
             "pipeline_run_summary": summary,
         }
+
+
+def run(spark: SparkSession, raw_folder: str, out_folder: str, catalog_path: str | None = None,
+        verify: bool = True) -> Run:
+    """CSV extracts in, verified curated and operational Parquet tables out."""
+    catalog = read_catalog(spark, catalog_path) if catalog_path else None
+    job = Run(spark, read_raw(spark, raw_folder), raw_folder, catalog)
+    if verify:
+        job.verify()
+    write_tables(job.tables(), out_folder)
+    return job

@@ -53,7 +53,7 @@ def _ordinal(*columns: str) -> Column:
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return (spark.read.parquet(f"{folder}/{table}.parquet")
-            .select("*", F.col("_metadata.file_name").alias("_file"),
+            .select("*", F.xxhash64("_metadata.file_name").alias("_file"),
                     F.col("_metadata.row_index").alias("_row")))
 
 
@@ -146,13 +146,12 @@ def _per_order(lines: DataFrame) -> DataFrame:
             F.col("best._ordinal").alias("best_ordinal")))
 
 
-def inquiries(spark: SparkSession, folder: str) -> DataFrame:
+def inquiries(spark: SparkSession, folder: str, per_order: DataFrame) -> DataFrame:
     amount = _money("o_totalprice")
     day = F.to_date("o_orderdate")
     won = F.col("o_orderstatus") == "F"
     orders = _read(spark, folder, "orders")
-    rows = orders.join(_per_order(_lines(spark, folder)),
-                       F.col("o_orderkey") == F.col("order_key"), "left").select(
+    rows = orders.join(per_order, F.col("o_orderkey") == F.col("order_key"), "left").select(
         _id("I", "o_orderkey").alias("inquiry_id"),
         _id("C", "o_custkey").alias("customer_id"),
         _id("V", "part_key").alias("vehicle_id"),
@@ -171,11 +170,11 @@ def inquiries(spark: SparkSession, folder: str) -> DataFrame:
     return rows.withColumn("_ordinal", _ordinal("_copy")).drop("_amount", "_copy", "_file", "_row")
 
 
-def quotes(spark: SparkSession, folder: str) -> DataFrame:
+def quotes(spark: SparkSession, folder: str, per_order: DataFrame) -> DataFrame:
     lines = _lines(spark, folder)
     orders = spark.read.parquet(f"{folder}/orders.parquet").select(
         F.col("o_orderkey").alias("order_key"), "o_orderstatus")
-    winners = (_per_order(lines).join(orders, "order_key").filter("o_orderstatus = 'F'")
+    winners = (per_order.join(orders, "order_key").filter("o_orderstatus = 'F'")
                .select("order_key", "best_line", "best_ordinal"))
     accepted = (F.col("best_line") == F.col("l_linenumber")) & (
         F.col("best_ordinal") == F.col("_ordinal"))
@@ -222,11 +221,14 @@ def dates(spark: SparkSession, folder: str) -> DataFrame:
 def raw_tables(spark: SparkSession, folder: str,
                workspace: Workspace | None = None) -> dict[str, DataFrame]:
     """The six raw tables; with a workspace they are landed once and read back from there."""
-    builders = {
-        "dim_customer": customers, "dim_vehicle": vehicles, "dim_dealer": dealers,
-        "fact_inquiry": inquiries, "fact_quote": quotes, "dim_date": dates,
+    def land(df: DataFrame, name: str) -> DataFrame:
+        return df if workspace is None else workspace.stage(df, name)
+
+    per_order = land(_per_order(_lines(spark, folder)), "order_summary")
+    tables = {
+        "dim_customer": customers(spark, folder), "dim_vehicle": vehicles(spark, folder),
+        "dim_dealer": dealers(spark, folder),
+        "fact_inquiry": inquiries(spark, folder, per_order),
+        "fact_quote": quotes(spark, folder, per_order), "dim_date": dates(spark, folder),
     }
-    tables = {name: build(spark, folder) for name, build in builders.items()}
-    if workspace is None:
-        return tables
-    return {name: workspace.stage(df, f"raw_{name}") for name, df in tables.items()}
+    return {name: land(df, f"raw_{name}") for name, df in tables.items()}
