@@ -41,7 +41,8 @@ def read_raw(spark: SparkSession, folder: str,
     """The six raw tables of a folder of CSV files or CSV directories.
 
     With `row_counts`, every table gets an Observation there that reports its rows once the
-    table has been read by an action.
+    table has been read by an action. The action must scan the table once: a range sort samples
+    its input first and would count the rows twice.
     """
     tables = {}
     for table in RAW_COLUMNS:
