@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from marketlens.operators.joins import one_row
+from marketlens.session import cut
 
 
 def units(value: str | Column, scale: int) -> Column:
@@ -53,15 +54,30 @@ def running_totals(cells: DataFrame, keys: list[str], unit: str, weight: str,
             .drop("_base", "_block"))
 
 
+def value_cells(df: DataFrame, keys: list[str], value: str, scale: int) -> DataFrame:
+    """Stored (keys, `_unit`, `_n`): one row per distinct value of a group.
+
+    Only this pass reads the data; everything after it works on the cells.
+    """
+    return cut(df.filter(F.col(value).isNotNull())
+               .groupBy(*keys, units(value, scale).alias("_unit"))
+               .agg(F.count(F.lit(1)).alias("_n")))
+
+
 def exact_percentiles(df: DataFrame, keys: list[str], value: str, scale: int,
                       fractions: dict[str, tuple[int, int]], size: str | None = None) -> DataFrame:
     """Interpolated percentiles per group; a fraction is (numerator, denominator).
 
     `size` names a column for the number of values, when the caller wants it.
     """
-    cells = (df.filter(F.col(value).isNotNull())
-             .groupBy(*keys, units(value, scale).alias("_unit"))
-             .agg(F.count(F.lit(1)).alias("_n")))
+    return cell_percentiles(value_cells(df, keys, value, scale), keys, scale, fractions, size)
+
+
+def cell_percentiles(cells: DataFrame, keys: list[str], scale: int,
+                     fractions: dict[str, tuple[int, int]], size: str | None = None) -> DataFrame:
+    """Percentiles from cells; coarser keys may be used than the cells were made for."""
+    if set(cells.columns) != {*keys, "_unit", "_n"}:
+        cells = cut(cells.groupBy(*keys, "_unit").agg(F.sum("_n").alias("_n")))
     placed = running_totals(cells, keys, "_unit", "_n")
     aggregates = []
     for name, (top, bottom) in fractions.items():
@@ -85,6 +101,7 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, scale: int,
 def _ranks(cells: DataFrame, keys: list[str], name: str, method: str,
            descending: bool) -> DataFrame:
     """(keys, `_ranked`, rank) of every distinct value from cells (keys, `_unit`, `_n`)."""
+    cells = cut(cells)
     if method == "dense_rank":
         cells = cells.withColumn("_n", F.lit(1))
     placed = running_totals(cells, keys, "_unit", "_n")
@@ -132,8 +149,8 @@ def tile_summary(df: DataFrame, tiles: int, value: str, scale: int, flag: str,
     Rows equal in value and flag are interchangeable for the summary, so cells are split
     arithmetically at the tile edges and no row is ever numbered.
     """
-    cells = (df.groupBy(units(value, scale).alias("_unit"), F.col(flag).alias("_flag"))
-             .agg(F.count(F.lit(1)).alias("_n")))
+    cells = cut(df.groupBy(units(value, scale).alias("_unit"), F.col(flag).alias("_flag"))
+                .agg(F.count(F.lit(1)).alias("_n")))
     placed = running_totals(cells, [], "_unit", "_n", tie=("_flag",))
     quotient, extra = F.expr(f"_total div {tiles}"), F.expr(f"_total % {tiles}")
     start = quotient * F.col("_tile") + F.least(F.col("_tile"), extra)

@@ -108,7 +108,7 @@ def d09(t: Tables) -> DataFrame:
 def d10(t: Tables) -> DataFrame:
     """Issue log with the number of quarantined rows behind each issue."""
     held = t["quarantined_records"].groupBy("table_name", "issue_type").agg(
-        F.count("quarantine_id").alias("_held"))
+        N.rows().alias("_held"))
     return t["data_quality_issue_log"].join(held, ["table_name", "issue_type"], "left").groupBy(
         "table_name", "issue_type", "affected_rows", "action").agg(
         N.total("_held").alias("quarantined_rows")).orderBy(F.desc("affected_rows"))

@@ -19,7 +19,7 @@ from marketlens.functions.calendar import calendar_columns
 from marketlens.operators.dedupe import flag_later_copies
 from marketlens.operators.joins import lookup
 from marketlens.operators.numbering import number_within
-from marketlens.operators.order_stats import exact_percentiles
+from marketlens.operators.order_stats import cell_percentiles, value_cells
 from marketlens.operators.rules import first_failure, passed
 from marketlens.schema import (
     CORRECTIONS, FUEL_TYPES, LEAD_SOURCES, MILEAGE_BRACKETS, RAW_COLUMNS,
@@ -217,9 +217,9 @@ def impute_response(quotes: DataFrame) -> DataFrame:
     """
     hours = F.col("response_time_hours")
     known = quotes.filter(hours.isNotNull()).withColumn("_fix_missing_response_time", F.lit(False))
-    by_dealer = exact_percentiles(quotes, ["dealer_id"], "response_time_hours", 6,
-                                  {"_dealer_median": (1, 2)})
-    overall = exact_percentiles(quotes, [], "response_time_hours", 6, {"_median": (1, 2)})
+    cells = value_cells(quotes, ["dealer_id"], "response_time_hours", 6)
+    by_dealer = cell_percentiles(cells, ["dealer_id"], 6, {"_dealer_median": (1, 2)})
+    overall = cell_percentiles(cells, [], 6, {"_median": (1, 2)})
     gaps = lookup(quotes.filter(hours.isNull()), by_dealer, "dealer_id", "dealer_id",
                   {"_dealer_median": "_dealer_median"})
     filled = (gaps.crossJoin(F.broadcast(overall)).withColumn(

@@ -14,6 +14,7 @@ from marketlens.operators.joins import checked_join, one_row, spine_join
 from marketlens.operators.order_stats import exact_percentiles
 from marketlens.plans.views import Tables
 from marketlens.schema import AGE_BANDS, RESPONSE_BANDS, SLA_HOURS
+from marketlens.session import cut
 
 FAST, SLOW = f"Under {SLA_HOURS} hours", f"{SLA_HOURS}+ hours"
 REFERRAL, SOCIAL = "Dealer Referral", "Social Media"
@@ -229,8 +230,8 @@ def evidence(t: Tables, validate: str = "1:1", segment: str = "Suv",
     share = vehicle_segments(t, validate).agg(
         F.max(F.when(F.col("vehicle_type") == segment, F.col("accepted_value")))
         .alias("_segment_value"))
-    dealers = dealer_detail(t).withColumn("_share", N.ratio(
-        F.col("wins").cast(N.COUNT), F.col("quotes")).cast("decimal(18,12)"))
+    dealers = cut(dealer_detail(t).withColumn("_share", N.ratio(
+        F.col("wins").cast(N.COUNT), F.col("quotes")).cast("decimal(18,12)")))
     levels = exact_percentiles(dealers, [], "_share", 12, {
         "dealer_win_rate_p10": (1, 10), "dealer_win_rate_median": (1, 2),
         "dealer_win_rate_p90": (9, 10)})

@@ -23,6 +23,7 @@ from marketlens.plans.views import Tables
 from marketlens.schema import (
     ISSUE_CATEGORIES, METRIC_LABELS, REPORT_RESPONSE_BANDS, SLA_HOURS, STAGE_LABELS,
 )
+from marketlens.session import cut
 
 CUSTOMER = ["customer_type", "age_group", "canton", "preferred_contact_method"]
 VEHICLE = ["brand", "model", "vehicle_type", "fuel_type", "vehicle_condition",
@@ -285,24 +286,32 @@ def _aggregate(t: Tables, names: list[str], by: list[str], filters: dict) -> Dat
     return result
 
 
-def _shift(t: Tables, name: str, measure: Special, by: list[str], filters: dict) -> DataFrame:
-    """Move each month's totals forward to the months that look back on it."""
+def _shifts(t: Tables, names: list[str], by: list[str], filters: dict) -> list[DataFrame]:
+    """Move each month's totals forward to the months that look back on it.
+
+    The facts are read once for all shifted measures; a date filter limits the months shown,
+    not the months looked back on.
+    """
     if "month_start" not in by:
-        raise ValueError(f"{name} needs month_start among the group keys")
-    open_filters = {c: v for c, v in filters.items() if c not in DATE}
-    totals = _aggregate(t, list(measure.inputs), by, open_filters)
-    moved = totals.withColumn("_shift", F.explode(F.array(
-        *[F.lit(m) for m in measure.options["months"]]))).withColumn(
-        "month_start", F.add_months("month_start", F.col("_shift")))
+        raise ValueError(f"{names[0]} needs month_start among the group keys")
+    inputs = list(dict.fromkeys(i for n in names for i in MEASURES[n].inputs))
+    totals = cut(_aggregate(
+        t, inputs, by, {c: v for c, v in filters.items() if c not in DATE}))
     calendar = t["dim_date"].select(month_of("date").alias("month_start")).distinct()
-    sums = moved.groupBy(*by).agg(*[F.sum(c).alias(c) for c in measure.inputs])
-    value = (F.col(measure.inputs[0]) if len(measure.inputs) == 1
-             else N.quotient(*[F.col(c) for c in measure.inputs]))
-    shifted = sums.join(calendar, "month_start", "left_semi").select(*by, value.alias(name))
-    for column, wanted in filters.items():
-        if column == "month_start":
-            shifted = shifted.filter(_predicate(column, wanted))
-    return shifted
+    parts = []
+    for name in names:
+        measure = MEASURES[name]
+        months = F.array(*[F.lit(m) for m in measure.options["months"]])
+        moved = totals.withColumn("_shift", F.explode(months)).withColumn(
+            "month_start", F.add_months("month_start", F.col("_shift")))
+        sums = moved.groupBy(*by).agg(*[F.sum(c).alias(c) for c in measure.inputs])
+        value = (F.col(measure.inputs[0]) if len(measure.inputs) == 1
+                 else N.quotient(*[F.col(c) for c in measure.inputs]))
+        part = sums.join(calendar, "month_start", "left_semi").select(*by, value.alias(name))
+        if "month_start" in filters:
+            part = part.filter(_predicate("month_start", filters["month_start"]))
+        parts.append(part)
+    return parts
 
 
 def _rank(df: DataFrame, name: str, measure: Special, min_quotes: int) -> DataFrame:
@@ -352,9 +361,11 @@ def evaluate(t: Tables, measures: list[str], by: list[str] | None = None,
     direct = [n for n in needed if isinstance(MEASURES[n], Base)
               or getattr(MEASURES[n], "kind", None) == "median"]
     parts = [_aggregate(t, direct, by, filters)] if direct else []
-    parts += [_shift(t, n, MEASURES[n], by, filters) for n in needed
-              if getattr(MEASURES[n], "kind", None) == "shift"]
+    shifted = [n for n in needed if getattr(MEASURES[n], "kind", None) == "shift"]
+    parts += _shifts(t, shifted, by, filters) if shifted else []
     df = _stack(parts, by)
+    if any(getattr(MEASURES[n], "kind", None) == "rank" for n in needed):
+        df = cut(df)  # each rank reads the aggregated rows twice
     for name in needed:
         measure = MEASURES[name]
         if isinstance(measure, Derived):

@@ -20,6 +20,7 @@ from marketlens.plans import evidence as E
 from marketlens.plans.queries import ratio_fences
 from marketlens.plans.views import Tables
 from marketlens.schema import KEYS
+from marketlens.session import cut
 
 CORRELATED = ["conversion_flag", "fastest_response_hours", "quote_spread_pct", "quote_count",
               "vehicle_age_at_inquiry"]
@@ -51,8 +52,8 @@ def dealer_eligibility(t: Tables, min_quotes: int = 250) -> DataFrame:
     df = E.dealer_detail(t).select("dealer_id", "dealer_name", "quotes", "wins", "win_rate")
     eligible = F.col("quotes") >= min_quotes
     share = N.ratio(F.col("wins").cast(N.COUNT), F.col("quotes")) * F.lit(10 ** 15)
-    df = df.withColumns({"eligible": eligible,
-                         "_score": F.when(eligible, share.cast("bigint"))})
+    df = cut(df.withColumns({"eligible": eligible,
+                             "_score": F.when(eligible, share.cast("bigint"))}))
     return value_ranks(df, "_score", "eligible_rank", "rank", descending=True).drop("_score")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,11 +37,14 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Store an intermediate result that several branches read, in the checkpoint folder."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+    """Store an intermediate result that several branches read and read it back.
+
+    The source is then computed once, survives lost executors, and joins see its real size.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 class Workspace:
@@ -49,7 +53,10 @@ class Workspace:
     def __init__(self, spark: SparkSession, label: str):
         digest = hashlib.sha1(label.encode()).hexdigest()[:12]
         self.spark = spark
-        self.root = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{digest}"
+        # A folder of its own per workspace: stored stages are read lazily and must not change.
+        run = uuid.uuid4().hex[:8]
+        self.root = (f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
+                     f"/{digest}-{run}")
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
