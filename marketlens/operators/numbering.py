@@ -39,14 +39,14 @@ def range_numbered(workspace: Workspace, df: DataFrame, stage: str, order: list[
 
 def number_within(workspace: Workspace, df: DataFrame, stage: str, key: str,
                   order: list[Column], number: str, sizes: DataFrame, size: str,
-                  hot_floor: int = HOT_FLOOR) -> DataFrame:
+                  hot_floor: int | None = None) -> DataFrame:
     """row_number per key; keys too large for one task are numbered by range slices.
 
     `sizes` is a stored table with the row count of each key, so looking for hot keys reads
     one column and usually no row group at all.
     """
     rows = sizes.agg(F.sum(size)).first()[0] or 0
-    limit = max(hot_floor, rows // HOT_SHARE)
+    limit = max(hot_floor or HOT_FLOOR, rows // HOT_SHARE)
     hot = sizes.filter(F.col(size) > limit).select(key)  # under HOT_SHARE keys by construction
     window = Window.partitionBy(key).orderBy(*order)
     if hot.isEmpty():

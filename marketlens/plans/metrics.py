@@ -350,6 +350,20 @@ def _closure(measures: list[str]) -> list[str]:
     return ordered
 
 
+def _validate(measures: list[str], by: list[str], filters: dict) -> None:
+    dimensions = {c for columns in REACH.values() for c in columns}
+    unknown = [m for m in measures if m not in MEASURES]
+    unknown += [c for c in (*by, *filters) if c not in dimensions]
+    if unknown:
+        raise ValueError(f"unknown measures or dimensions: {unknown}")
+    facts = {getattr(MEASURES[n], "fact", None) or getattr(MEASURES[n], "options", {}).get("fact")
+             for n in _closure(measures)} | {
+        "inquiry" for n in _closure(measures) if getattr(MEASURES[n], "kind", "") == "shift"}
+    reached = {c for fact in facts - {None} for c in REACH[fact]}
+    if not set(by) <= reached:
+        raise ValueError(f"no measure reaches {sorted(set(by) - reached)}")
+
+
 def evaluate(t: Tables, measures: list[str], by: list[str] | None = None,
              filters: dict | None = None, min_quotes: int = 250) -> DataFrame:
     """Named measures by the given dimensions under the given filters.
@@ -357,6 +371,7 @@ def evaluate(t: Tables, measures: list[str], by: list[str] | None = None,
     `filters` maps a dimension to a list of members or a (low, high) range.
     """
     by, filters = list(by or []), dict(filters or {})
+    _validate(measures, by, filters)
     needed = _closure(measures)
     direct = [n for n in needed if isinstance(MEASURES[n], Base)
               or getattr(MEASURES[n], "kind", None) == "median"]

@@ -62,3 +62,8 @@ class Workspace:
         path = f"{self.root}/{name}"
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
+
+    def release(self) -> None:
+        """Delete the stored stages once their results have been written elsewhere."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -15,7 +15,6 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
-        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate())
     session.sparkContext.setLogLevel("OFF")

@@ -131,3 +131,10 @@ def test_all_measures_and_reports_are_declared():
 def test_report_is_sorted(tables):
     found = [r.dealer_id for r in report(tables, "r13", min_quotes=3).select("dealer_id").collect()]
     assert found == ["D0", "D1", "D2"]
+
+
+def test_unknown_names_are_refused(tables):
+    with pytest.raises(ValueError, match="unknown.*colour"):
+        evaluate(tables, ["total_inquiries"], ["colour"])
+    with pytest.raises(ValueError, match="no measure reaches.*dealer_id"):
+        evaluate(tables, ["total_inquiries"], ["dealer_id"])

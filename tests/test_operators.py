@@ -164,3 +164,12 @@ def test_correlation_matrix_is_symmetric(spark):
              for r in correlations(df, ["a", "b", "c"]).collect()}
     assert len(found) == 9 and found["a", "b"] == pytest.approx(1.0)
     assert found["a", "c"] == found["c", "a"] == pytest.approx(0.0)
+
+
+def test_released_stages_are_gone(spark):
+    workspace = Workspace(spark, "test-release")
+    stored = workspace.stage(spark.range(3), "rows")
+    assert stored.count() == 3
+    workspace.release()
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(f"{workspace.root}/rows")

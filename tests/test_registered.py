@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as registered
+from marketlens.operators import numbering
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
@@ -32,12 +33,7 @@ def ordered(rows):
     return sorted(rows, key=lambda row: tuple((v is None, str(v)) for v in row))
 
 
-@pytest.mark.parametrize("name", sorted(registered.queries()))
-def test_query(spark, engine, name):
-    df = registered.queries()[name](spark, FOLDER)
-    plan = df._jdf.queryExecution().toString()
-    assert not PYTHON_NODES.search(plan)
-    assert "CartesianProduct" not in plan
+def agrees(engine, name, df):
     columns = sorted(df.columns)
     found = [tuple(comparable(row[c]) for c in columns) for row in df.collect()]
     answer = engine.execute(registered.oracle_sql()[name])
@@ -45,7 +41,41 @@ def test_query(spark, engine, name):
     assert sorted(names) == columns
     expected = [tuple(comparable(row[names.index(c)]) for c in columns)
                 for row in answer.fetchall()]
-    assert ordered(found) == ordered(expected)
+    return ordered(found) == ordered(expected)
+
+
+@pytest.mark.parametrize("name", sorted(registered.queries()))
+def test_query(spark, engine, name):
+    df = registered.queries()[name](spark, FOLDER)
+    plan = df._jdf.queryExecution().toString()
+    assert not PYTHON_NODES.search(plan)
+    assert "CartesianProduct" not in plan
+    assert agrees(engine, name, df)
+
+
+def test_results_hold_when_everything_is_shuffled_and_split(spark, engine, monkeypatch):
+    """No broadcasts, tiny partitions, every skewed partition split, most inquiries hot."""
+    hostile = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "7",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2048",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1024",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.0",
+    }
+    before = {key: spark.conf.get(key, None) for key in hostile}
+    monkeypatch.setattr(numbering, "HOT_FLOOR", 2)
+    monkeypatch.setattr(numbering, "HOT_SHARE", 10 ** 9)
+    monkeypatch.setattr(registered, "_runs", {})
+    try:
+        for key, value in hostile.items():
+            spark.conf.set(key, value)
+        for name in ("clean_fact_inquiry", "clean_fact_quote", "quarantine", "dq_metrics",
+                     "v2_quote_competitiveness", "q05", "q18", "q23", "d05", "measure_series"):
+            assert agrees(engine, name, registered.queries()[name](spark, FOLDER)), name
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def test_entry(spark):
