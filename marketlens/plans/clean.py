@@ -303,10 +303,12 @@ def clean_tables(raw: dict[str, DataFrame], workspace: Workspace,
                  catalog: DataFrame | None = None) -> Cleaned:
     """Run the whole waterfall; every stage is written once and read by all later ones."""
     stage = workspace.stage
-    customers = stage(tag_customers(raw["dim_customer"]), "tagged_customer")
-    vehicles = stage(tag_vehicles(raw["dim_vehicle"], catalog), "tagged_vehicle")
-    dealers = stage(tag_dealers(raw["dim_dealer"]), "tagged_dealer")
-    dates = stage(tag_dates(raw["dim_date"]), "tagged_date")
+    customers, vehicles, dealers, dates = workspace.stage_all({
+        "tagged_customer": tag_customers(raw["dim_customer"]),
+        "tagged_vehicle": tag_vehicles(raw["dim_vehicle"], catalog),
+        "tagged_dealer": tag_dealers(raw["dim_dealer"]),
+        "tagged_date": tag_dates(raw["dim_date"]),
+    }).values()
     tagged_inquiries = stage(
         tag_inquiries(raw["fact_inquiry"], passed(customers), passed(vehicles)),
         "tagged_inquiry")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,6 +64,12 @@ class Workspace:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def stage_all(self, frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        """Write independent stages side by side, so small ones do not wait for large ones."""
+        with ThreadPoolExecutor(len(frames)) as pool:
+            stored = pool.map(lambda item: self.stage(item[1], item[0]), frames.items())
+            return dict(zip(frames, stored))
+
     def release(self) -> None:
         """Delete the stored stages once their results have been written elsewhere."""
         folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)

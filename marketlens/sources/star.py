@@ -221,14 +221,16 @@ def dates(spark: SparkSession, folder: str) -> DataFrame:
 def raw_tables(spark: SparkSession, folder: str,
                workspace: Workspace | None = None) -> dict[str, DataFrame]:
     """The six raw tables; with a workspace they are landed once and read back from there."""
-    def land(df: DataFrame, name: str) -> DataFrame:
-        return df if workspace is None else workspace.stage(df, name)
-
-    per_order = land(_per_order(_lines(spark, folder)), "order_summary")
+    per_order = _per_order(_lines(spark, folder))
+    if workspace is not None:
+        per_order = workspace.stage(per_order, "order_summary")
     tables = {
         "dim_customer": customers(spark, folder), "dim_vehicle": vehicles(spark, folder),
         "dim_dealer": dealers(spark, folder),
         "fact_inquiry": inquiries(spark, folder, per_order),
         "fact_quote": quotes(spark, folder, per_order), "dim_date": dates(spark, folder),
     }
-    return {name: land(df, f"raw_{name}") for name, df in tables.items()}
+    if workspace is None:
+        return tables
+    landed = workspace.stage_all({f"raw_{name}": df for name, df in tables.items()})
+    return {name: landed[f"raw_{name}"] for name in tables}
