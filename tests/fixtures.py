@@ -14,8 +14,8 @@ MINI = {
          "Good"),
     ],
     "dim_dealer": [
-        ("D0001", " Zurich Autohaus 001 ", "Zurich", "Franchise", "4.5", "true"),
-        ("D0002", "Bern Autohaus 002", "Espace Mittelland", "Independent", "4.0", "true"),
+        ("D0001", " North Garage ", "Zurich", "Franchise", "4.5", "true"),
+        ("D0002", "South Garage", "Espace Mittelland", "Independent", "4.0", "true"),
     ],
     "fact_inquiry": [
         ("I0000001", "C000001", "V0000001", "2022-01-01", "dealer referral", " converted ",
