@@ -40,6 +40,11 @@ def _by_month() -> Window:
     return Window.partitionBy(F.lit(0)).orderBy("month")
 
 
+def _or_last(band: Column, bands: list) -> Column:
+    """A missing value falls in the open last band, as the ELSE of a CASE would put it."""
+    return F.coalesce(band, F.lit(bands[-1][1]))
+
+
 def _monthly(t: Tables) -> DataFrame:
     return t["fact_inquiry"].groupBy(month_of("inquiry_date").alias("month")).agg(
         N.rows().alias("inquiries"), N.count_where(_sold()).alias("conversions"))
@@ -114,7 +119,7 @@ def q07(t: Tables, min_quotes: int = 250, top: int = 5) -> DataFrame:
 
 def q08(t: Tables) -> DataFrame:
     """Conversion by fastest-response band."""
-    band = band_below(F.col("fastest_response_hours"), RESPONSE_BANDS)
+    band = _or_last(band_below(F.col("fastest_response_hours"), RESPONSE_BANDS), RESPONSE_BANDS)
     return t["fact_inquiry"].groupBy(band.alias("response_band")).agg(
         N.rows().alias("inquiries"), _conversion(), _sale_value(),
         F.min("fastest_response_hours").alias("_first")).orderBy("_first").drop("_first")
@@ -141,7 +146,7 @@ def q10(t: Tables, min_inquiries: int = 500) -> DataFrame:
 
 def q11(t: Tables) -> DataFrame:
     """Conversion and spread by vehicle-age band; ages below zero fall in the first band."""
-    band = band_upto(F.col("vehicle_age_at_inquiry"), AGE_BANDS)
+    band = _or_last(band_upto(F.col("vehicle_age_at_inquiry"), AGE_BANDS), AGE_BANDS)
     return t["fact_inquiry"].groupBy(band.alias("vehicle_age_band")).agg(
         N.rows().alias("inquiries"), _conversion(),
         N.mean_up("quote_spread", 2).alias("average_quote_spread"),

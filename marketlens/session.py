@@ -37,6 +37,16 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete everything this application stored in the shared folder."""
+    _delete(spark, f"{shared_folder(spark)}/{spark.sparkContext.applicationId}")
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Store an intermediate result that several branches read and read it back.
 
@@ -72,5 +82,4 @@ class Workspace:
 
     def release(self) -> None:
         """Delete the stored stages once their results have been written elsewhere."""
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
-        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+        _delete(self.spark, self.root)

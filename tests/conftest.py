@@ -6,6 +6,8 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from marketlens.session import release  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -19,6 +21,7 @@ def spark(tmp_path_factory):
         .getOrCreate())
     session.sparkContext.setLogLevel("OFF")
     yield session
+    release(session)
     session.stop()
 
 

@@ -91,3 +91,26 @@ def test_filters_and_columns_reach_the_files(spark):
     assert "EqualTo(lead_source,Direct)" in plan
     assert "highest_quote" not in plan and "quote_count" not in plan
     assert "dim_vehicle" not in plan and "vehicle_id" not in plan
+
+
+def test_evidence_document_is_complete(spark, tmp_path):
+    from marketlens.plans.evidence import build_evidence
+    from marketlens.sources.curated import write_evidence
+    found = build_evidence(registered.tables_for(spark, FOLDER), registered.VALIDATE,
+                           segment="Economy", first_year=1995, last_year=2000)
+    assert found["kpis"].count() == 16 and found["evidence"].count() == 21
+    write_evidence(found, str(tmp_path))
+    for name in found:
+        assert not spark.read.json(f"{tmp_path}/{name}").isEmpty(), name
+    assert spark.read.json(f"{tmp_path}/annual").count() == found["annual"].count()
+
+
+def test_missing_values_fall_in_the_open_band(spark):
+    from marketlens.plans.queries import q08, q11
+    tables = registered.tables_for(spark, FOLDER)
+    blank = tables["fact_inquiry"].selectExpr(
+        "* except (fastest_response_hours, vehicle_age_at_inquiry)",
+        "cast(null as decimal(8,2)) fastest_response_hours",
+        "cast(null as smallint) vehicle_age_at_inquiry")
+    assert [r.response_band for r in q08({"fact_inquiry": blank}).collect()] == ["24+ hours"]
+    assert [r.vehicle_age_band for r in q11({"fact_inquiry": blank}).collect()] == ["10+ years"]
