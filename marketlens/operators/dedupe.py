@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketlens.operators.joins import join_null_safe
+
 
 def _join_on_keys(df: DataFrame, per_key: DataFrame, keys: list[str]) -> DataFrame:
     """Attach one row per key; NULL keys match each other.
@@ -12,11 +14,7 @@ def _join_on_keys(df: DataFrame, per_key: DataFrame, keys: list[str]) -> DataFra
     There are about as many keys as rows, so this is never a broadcast. In the sort-merge join
     the adaptive optimizer splits the left partition of a hot key.
     """
-    renamed = per_key.withColumnsRenamed({key: f"_right_{key}" for key in keys})
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & F.col(key).eqNullSafe(F.col(f"_right_{key}"))
-    return df.join(renamed.hint("merge"), condition, "left").drop(*[f"_right_{key}" for key in keys])
+    return join_null_safe(df, per_key.hint("merge"), keys, "left")
 
 
 def flag_later_copies(df: DataFrame, keys: list[str], ordinal: str = "_ordinal",

@@ -26,6 +26,16 @@ def checked_join(left: DataFrame, right: DataFrame, keys: list[str], how: str =
     return left.join(right, keys, how)
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str],
+                   how: str = "inner") -> DataFrame:
+    """Join on keys where NULL equals NULL, keeping the left keys."""
+    renamed = right.withColumnsRenamed({key: f"_right_{key}" for key in keys})
+    condition = F.lit(True)
+    for key in keys:
+        condition = condition & F.col(key).eqNullSafe(F.col(f"_right_{key}"))
+    return left.join(renamed, condition, how).drop(*[f"_right_{key}" for key in keys])
+
+
 def lookup(left: DataFrame, right: DataFrame, key: str | Column, right_key: str,
            columns: dict[str, str]) -> DataFrame:
     """Left join to a table unique on `right_key`, bringing the renamed columns.

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from marketlens.operators.order_stats import _same
+from marketlens.operators.joins import join_null_safe
 from marketlens.session import Workspace
 
 # A key is hot when it holds more than one ten-thousandth of all rows and a full task's worth.
@@ -32,7 +32,7 @@ def range_numbered(workspace: Workspace, df: DataFrame, stage: str, order: list[
                .withColumn("_offset", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
                .drop("_n"))
     inside = Window.partitionBy(*within, "_slice").orderBy(*order)
-    return (_same(cut, offsets, [*within, "_slice"])
+    return (join_null_safe(cut, offsets, [*within, "_slice"])
             .withColumn(number, F.row_number().over(inside) + F.col("_offset"))
             .drop("_slice", "_offset"))
 

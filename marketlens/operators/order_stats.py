@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from marketlens.operators.joins import one_row
+from marketlens.operators.joins import join_null_safe, one_row
 from marketlens.session import cut
 
 
@@ -23,15 +23,6 @@ def units(value: str | Column, scale: int) -> Column:
     return (value * 10 ** scale).cast("bigint")
 
 
-def _same(left: DataFrame, right: DataFrame, names: list[str]) -> DataFrame:
-    """Inner join on names where NULL equals NULL, keeping the left columns."""
-    renamed = right.withColumnsRenamed({name: f"_r_{name}" for name in names})
-    condition = F.lit(True)
-    for name in names:
-        condition = condition & F.col(name).eqNullSafe(F.col(f"_r_{name}"))
-    return left.join(renamed, condition).drop(*[f"_r_{name}" for name in names])
-
-
 def running_totals(cells: DataFrame, keys: list[str], unit: str, weight: str,
                    tie: tuple[str, ...] = ()) -> DataFrame:
     """Add `_before`, the weight ordered ahead of the cell in its group, and `_total`."""
@@ -48,7 +39,7 @@ def running_totals(cells: DataFrame, keys: list[str], unit: str, weight: str,
               .withColumn("_total", F.sum("_w").over(by_key))
               .drop("_w"))
     inside = (Window.partitionBy(*keys, "_block").orderBy(unit, *tie).rowsBetween(*earlier))
-    return (_same(blocked, blocks, [*keys, "_block"])
+    return (join_null_safe(blocked, blocks, [*keys, "_block"])
             .withColumn("_before", F.col("_base")
                         + F.coalesce(F.sum(weight).over(inside), F.lit(0)))
             .drop("_base", "_block"))

@@ -17,10 +17,10 @@ from marketlens.functions import text as T
 from marketlens.functions.bands import band_below, band_upto
 from marketlens.functions.calendar import calendar_columns
 from marketlens.operators.dedupe import flag_later_copies
-from marketlens.operators.joins import lookup
+from marketlens.operators.joins import join_null_safe, lookup
 from marketlens.operators.numbering import number_within
 from marketlens.operators.order_stats import cell_percentiles, value_cells
-from marketlens.operators.rules import first_failure, passed
+from marketlens.operators.rules import first_failure, passed, rejected
 from marketlens.schema import (
     CORRECTIONS, FUEL_TYPES, LEAD_SOURCES, MILEAGE_BRACKETS, RAW_COLUMNS,
     SOFT_FLAGS, STATUSES, VALUE_BANDS, VEHICLE_CONDITIONS, curated_schema,
@@ -32,10 +32,11 @@ __all__ = ["Cleaned", "clean_tables"]
 
 @dataclass
 class Cleaned:
-    """Curated tables plus the tagged tables they were cut from."""
+    """Curated tables, the tagged tables with the correction flags, and the rejected rows."""
 
     curated: dict[str, DataFrame]
     tagged: dict[str, list[DataFrame]] = field(default_factory=dict)
+    rejects: dict[str, list[DataFrame]] = field(default_factory=dict)
 
 
 def _prepare(raw: DataFrame, table: str, keys: list[str]) -> DataFrame:
@@ -181,7 +182,7 @@ def tag_inquiries(raw: DataFrame, customers: DataFrame, vehicles: DataFrame) ->
          "days_to_conversion": N.to_number("raw_days_to_conversion").try_cast("smallint"),
          "estimated_market_value": F.col("_value"),
          "vehicle_age_at_inquiry": (F.year(day) - F.col("_year")).cast("smallint"),
-         "_payload_source": T.record_json(RAW_COLUMNS["fact_inquiry"], prefix="raw_")},
+         **{f"raw_{c}": F.col(f"raw_{c}") for c in RAW_COLUMNS["fact_inquiry"]}},
         {})
 
 
@@ -270,8 +271,15 @@ def reconcile_inquiries(inquiries: DataFrame, quotes: DataFrame) -> DataFrame:
         lost.alias("_fix_accepted_quote_removed_by_quality_rule"),
         (converted & F.coalesce(F.col("winning_dealer_id") != F.col("_won.dealer_id"),
                                 F.lit(False))).alias("_fix_winning_dealer_mismatch"),
-        F.when(no_quote, F.lit("inquiry_without_quote")).alias("_rule"), "_ordinal",
-        F.when(no_quote, F.col("_payload_source")).alias("_payload"))
+        F.when(no_quote, F.lit("inquiry_without_quote")).alias("_rule"))
+
+
+def unquoted_inquiries(inquiries: DataFrame, reconciled: DataFrame) -> DataFrame:
+    """Rejects of the reconciliation with their original rows, looked up only for them."""
+    left_out = rejected(reconciled).select("inquiry_id", F.col("_rule").alias("_late_rule"))
+    payload = T.record_json(RAW_COLUMNS["fact_inquiry"], prefix="raw_")
+    return join_null_safe(inquiries, left_out, ["inquiry_id"]).select(
+        "inquiry_id", F.col("_late_rule").alias("_rule"), "_ordinal", payload.alias("_payload"))
 
 
 def enrich_quotes(quotes: DataFrame, inquiries: DataFrame, workspace: Workspace) -> DataFrame:
@@ -294,9 +302,7 @@ def enrich_quotes(quotes: DataFrame, inquiries: DataFrame, workspace: Workspace)
         ratio.cast("decimal(12,4)").alias("quote_to_market_ratio"),
         N.outside_market(ratio).alias("_fix_quote_to_market_anomaly"),
         "_fix_missing_response_time",
-        (F.col("accepted_flag") & ~still).alias("_fix_accepted_quote_without_conversion"),
-        F.lit(None).cast("string").alias("_rule"), "_ordinal",
-        F.lit(None).cast("string").alias("_payload"))
+        (F.col("accepted_flag") & ~still).alias("_fix_accepted_quote_without_conversion"))
 
 
 def clean_tables(raw: dict[str, DataFrame], workspace: Workspace,
@@ -331,6 +337,13 @@ def clean_tables(raw: dict[str, DataFrame], workspace: Workspace,
             "dim_customer": [customers], "dim_vehicle": [vehicles], "dim_dealer": [dealers],
             "dim_date": [dates], "fact_inquiry": [tagged_inquiries, inquiries],
             "fact_quote": [tagged_quotes, quotes],
+        },
+        rejects={
+            "dim_customer": [rejected(customers)], "dim_vehicle": [rejected(vehicles)],
+            "dim_dealer": [rejected(dealers)], "dim_date": [rejected(dates)],
+            "fact_inquiry": [rejected(tagged_inquiries),
+                             unquoted_inquiries(open_inquiries, inquiries)],
+            "fact_quote": [rejected(tagged_quotes)],
         })
 
 

@@ -12,7 +12,7 @@ from marketlens.functions import numbers as N
 from marketlens.operators.dedupe import duplicate_count
 from marketlens.operators.joins import compare_by_key, orphan_counts
 from marketlens.operators.numbering import range_numbered
-from marketlens.operators.rules import passed_counts, rejected
+from marketlens.operators.rules import passed_counts
 from marketlens.plans.clean import Cleaned, known_issues
 from marketlens.schema import (
     ASSESSMENT_DATE, CORRECTIONS, DETECTED_AT, DIMENSION_TEXT, KEYS, REJECT_RULES,
@@ -38,11 +38,11 @@ def _rejects(cleaned: Cleaned, with_order: bool) -> DataFrame:
     parts = []
     for number, table in enumerate(TABLE_ORDER):
         rules = list(REJECT_RULES[table])
-        for tagged in cleaned.tagged[table]:
+        for rows in cleaned.rejects[table]:
             place = F.array_position(F.array(*[F.lit(r) for r in rules]), F.col("_rule"))
             extra = [(F.lit(number * 100) + place).cast("int").alias("_place"),
                      F.to_json(F.struct("_ordinal")).alias("_source_order")] if with_order else []
-            parts.append(rejected(tagged).select(
+            parts.append(rows.select(
                 F.lit(table).alias("table_name"),
                 F.coalesce(F.col(KEYS[table]).cast("string"), F.lit("<NULL>"))
                 .alias("record_id"),
