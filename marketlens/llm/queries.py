@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from marketlens.llm.bpe import op2_bpe
+from marketlens.llm.quality import op9_quality
 from marketlens.llm.simhash import op8_simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_bpe": op2_bpe,
     "op8_simhash": op8_simhash,
+    "op9_quality": op9_quality,
 }
 
 ORACLES: dict[str, str] = {}

@@ -51,6 +51,21 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[first:last], offsets - first
 
 
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of every span of bytes, from eight bytes at a time."""
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    chunks = np.ndarray(len(padded) - 7, "<u8", padded, strides=(1,))
+    left = ends - starts
+    h = mix(left.astype(np.uint64) + _ODD)
+    at, todo = starts, np.arange(len(left))
+    masks = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+    while len(todo):
+        h[todo] = mix((h[todo] ^ (chunks[at] & masks[np.minimum(left, 8)])) * _ODD)
+        more = left > 8
+        todo, at, left = todo[more], at[more] + 8, left[more] - 8
+    return h
+
+
 class Words:
     """Words of a slice: start and end byte, and per row the bounds of its words."""
 
@@ -75,23 +90,8 @@ class Words:
         return np.repeat(np.arange(len(self.counts)), self.counts)
 
     def hashes(self) -> np.ndarray:
-        """A 64-bit hash of every word, from eight bytes at a time."""
-        padded = np.concatenate((self.data, np.zeros(8, np.uint8)))
-        chunks = np.ndarray(len(padded) - 7, "<u8", padded, strides=(1,))
-        left = self.ends - self.starts
-        h = mix(left.astype(np.uint64) + _ODD)
-        at, todo = self.starts, np.arange(len(left))
-        while len(todo):
-            chunk = chunks[at]
-            short = left < 8
-            keep = np.where(short, left, 8).astype(np.uint64)
-            chunk = chunk & np.where(
-                short, (np.uint64(1) << (np.uint64(8) * keep % np.uint64(64))) - np.uint64(1),
-                np.uint64(0xFFFFFFFFFFFFFFFF))
-            h[todo] = mix((h[todo] ^ chunk) * _ODD)
-            more = left > 8
-            todo, at, left = todo[more], at[more] + 8, left[more] - 8
-        return h
+        """A 64-bit hash of every word."""
+        return hash_spans(self.data, self.starts, self.ends)
 
     def texts(self) -> list[list[bytes]]:
         """The words of each row as bytes."""
