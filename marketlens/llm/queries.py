@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from marketlens.llm.bpe import op2_bpe
+from marketlens.llm.mixture import op5_mixture
 from marketlens.llm.quality import op9_quality
 from marketlens.llm.simhash import op8_simhash
 from marketlens.llm.substrings import op3_substrings
@@ -14,6 +15,7 @@ from marketlens.llm.substrings import op3_substrings
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op3_substrings": op3_substrings,
+    "op5_mixture": op5_mixture,
     "op8_simhash": op8_simhash,
     "op9_quality": op9_quality,
 }
