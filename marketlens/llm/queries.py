@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from marketlens.llm.bpe import op2_bpe
+from marketlens.llm.fingerprints import op10_fingerprints
 from marketlens.llm.mixture import op5_mixture
 from marketlens.llm.quality import op9_quality
 from marketlens.llm.simhash import op8_simhash
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mixture": op5_mixture,
     "op8_simhash": op8_simhash,
     "op9_quality": op9_quality,
+    "op10_fingerprints": op10_fingerprints,
 }
 
 ORACLES: dict[str, str] = {}
