@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marketlens.llm.bpe import op2_bpe
 from marketlens.llm.fingerprints import op10_fingerprints
+from marketlens.llm.lattice import op4_lattice
 from marketlens.llm.mixture import op5_mixture
 from marketlens.llm.quality import op9_quality
 from marketlens.llm.simhash import op8_simhash
@@ -16,6 +17,7 @@ from marketlens.llm.substrings import op3_substrings
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op3_substrings": op3_substrings,
+    "op4_lattice": op4_lattice,
     "op5_mixture": op5_mixture,
     "op8_simhash": op8_simhash,
     "op9_quality": op9_quality,
