@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,7 +29,7 @@ from marketlens.llm.store import table
 from marketlens.llm.words import Words, gram_rows, grams, mix, slices
 
 BITS = 17
-FIT_ROWS = 3000
+FIT_ROWS = 2400
 THRESHOLD = 0.3
 ROUNDS = 120
 MIN_WORDS = 50
@@ -157,15 +158,17 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     """Fit and calibrate on a bounded sample; see the module's text."""
-    found = sorted(_sample(docs, labels, rows).collect(), key=lambda r: r.doc_id)
+    found = _sample(docs, labels, rows).toArrow().sort_by("doc_id").combine_chunks()
     model = Model(np.zeros(1 << BITS, np.float32))
-    y = np.array([r.y for r in found], np.float64)
-    if len(found) < 30 or not 0 < y.sum() < len(y):
+    y = found["y"].to_numpy().astype(np.float64)
+    if len(y) < 30 or not 0 < y.sum() < len(y):
         return model
-    owner = np.repeat(np.arange(len(found)), [len(r.buckets) for r in found])
-    cell = np.concatenate([np.array(r.buckets, np.int64) for r in found])
-    value = np.concatenate([np.array(r.amounts, np.float64) for r in found])
-    held = np.arange(len(found)) % 3 == 2
+    owner = np.repeat(np.arange(len(y), dtype=np.int32),
+                      pc.list_value_length(found["buckets"]).to_numpy())
+    cell = pc.list_flatten(found["buckets"]).to_numpy()
+    value = pc.list_flatten(found["amounts"]).to_numpy()
+    del found
+    held = np.arange(len(y)) % 3 == 2
     use = ~held[owner]
     balance = np.where(y > 0, 0.5 / max(y[~held].mean(), 1e-9),
                        0.5 / max(1 - y[~held].mean(), 1e-9)) * ~held
