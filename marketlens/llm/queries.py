@@ -7,18 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from marketlens.llm.bpe import op2_bpe
+from marketlens.llm.chat import op7_chat
 from marketlens.llm.fingerprints import op10_fingerprints
 from marketlens.llm.lattice import op4_lattice
+from marketlens.llm.licences import op6_licences
 from marketlens.llm.mixture import op5_mixture
 from marketlens.llm.quality import op9_quality
 from marketlens.llm.simhash import op8_simhash
 from marketlens.llm.substrings import op3_substrings
+from marketlens.llm.urls import op1_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_urls": op1_urls,
     "op2_bpe": op2_bpe,
     "op3_substrings": op3_substrings,
     "op4_lattice": op4_lattice,
     "op5_mixture": op5_mixture,
+    "op6_licences": op6_licences,
+    "op7_chat": op7_chat,
     "op8_simhash": op8_simhash,
     "op9_quality": op9_quality,
     "op10_fingerprints": op10_fingerprints,
