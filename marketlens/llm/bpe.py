@@ -33,7 +33,7 @@ from marketlens.llm.store import table
 from marketlens.llm.words import flat, hash_spans, slices
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
-CACHE = 300_000
+CACHE = 100_000
 BLOCK = 64
 
 # Symbols of a code point.
@@ -220,6 +220,16 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return found
 
 
+@lru_cache(maxsize=2)
+def token_bytes(name: str) -> list[bytes]:
+    """The bytes of each id."""
+    ranks = read_ranks(name)
+    tokens = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        tokens[rank] = token
+    return tokens
+
+
 class Pairs:
     """Ranks of adjacent token pairs, looked up many at once."""
 
@@ -289,17 +299,13 @@ def merge_many(pieces: list[bytes], bytes_to_id: np.ndarray, pairs: Pairs) -> li
 
 
 class Codec:
-    """Ranks, the cache of merged pieces and the bytes of each id, once per worker."""
+    """Ranks, the length of each id's bytes and the cache of merged pieces, once per worker."""
 
     def __init__(self, name: str):
         self.ranks = read_ranks(name)
         self.pairs = Pairs(self.ranks)
         self.bytes_to_id = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
-        size = max(self.ranks.values()) + 1
-        self.tokens = [b""] * size
-        for token, rank in self.ranks.items():
-            self.tokens[rank] = token
-        self.lengths = np.array([len(t) for t in self.tokens], np.int64)
+        self.lengths = np.array([len(t) for t in token_bytes(name)], np.int64)
         self.cache: dict[bytes, list[int]] = {}
 
     def merged(self, pieces: list[bytes]) -> list[list[int]]:
@@ -378,7 +384,7 @@ def decode(encoded: DataFrame, ids: str = "ids", ranks: str = RANKS,
     at = names.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = codec(ranks).tokens
+        tokens = token_bytes(ranks)
         for batch in batches:
             column = batch.column(at)
             texts = [b"".join([tokens[i] for i in row.values.to_numpy().tolist()])
@@ -391,7 +397,7 @@ def decode(encoded: DataFrame, ids: str = "ids", ranks: str = RANKS,
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    coded = decode(encode(docs))
+    coded = decode(encode(docs).drop("offsets"))
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),

@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlens.session import shared_folder
+from marketlens.session import _delete, shared_folder
 
 # Shuffle files of a finished write are not needed again; free their disk at once.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -19,8 +19,10 @@ _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__
 def reach_workers(spark: SparkSession) -> None:
     """Let Python workers import this package where its folder is visible to them.
 
-    Elsewhere the package is installed or sent with --py-files, as usual.
+    Elsewhere the package is installed or sent with --py-files, as usual. Arrow batches are kept
+    small, so that the texts of one fit in a worker many times over.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     environment = spark.sparkContext.environment
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
     if _ROOT not in paths:
@@ -48,6 +50,13 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete a stored intermediate that nothing will read again."""
+    for path in {os.path.dirname(name) for name in df.inputFiles()}:
+        if "/llm-" in path:
+            _delete(df.sparkSession, path)
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """A column name the frame does not have yet."""
     taken = {c.lower() for c in df.columns}
