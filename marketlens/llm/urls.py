@@ -35,7 +35,7 @@ from marketlens.llm.store import stored, table
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"),
          ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
 # Host words that mark a url as unwanted for training.
-SEEDS = ["adult", "bet", "betting", "casino", "escort", "gambling", "hack", "malware", "phish",
+SEEDS = ["ads", "adult", "bet", "bets", "betting", "casino", "escort", "gambling", "hack", "malware", "phish",
          "pills", "poker", "porn", "sex", "spam", "viagra", "warez", "xxx"]
 SEED_COUNT = 100
 MAX_WORD = 20
