@@ -3,15 +3,19 @@
 An edge is a window of `WINDOW` consecutive words, joining its first words to its last. A window
 repeats if its word sequence also starts in a document with a smaller doc_id.
 
-1. Sieve. Every window is stood for by the least hash of its runs of `SEED` words, so equal windows
+1. Copies. A text equal to that of a smaller doc_id is a copy: all its windows repeat. Only the first
+   document of each text goes on.
+2. Sieve. Every window is stood for by the least hash of its runs of `SEED` words, so equal windows
    share that seed. Seeds met in one document only are dropped by a count, with their windows.
-2. Edges. The other windows are keyed by two independent 64-bit hashes. One aggregate gives each
-   edge its source (the least doc_id and a position there), and whether all its occurrences have the
-   same word before and the same word after.
-3. Compaction. Edges that follow each other in their source without a branch form one path: every
+3. Edges. The other windows are keyed by a 64-bit hash. One aggregate gives each edge its source (the
+   least doc_id and a position there), and whether all its occurrences have the same word before and
+   the same word after.
+4. Compaction. Edges that follow each other in their source without a branch form one path: every
    occurrence of the first edge is an occurrence of the path. Joins of the first edges with the
-   occurrences give spans of documents, each with the source coordinates that carry the same edges.
-4. The spans go back to their documents and their words are removed.
+   occurrences give spans of documents, each with its coordinates in the source.
+5. Verification. The words of each span and of its source are digested where they stand, and a span
+   stays only if both digests agree, so a chance collision of edge hashes removes nothing.
+6. The spans go back to their documents and their words are removed.
 
 Only seeds and repeated edges are shuffled, and documents by their own key. The occurrences of a
 common passage do not meet in one task: counts are partly aggregated before the shuffle, and the
@@ -28,16 +32,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marketlens.llm.store import stored, table
-from marketlens.llm.words import Words, grams, mix, slices
+from marketlens.llm.store import discard, stored, table
+from marketlens.llm.words import Words, flat, grams, mix, slices
 
 WINDOW = 13
 SEED = 6
 _LAST = (1 << 63) - 1
-_CHECK = 0x94D049BB133111EB
 
 
 def _windows(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -88,7 +92,7 @@ def _emit_seeds(keyed: DataFrame, size: int, seed: int) -> DataFrame:
 
 
 def _emit_edges(met: DataFrame, size: int, seed: int) -> DataFrame:
-    """Occurrences of windows whose seed repeats: keys, coordinates, neighbouring words."""
+    """Occurrences of windows whose seed repeats: key, coordinates, and its neighbours' tags."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "_body"):
@@ -102,61 +106,101 @@ def _emit_edges(met: DataFrame, size: int, seed: int) -> DataFrame:
                 hit = np.isin(_seeds(hashes, at, size, seed) ^ salt[rows],
                               wanted ^ np.repeat(salt, sizes))
                 at, rows = at[hit], rows[hit]
-                tags = (hashes >> np.uint64(33)).astype(np.int32)
+                tags = np.append((hashes >> np.uint64(33)) + np.uint64(1), np.uint64(0))
                 first, last = words.bounds[rows], words.bounds[rows + 1]
-                edge = np.where(at > first, tags[np.maximum(at - 1, 0)], -1)
-                after = np.where(at + size < last,
-                                 tags[np.minimum(at + size, max(len(tags) - 1, 0))], -1)
+                before = tags[np.where(at > first, at - 1, len(hashes))]
+                after = tags[np.where(at + size < last, at + size, len(hashes))]
                 owner = pa.array(rows)
                 yield pa.RecordBatch.from_arrays(
-                    [_long(grams(hashes, size)[at]), _long(grams(hashes, size, _CHECK)[at]),
-                     part.column("_doc").take(owner), part.column("_text").take(owner),
-                     pa.array((at - first).astype(np.int32)), pa.array(edge.astype(np.int32)),
-                     pa.array(after.astype(np.int32))],
-                    ["key", "check", "_doc", "_text", "pos", "before", "after"])
+                    [_long(grams(hashes, size)[at]), part.column("_doc").take(owner),
+                     part.column("_text").take(owner), pa.array((at - first).astype(np.int32)),
+                     _long(before << np.uint64(32) | after)],
+                    ["key", "_doc", "_text", "pos", "tags"])
 
-    return met.mapInArrow(run, "key long, check long, _doc long, _text long, pos int, "
-                               "before int, after int")
+    return met.mapInArrow(run, "key long, _doc long, _text long, pos int, tags long")
 
 
 def _paths(occurrences: DataFrame) -> DataFrame:
     """First edge, source coordinates and number of edges of each compacted repeated path."""
-    edges = occurrences.groupBy("key", "check").agg(
-        F.min("_doc").alias("src"), F.max("_doc").alias("most"),
-        F.min_by("_text", "_doc").alias("src_text"), F.min_by("pos", "_doc").alias("src_pos"),
-        F.min("before").alias("b0"), F.max("before").alias("b1"),
-        F.min("after").alias("a0"), F.max("after").alias("a1")).where("src < most")
-    edges = edges.select("key", "check", "src", "src_text", "src_pos",
-                         F.expr("b0 = b1 and b0 >= 0").alias("one_before"),
-                         F.expr("a0 = a1 and a0 >= 0").alias("one_after"))
+    edges = occurrences.groupBy("key").agg(
+        F.min("tags").alias("t0"), F.max("tags").alias("t1"), F.min("_doc").alias("src"),
+        F.max("_doc").alias("most"), F.min_by("_text", "_doc").alias("src_text"),
+        F.min_by("pos", "_doc").alias("src_pos")).where("src < most")
     order = Window.partitionBy("src", "src_text").orderBy("src_pos")
-    linked = F.expr("one_before and was_after and was_pos = src_pos - 1")
-    marked = edges.withColumns({
-        "was_pos": F.lag("src_pos").over(order), "was_after": F.lag("one_after").over(order)})
+    plain = edges.select("key", "src", "src_text", "src_pos", F.expr("t0 = t1").alias("plain"))
+    linked = F.expr("plain and was_plain and was_pos = src_pos - 1")
+    marked = plain.withColumns({
+        "was_pos": F.lag("src_pos").over(order), "was_plain": F.lag("plain").over(order)})
     marked = marked.withColumn("path", F.sum(F.when(linked, 0).otherwise(1)).over(order))
     return marked.groupBy("src", "src_text", "path").agg(
         F.min("src_pos").alias("src_pos"), F.min_by("key", "src_pos").alias("key"),
-        F.min_by("check", "src_pos").alias("check"), F.count("*").alias("edges")).drop("path")
+        F.count("*").alias("edges")).drop("path")
+
+
+def _digested(keyed: DataFrame, spans: DataFrame) -> DataFrame:
+    """(_doc, _text, pos, n_words) spans with the digest of their words where they stand."""
+    lists = spans.groupBy("_doc", "_text").agg(
+        F.collect_set(F.struct("pos", "n_words")).alias("_spans"))
+    met = keyed.join(lists, ["_doc", "_text"]).select(
+        "_doc", "_text", "_body", F.col("_spans.pos").alias("at"),
+        F.col("_spans.n_words").alias("long"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, where, sizes, found = [], [], [], []
+            data, offsets = flat(batch.column("_body"))
+            raw = data.tobytes()
+            for row, (at, long) in enumerate(zip(batch.column("at").to_pylist(),
+                                                 batch.column("long").to_pylist())):
+                words = raw[offsets[row]:offsets[row + 1]].split()
+                for a, n in zip(at, long):
+                    found.append(xxhash.xxh3_128_digest(b" ".join(words[a:a + n])))
+                rows += [row] * len(at)
+                where += at
+                sizes += long
+            owner = pa.array(rows, pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("_doc").take(owner), batch.column("_text").take(owner),
+                 pa.array(where, pa.int32()), pa.array(sizes, pa.int32()),
+                 pa.array(found, pa.binary())], ["_doc", "_text", "pos", "n_words", "digest"])
+
+    return met.mapInArrow(run, "_doc long, _text long, pos int, n_words int, digest binary")
 
 
 def repeated_spans(docs: DataFrame, text: str = "text", size: int = WINDOW,
                    seed: int = SEED) -> DataFrame:
-    """Spans to remove: (_doc, _text, pos, n_words) and the source (src, src_pos) of the same words.
+    """Verified spans to remove: (_doc, _text, pos, n_words) and their source (src, src_pos).
 
-    `_doc` is the doc_id, or the largest long for null, and `_text` a hash of the text.
+    `_doc` is the doc_id, or the largest long for null, and `_text` a hash of the text. A copy of a
+    whole text has one span with pos 0 and n_words null.
     """
     keyed = _keyed(docs, text)
-    seeds = stored(_emit_seeds(keyed, size, seed))
+    firsts = stored(keyed.groupBy("_text").agg(F.min("_doc").alias("_doc")))
+    copies = keyed.select("_doc", "_text").join(
+        firsts.withColumnRenamed("_doc", "src"), "_text").where("_doc > src").select(
+        "_doc", "_text", F.lit(0).alias("pos"), F.lit(None).cast("int").alias("n_words"), "src",
+        F.lit(0).alias("src_pos"))
+    seeds = stored(_emit_seeds(keyed.join(firsts, ["_text", "_doc"], "left_semi"), size, seed))
     shared = seeds.groupBy("seed").agg(F.min("_doc").alias("a"), F.max("_doc").alias("b")) \
         .where("a < b").select("seed")
     wanted = stored(seeds.join(shared, "seed", "left_semi").groupBy("_doc", "_text").agg(
         F.collect_set("seed").alias("seeds")))
-    met = keyed.join(wanted, ["_doc", "_text"])
-    occurrences = stored(_emit_edges(met, size, seed))
+    discard(seeds)
+    occurrences = stored(_emit_edges(keyed.join(wanted, ["_doc", "_text"]), size, seed))
     paths = stored(_paths(occurrences))
-    return occurrences.join(paths, ["key", "check"]).where("_doc > src").select(
-        "_doc", "_text", "pos", (F.col("edges") + size - 1).cast("int").alias("n_words"), "src",
-        "src_pos")
+    n_words = (F.col("edges") + size - 1).cast("int").alias("n_words")
+    spans = stored(occurrences.join(paths, "key").where("_doc > src").select(
+        "_doc", "_text", "pos", n_words, "src", "src_text", "src_pos"))
+    discard(occurrences)
+    sources = spans.select(F.col("src").alias("_doc"), F.col("src_text").alias("_text"),
+                           F.col("src_pos").alias("pos"), "n_words").distinct()
+    digests = stored(_digested(keyed, spans.select(sources.columns).unionByName(sources)))
+    theirs = digests.select(F.col("_doc").alias("src"), F.col("_text").alias("src_text"),
+                            F.col("pos").alias("src_pos"), "n_words",
+                            F.col("digest").alias("source_digest"))
+    verified = spans.join(digests, ["_doc", "_text", "pos", "n_words"]).join(
+        theirs, ["src", "src_text", "src_pos", "n_words"]).where("digest = source_digest")
+    return verified.select("_doc", "_text", "pos", "n_words", "src", "src_pos").unionByName(copies)
 
 
 def cut_repeats(docs: DataFrame, text: str = "text", keep: list[str] | None = None,
@@ -186,8 +230,10 @@ def cut_repeats(docs: DataFrame, text: str = "text", keep: list[str] | None = No
                     if at[row].is_valid:
                         cover = np.zeros(len(own) + 1, np.int64)
                         start = at[row].values.to_numpy()
+                        wide = long[row].values.fill_null(
+                            len(own) if len(own) >= size else 0).to_numpy()
                         np.add.at(cover, start, 1)
-                        np.add.at(cover, start + long[row].values.to_numpy(), -1)
+                        np.add.at(cover, start + wide, -1)
                         stay = np.cumsum(cover[:-1]) == 0
                         left = [w for w, ok in zip(own, stay.tolist()) if ok]
                     else:
@@ -208,6 +254,22 @@ def cut_repeats(docs: DataFrame, text: str = "text", keep: list[str] | None = No
                        "n_removed", "kept_text")
 
 
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """The documents with repeated passages cut from `text`, `n_chars` to match where there is one.
+
+    A text that loses nothing stays as it is, a cut one has its kept words joined by one space. A
+    document that loses everything stays with an empty text.
+    """
+    names = docs.columns
+    plain = docs.select("doc_id", "text", *[F.col(f"`{c}`").alias(f"_c{i}")
+                                            for i, c in enumerate(names)])
+    kept = [f"_c{i}" for i in range(len(names))]
+    cut = cut_repeats(plain, keep=["text", *kept])
+    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
+    new = {"text": text, "n_chars": F.char_length(text).cast("long")}
+    return cut.select(*[new.get(c, F.col(k)).alias(c) for c, k in zip(names, kept)])
+
+
 def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = cut_repeats(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_words", "n_removed",
