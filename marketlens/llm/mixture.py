@@ -116,28 +116,28 @@ def slots(dealt: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
                     f" + pmod(xxhash64(source), {n})) % {n} as bigint)")
     block = F.when(at >= F.col("full"), F.col("full")).otherwise(turned)
     return spread.select(
-        "shard", "source", "slot", block.alias("block"),
+        "shard", "source", "slot", F.expr("slot div per_pass").alias("pass"), block.alias("block"),
         F.when(F.col("slot") == F.col("slots") - 1, F.col("trim")).otherwise(
             F.lit(block_words)).alias("shown"))
 
 
 def place(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
     """Each document's size and place in its source's stream, and the sources' sizes."""
+    body = F.col(f"`{text}`").cast("string")
     sized = stored(docs.select(
-        "doc_id", F.col("source").cast("string").alias("source"),
-        F.coalesce(F.regexp_count(F.col(f"`{text}`").cast("string"), F.lit(WORD)), F.lit(0))
-        .cast("long").alias("size"),
+        "doc_id", F.xxhash64(body, F.lit(3)).alias("_text"), F.col("source").cast("string").alias("source"),
+        F.coalesce(F.regexp_count(body, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(SLICES)).alias("_slice")))
     sums = sized.groupBy("source", "_slice").agg(F.sum("size").alias("_sum"))
     ahead = Window.partitionBy("source").orderBy("_slice").rowsBetween(
         Window.unboundedPreceding, -1)
     starts = sums.select(F.col("source").alias("_source"), F.col("_slice").alias("_part"),
                          F.coalesce(F.sum("_sum").over(ahead), F.lit(0)).alias("_offset"))
-    within = Window.partitionBy("source", "_slice").orderBy("doc_id", "size").rowsBetween(
+    within = Window.partitionBy("source", "_slice").orderBy("doc_id", "_text").rowsBetween(
         Window.unboundedPreceding, -1)
     placed = sized.withColumn("_inner", F.coalesce(F.sum("size").over(within), F.lit(0)))
     placed = placed.join(starts, F.expr("source <=> _source and _slice = _part")).select(
-        "doc_id", "source", "size", (F.col("_offset") + F.col("_inner")).alias("start"))
+        "doc_id", "_text", "source", "size", (F.col("_offset") + F.col("_inner")).alias("start"))
     return stored(placed), sized.groupBy("source").agg(F.sum("size").alias("source_size"))
 
 
@@ -145,7 +145,7 @@ def mix(docs: DataFrame, text: str = "text",
         block_words: int = BLOCK_WORDS) -> tuple[DataFrame, DataFrame]:
     """Placed documents with their sources' targets, and the pieces of them that the mix shows.
 
-    A piece is (shard, slot, source, start, words from `lo` up to `hi` of the document).
+    A piece is (shard, slot, pass, source, start, words from `lo` up to `hi` of the document).
     """
     placed, sizes = place(docs, text)
     sources = stored(_sources(sizes, block_words))
@@ -157,7 +157,7 @@ def mix(docs: DataFrame, text: str = "text",
     met = shown.join(blocks, F.expr("source <=> _source and block = _block"))
     lo = F.greatest(F.col("block") * block_words - F.col("start"), F.lit(0))
     hi = F.least(F.col("block") * block_words + F.col("shown") - F.col("start"), F.col("size"))
-    pieces = met.select("shard", "slot", "source", "start", lo.alias("lo"), hi.alias("hi")) \
+    pieces = met.select("shard", "slot", "pass", "source", "start", lo.alias("lo"), hi.alias("hi")) \
         .where("hi > lo")
     known = targets(sizes).select(F.col("source").alias("_source"), "source_size", "target")
     return placed.join(known, F.expr("source <=> _source")).drop("_source"), pieces
@@ -173,5 +173,37 @@ def taken(docs: DataFrame, text: str = "text", block_words: int = BLOCK_WORDS) -
                       F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
+def mixed(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The documents as the mix shows them: a row for each pass over a document, or none.
+
+    A pass that shows all words keeps the text as it is, another one the shown words joined by one
+    space; `n_chars` follows where there is one. Rows equal in doc_id and text share their other
+    columns with the first of them.
+    """
+    names = docs.columns
+    placed, pieces = mix(docs, "text", block_words)
+    shown = pieces.groupBy(F.col("source").alias("_source"), F.col("start").alias("_start"),
+                           F.col("pass")).agg(
+        F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("_shown"),
+        F.sum(F.col("hi") - F.col("lo")).alias("_taken"))
+    wanted = placed.where("size > 0").join(shown, F.expr(
+        "source <=> _source and start = _start")).select(
+        F.col("doc_id").alias("_id"), F.col("_text").alias("_key"), "_shown",
+        (F.col("_taken") < F.col("size")).alias("_partly"))
+    body = F.col("text").cast("string")
+    kept = [F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(names)]
+    bodies = docs.select(F.col("doc_id").alias("_doc"), F.xxhash64(body, F.lit(3)).alias("_hash"),
+                         body.alias("_body"), *kept).dropDuplicates(["_doc", "_hash"])
+    met = bodies.join(wanted, F.expr("_doc <=> _id and _hash = _key"))
+    words = F.regexp_extract_all("_body", F.lit(WORD), F.lit(0))
+    part = met.withColumn("_words", F.when(F.col("_partly"), words))
+    text = F.when(F.col("_partly"), F.array_join(F.flatten(F.transform(
+        "_shown", lambda p: F.slice("_words", (p["lo"] + 1).cast("int"),
+                                    (p["hi"] - p["lo"]).cast("int")))), " ")) \
+        .otherwise(F.col("_body"))
+    new = {"text": text, "n_chars": F.char_length(text).cast("long")}
+    return part.select(*[new.get(c, F.col(f"_c{i}")).alias(c) for i, c in enumerate(names)])
+
+
 def op5_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken(table(spark, sf_dir, "documents"))

@@ -231,6 +231,15 @@ def judge(docs: DataFrame, model: Model, threshold: float = THRESHOLD,
     return chosen.mapInArrow(run, fields.schema)
 
 
+def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents that pass, with their own columns whatever these are called."""
+    names = docs.columns
+    plain = docs.select(*[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(names)],
+                        F.col("text").cast("string").alias("text"))
+    judged = judge(plain, model, threshold, [f"_k{i}" for i in range(len(names))])
+    return judged.where("kept").select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(names)])
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return judge(docs, fit(docs, table(spark, sf_dir, "labels")))
