@@ -9,11 +9,6 @@ from pyspark.sql.window import Window
 from marketlens.operators.joins import join_null_safe
 from marketlens.session import Workspace
 
-# A key is hot when it holds more than one ten-thousandth of all rows and a full task's worth.
-HOT_SHARE = 10_000
-HOT_FLOOR = 1_000_000
-
-
 def range_numbered(workspace: Workspace, df: DataFrame, stage: str, order: list[Column],
                    number: str, within: list[str] | None = None) -> DataFrame:
     """Exact row_number without one big sort: range slices, then an offset per slice.
@@ -38,21 +33,26 @@ def range_numbered(workspace: Workspace, df: DataFrame, stage: str, order: list[
 
 
 def number_within(workspace: Workspace, df: DataFrame, stage: str, key: str,
-                  order: list[Column], number: str, sizes: DataFrame, size: str,
-                  hot_floor: int | None = None) -> DataFrame:
-    """row_number per key; keys too large for one task are numbered by range slices.
+                  order: list[Column], number: str) -> DataFrame:
+    """row_number per key on one plan for every size: range slices by key and order.
 
-    `sizes` is a stored table with the row count of each key, so looking for hot keys reads
-    one column and usually no row group at all.
+    A slice numbers its own rows, so a key of any size is spread over slices. Only the last key of
+    a slice can go on in the next one, so there is at most one offset per slice, which is a bound
+    for the broadcasts.
     """
-    rows = sizes.agg(F.sum(size)).first()[0] or 0
-    limit = max(hot_floor or HOT_FLOOR, rows // HOT_SHARE)
-    hot = sizes.filter(F.col(size) > limit).select(key)  # under HOT_SHARE keys by construction
-    window = Window.partitionBy(key).orderBy(*order)
-    if hot.isEmpty():
-        return df.withColumn(number, F.row_number().over(window))
-    hot = F.broadcast(hot)
-    cold_rows = df.join(hot, key, "left_anti").withColumn(number, F.row_number().over(window))
-    hot_rows = range_numbered(
-        workspace, df.join(hot, key, "left_semi"), stage, order, number, [key])
-    return cold_rows.unionByName(hot_rows)
+    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = workspace.stage(df.repartitionByRange(slices, F.col(key), *order)
+                          .withColumn("_slice", F.spark_partition_id()), stage)
+    tops = cut.groupBy("_slice").agg(F.max(F.struct(F.col(key).alias("k"))).alias("_top"))
+    tops = tops.select("_slice", F.col("_top.k").alias(key))
+    counts = join_null_safe(cut, F.broadcast(tops), [key, "_slice"]).groupBy(key, "_slice").agg(
+        F.count(F.lit(1)).alias("_n"))
+    offsets = counts.withColumns({  # one row per slice
+        "_offset": F.sum("_n").over(Window.partitionBy(key).orderBy("_slice")),
+        "_next": F.lead("_slice").over(Window.partitionBy(F.lit(0)).orderBy("_slice"))})
+    offsets = offsets.filter("_next is not null").select(
+        key, F.col("_next").alias("_slice"), "_offset")
+    inside = Window.partitionBy(key, "_slice").orderBy(*order)
+    return (join_null_safe(cut, F.broadcast(offsets), [key, "_slice"], "left")
+            .withColumn(number, F.row_number().over(inside) + F.coalesce("_offset", F.lit(0)))
+            .drop("_slice", "_offset"))

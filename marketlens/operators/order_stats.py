@@ -105,15 +105,16 @@ def _ranks(cells: DataFrame, keys: list[str], name: str, method: str,
 
 
 def value_ranks(df: DataFrame, unit: str, name: str, method: str = "rank",
-                descending: bool = False) -> DataFrame:
-    """`rank`, `dense_rank` or `percent_rank` of a whole-number column over all rows.
+                descending: bool = False, within: list[str] | None = None) -> DataFrame:
+    """`rank`, `dense_rank` or `percent_rank` of a whole-number column over all rows or groups.
 
     Ranks are computed per distinct value and joined back; rows with a NULL value get NULL.
     """
-    cells = (df.filter(F.col(unit).isNotNull()).groupBy(F.col(unit).alias("_unit"))
+    within = within or []
+    cells = (df.filter(F.col(unit).isNotNull()).groupBy(*within, F.col(unit).alias("_unit"))
              .agg(F.count(F.lit(1)).alias("_n")))
-    ranks = _ranks(cells, [], name, method, descending)
-    return df.join(ranks, F.col(unit) == F.col("_ranked"), "left").drop("_ranked")
+    ranks = _ranks(cells, within, name, method, descending)
+    return join_null_safe(df, ranks.withColumnRenamed("_ranked", unit), [*within, unit], "left")
 
 
 def several_ranks(df: DataFrame, key: str, columns: dict[str, Column],

@@ -288,9 +288,8 @@ def enrich_quotes(quotes: DataFrame, inquiries: DataFrame, workspace: Workspace)
         F.col("inquiry_id").alias("_i"), "estimated_market_value",
         F.col("conversion_flag").alias("_converted"))
     df = quotes.join(known, F.col("inquiry_id") == F.col("_i"), "left").drop("_i")
-    df = number_within(workspace, df, "hot_quote_slices", "inquiry_id",
-                       [F.col("quote_amount").desc(), F.col("_ordinal")], "quote_rank",
-                       inquiries.select("inquiry_id", "quote_count"), "quote_count")
+    df = number_within(workspace, df, "quote_slices", "inquiry_id",
+                       [F.col("quote_amount").desc(), F.col("_ordinal")], "quote_rank")
     ratio = F.bround(F.try_divide(F.col("quote_amount"), F.col("estimated_market_value")), 4)
     still = F.col("accepted_flag") & F.coalesce("_converted", F.lit(False))
     return df.select(

@@ -18,6 +18,7 @@ from marketlens.functions import numbers as N
 from marketlens.functions import text as T
 from marketlens.functions.bands import band_below, band_order
 from marketlens.functions.calendar import month_of
+from marketlens.operators.joins import join_null_safe
 from marketlens.operators.order_stats import exact_percentiles, value_ranks
 from marketlens.plans.views import Tables
 from marketlens.schema import (
@@ -30,6 +31,7 @@ VEHICLE = ["brand", "model", "vehicle_type", "fuel_type", "vehicle_condition",
            "mileage_bracket", "market_value_band"]
 DEALER = ["dealer_id", "dealer_name", "dealer_region", "dealer_type", "dealer_rating",
           "active_flag"]
+DEALERS = ["dealer_id", "dealer_name"]
 DATE = ["date", "month_start", "year"]
 INQUIRY = ["lead_source", "status", "response_band", "response_band_order"]
 REACH = {
@@ -280,8 +282,10 @@ def _aggregate(t: Tables, names: list[str], by: list[str], filters: dict) -> Dat
                     key=lambda level: -len(level[0]))
     keys, result = levels[0]
     for fewer, coarser in levels[1:]:
+        if not set(fewer) <= set(keys):
+            raise ValueError(f"no measure reaches both {keys} and {fewer}; ask for them apart")
         # A fact the remaining keys do not reach repeats its coarser value on every row.
-        result = (result.join(coarser, fewer, "left") if fewer
+        result = (join_null_safe(result, coarser, fewer, "left") if fewer
                   else result.crossJoin(F.broadcast(coarser)))
     return result
 
@@ -289,33 +293,42 @@ def _aggregate(t: Tables, names: list[str], by: list[str], filters: dict) -> Dat
 def _shifts(t: Tables, names: list[str], by: list[str], filters: dict) -> list[DataFrame]:
     """Move each month's totals forward to the months that look back on it.
 
-    The facts are read once for all shifted measures; a date filter limits the months shown,
-    not the months looked back on.
+    The facts are read once for all shifted measures. Any date filter limits the months shown, not
+    the months looked back on, and a year among the keys is that of the month shown.
     """
-    if "month_start" not in by:
-        raise ValueError(f"{names[0]} needs month_start among the group keys")
+    if "month_start" not in by or "date" in by:
+        raise ValueError(f"{names[0]} needs month_start among the group keys, and not date")
+    keys = [c for c in by if c != "year"]
     inputs = list(dict.fromkeys(i for n in names for i in MEASURES[n].inputs))
     totals = cut(_aggregate(
-        t, inputs, by, {c: v for c, v in filters.items() if c not in DATE}))
-    calendar = t["dim_date"].select(month_of("date").alias("month_start")).distinct()
+        t, inputs, keys, {c: v for c, v in filters.items() if c not in DATE}))
+    shown = _date_columns(t["dim_date"], "date")
+    for name in DATE:
+        if name in filters:
+            shown = shown.filter(_predicate(name, filters[name]))
+    shown = shown.select("month_start").distinct()
     parts = []
     for name in names:
         measure = MEASURES[name]
         months = F.array(*[F.lit(m) for m in measure.options["months"]])
         moved = totals.withColumn("_shift", F.explode(months)).withColumn(
             "month_start", F.add_months("month_start", F.col("_shift")))
-        sums = moved.groupBy(*by).agg(*[F.sum(c).alias(c) for c in measure.inputs])
+        sums = moved.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in measure.inputs])
+        if "year" in by:
+            sums = sums.withColumn("year", F.year("month_start"))
         value = (F.col(measure.inputs[0]) if len(measure.inputs) == 1
                  else N.quotient(*[F.col(c) for c in measure.inputs]))
-        part = sums.join(calendar, "month_start", "left_semi").select(*by, value.alias(name))
-        if "month_start" in filters:
-            part = part.filter(_predicate("month_start", filters["month_start"]))
-        parts.append(part)
+        parts.append(sums.join(shown, "month_start", "left_semi").select(*by, value.alias(name)))
     return parts
 
 
-def _rank(df: DataFrame, name: str, measure: Special, min_quotes: int) -> DataFrame:
-    """Dense rank among the dealers with enough quotes; the others get no rank."""
+def _rank(df: DataFrame, name: str, measure: Special, by: list[str],
+          min_quotes: int) -> DataFrame:
+    """Dense rank among the dealers with enough quotes, under each value of the other keys.
+
+    Dealers without enough quotes get no rank.
+    """
+    within = [c for c in by if c not in DEALERS]
     enough = F.col("total_quotes") >= min_quotes
     if measure.options["by"] == "win_rate":
         score = N.ratio(F.col("dealer_wins").cast(N.COUNT), F.col("total_quotes"))
@@ -324,7 +337,7 @@ def _rank(df: DataFrame, name: str, measure: Special, min_quotes: int) -> DataFr
         score, scale = F.col("dealer_accepted_value"), 2
     unit = (score * F.lit(10 ** scale)).cast("bigint")
     ranked = value_ranks(df.withColumn("_score", F.when(enough, unit)), "_score", "_place",
-                         "dense_rank", descending=True)
+                         "dense_rank", descending=True, within=within)
     place = F.col("_place")
     if "top" in measure.options:
         value = F.when(place <= measure.options["top"], F.col(measure.options["show"]))
@@ -359,6 +372,9 @@ def _validate(measures: list[str], by: list[str], filters: dict) -> None:
     facts = {getattr(MEASURES[n], "fact", None) or getattr(MEASURES[n], "options", {}).get("fact")
              for n in _closure(measures)} | {
         "inquiry" for n in _closure(measures) if getattr(MEASURES[n], "kind", "") == "shift"}
+    ranked = [n for n in measures if getattr(MEASURES[n], "kind", "") == "rank"]
+    if ranked and not set(by) & set(DEALERS):
+        raise ValueError(f"{ranked[0]} needs a dealer among the group keys")
     reached = {c for fact in facts - {None} for c in REACH[fact]}
     if not set(by) <= reached:
         raise ValueError(f"no measure reaches {sorted(set(by) - reached)}")
@@ -386,11 +402,10 @@ def evaluate(t: Tables, measures: list[str], by: list[str] | None = None,
         if isinstance(measure, Derived):
             df = df.withColumn(name, measure.value(*[F.col(c) for c in measure.inputs]))
         elif getattr(measure, "kind", None) == "rank":
-            df = _rank(df, name, measure, min_quotes)
+            df = _rank(df, name, measure, by, min_quotes)
     return df.select(*by, *measures)
 
 
-DEALERS = ["dealer_id", "dealer_name"]
 # Report queries as (group keys, measures, sort measure or None).
 REPORTS: dict[str, tuple[list[str], list[str], str | None]] = {
     "r01": (["month_start"], ["total_inquiries", "converted_inquiries", "conversion_rate"], None),

@@ -585,6 +585,30 @@ def reports(min_quotes: int, slicers: dict) -> dict[str, str]:
             CAST(now_c AS DOUBLE) / now - CAST(c1 AS DOUBLE) / nullif(p1, 0)
               AS conversion_rate_change,
             CAST(rc AS DOUBLE) / nullif(r, 0) AS rolling_3m_conversion_rate FROM ({months})""",
+        "measure_series_sliced": f"""SELECT month AS month_start, now AS total_inquiries,
+            p1 AS previous_month_inquiries, p12 AS previous_year_inquiries,
+            CAST(rc AS DOUBLE) / nullif(r, 0) AS rolling_3m_conversion_rate FROM ({months})
+            WHERE month BETWEEN DATE '1996-03-01' AND DATE '1998-12-01'""",
+        "measure_series_by_year": f"""SELECT month AS month_start, year(month) AS year,
+            now AS total_inquiries, p1 AS previous_month_inquiries,
+            CAST(rc AS DOUBLE) / nullif(r, 0) AS rolling_3m_conversion_rate FROM ({months})
+            WHERE coalesce(now, p1, r) IS NOT NULL""",
+        "measure_rank_by_month": f"""SELECT month_start, dealer_id, total_quotes,
+            CASE WHEN total_quotes >= 5 THEN dense_rank() OVER (PARTITION BY month_start,
+            total_quotes >= 5 ORDER BY dealer_win_rate DESC) END AS dealer_rank
+            FROM ({quo("total_quotes dealer_win_rate",
+                       {"month_start": MONTH, "dealer_id": "dealer_id"})})""",
+        "measure_rank_by_type": f"""SELECT vehicle_type, dealer_id, dealer_name,
+            CASE WHEN ok AND dealer_accepted_value IS NOT NULL AND dense_rank() OVER (
+            PARTITION BY vehicle_type, ok ORDER BY dealer_accepted_value DESC NULLS LAST) <= 5
+            THEN dealer_accepted_value END AS dealer_accepted_value_top_5
+            FROM (SELECT *, total_quotes >= 20 AS ok FROM (
+            {quo("total_quotes dealer_accepted_value", {**types, **dealer})}))""",
+        "measure_null_source": f"""SELECT b.lead_source, dealer_id, total_quotes, total_inquiries
+            FROM ({quo("total_quotes", {"lead_source": "lead_source",
+                                        "dealer_id": "dealer_id"})}) b
+            LEFT JOIN ({inq("total_inquiries", lead_source="lead_source")}) a
+            ON a.lead_source IS NOT DISTINCT FROM b.lead_source""",
         "measure_quotes_by_quote_date": f"""SELECT coalesce(a.m, b.m) AS month_start,
             a.n AS total_quotes, b.n AS total_quotes_by_quote_date
             FROM (SELECT {MONTH} AS m, count(*) AS n FROM fact_quote JOIN fact_inquiry

@@ -138,3 +138,31 @@ def test_unknown_names_are_refused(tables):
         evaluate(tables, ["total_inquiries"], ["colour"])
     with pytest.raises(ValueError, match="no measure reaches.*dealer_id"):
         evaluate(tables, ["total_inquiries"], ["dealer_id"])
+
+
+def test_date_slicers_limit_the_months_shown(tables):
+    found = rows(evaluate(tables, ["total_inquiries", "previous_month_inquiries"],
+                          ["month_start", "year"],
+                          {"date": (dt.date(2022, 2, 1), dt.date(2022, 3, 15)), "year": [2022]})
+                 .orderBy("month_start"))
+    assert found == [(dt.date(2022, 2, 1), 2022, 1, 2), (dt.date(2022, 3, 1), 2022, None, 1)]
+    with pytest.raises(ValueError):
+        evaluate(tables, ["previous_month_inquiries"], ["month_start", "date"])
+
+
+def test_ranks_start_again_in_each_context(tables):
+    found = rows(evaluate(tables, ["dealer_rank"], ["month_start", "dealer_id"], min_quotes=1)
+                 .orderBy("month_start", "dealer_id"))
+    assert [r[2] for r in found] == [1, 2, 2, 1, 2, 1, 1]
+    with pytest.raises(ValueError):
+        evaluate(tables, ["dealer_rank"], ["month_start"])
+
+
+def test_missing_members_meet_and_unrelated_keys_are_refused(tables):
+    blank = {**tables, "fact_inquiry": tables["fact_inquiry"].selectExpr(
+        "* except (lead_source)", "cast(null as string) lead_source")}
+    found = rows(evaluate(blank, ["total_quotes", "total_inquiries"],
+                          ["lead_source", "dealer_id"]).orderBy("dealer_id"))
+    assert found == [(None, "D0", 4, 4), (None, "D1", 4, 4), (None, "D2", 2, 4)]
+    with pytest.raises(ValueError):
+        evaluate(tables, ["active_dealers", "total_inquiries"], ["dealer_id", "lead_source"])

@@ -120,16 +120,20 @@ def test_numbering_by_range_slices(spark):
     assert [r.n for r in found.orderBy("n").collect()] == list(range(1, len(ordered) + 1))
 
 
-def test_hot_keys_get_the_same_numbers(spark):
-    data = [(i, g or "none", c) for i, g, c in skewed(6)]
+def test_numbers_within_keys_of_any_size(spark):
+    data = [(i, g, c) for i, g, c in skewed(6)]
+    data += [(10 ** 6 + i, "third", 7 * i % 1000) for i in range(len(data) // 2)]
     df = frame(spark, data)
-    sizes = df.groupBy("g").count()
-    workspace = Workspace(spark, "test-hot")
     order = [F.col("c").desc(), F.col("id")]
-    plain = number_within(workspace, df, "cold", "g", order, "n", sizes, "count")
-    split = number_within(workspace, df, "hot", "g", order, "n", sizes, "count", hot_floor=150)
-    assert sizes.filter("count > 150").count() == 1
-    assert sorted(rows(plain.select("id", "n"))) == sorted(rows(split.select("id", "n")))
+    found = number_within(Workspace(spark, "test-within"), df, "slices", "g", order, "n")
+    groups = {}
+    for i, g, c in data:
+        groups.setdefault(g, []).append((-c, i))
+    expected = [(i, n) for g in groups.values() for n, (_, i) in enumerate(sorted(g), 1)]
+    assert sorted(rows(found.select("id", "n"))) == sorted(expected)
+    parted = spark.read.parquet(*{f.rsplit("/", 1)[0] for f in found.inputFiles()})
+    largest = parted.groupBy("g", "_slice").count().agg(F.max("count")).first()[0]
+    assert largest < max(map(len, groups.values()))  # no window holds a whole hot key
 
 
 def test_first_copy_is_kept_by_source_order(spark):

@@ -7,7 +7,6 @@ import duckdb
 import pytest
 
 import __spark_entry__ as registered
-from marketlens.operators import numbering
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
@@ -57,7 +56,7 @@ def test_query(spark, engine, name):
 
 
 def test_results_hold_when_everything_is_shuffled_and_split(spark, engine, monkeypatch):
-    """No broadcasts, tiny partitions, every skewed partition split, most inquiries hot."""
+    """No broadcasts, tiny partitions, every skewed partition split."""
     hostile = {
         "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "7",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -67,8 +66,6 @@ def test_results_hold_when_everything_is_shuffled_and_split(spark, engine, monke
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.0",
     }
     before = {key: spark.conf.get(key, None) for key in hostile}
-    monkeypatch.setattr(numbering, "HOT_FLOOR", 2)
-    monkeypatch.setattr(numbering, "HOT_SHARE", 10 ** 9)
     monkeypatch.setattr(registered, "_runs", {})
     try:
         for key, value in hostile.items():
