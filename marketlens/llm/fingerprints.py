@@ -133,9 +133,10 @@ def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
                         F.xxhash64(body, F.lit(5)).alias("th"), body.alias("body"))
     keys = keyed.groupBy("id", "th").agg(F.max(F.char_length("body")).cast("long").alias("n"))
     linked = keyed.join(stored(neighbours(keys)), ["id", "th"])
+    # The head carries doc_id only so that both joins read one and the same shuffle of the texts.
     heads = linked.groupBy(F.col("prev_id").alias("id"), F.col("prev_th").alias("th")).agg(
         F.first(F.struct(F.expr("substring(body, 1, cast(prev_n div 4 as int))").alias("head"),
-                         digests(F.col("body")).alias("keys"))).alias("next"))
+                         digests(F.col("body")).alias("keys"), "doc_id")).alias("next"))
     met = keyed.join(heads, ["id", "th"])
     cut = F.expr("n_chars - n_chars div 4")
     versions = met.withColumn("n_chars", F.char_length("body").cast("long")).select(
