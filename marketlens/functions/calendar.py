@@ -14,11 +14,6 @@ def month_start(year: Column, month: Column) -> Column:
     return F.make_date(year, month, F.lit(1))
 
 
-def month_index(day: str | Column) -> Column:
-    """Consecutive number of the calendar month, so a RANGE frame counts months, not rows."""
-    return F.year(day) * 12 + F.month(day)
-
-
 def calendar_columns(day: str = "date") -> list[Column]:
     return [
         F.col(day).alias("date"),

@@ -2,8 +2,8 @@
 
 A decimal of fixed scale is a whole number of units. Rows first collapse to one cell per
 distinct value (map-side combine, so a hot group or hot value shrinks before the shuffle).
-Running totals over the cells are then taken in two levels, blocks of about sqrt(range) values
-and values inside a block, so no window partition holds more than about sqrt(range) rows.
+Running totals over the cells are then taken level by level, values inside blocks and blocks inside
+larger blocks, so no window partition holds more than `BLOCK` values whatever their range.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from marketlens.operators.joins import join_null_safe, one_row
+from marketlens.operators.joins import join_null_safe
 from marketlens.session import cut
 
 
@@ -23,26 +23,42 @@ def units(value: str | Column, scale: int) -> Column:
     return (value * 10 ** scale).cast("bigint")
 
 
+BLOCK = 4096
+
+
 def running_totals(cells: DataFrame, keys: list[str], unit: str, weight: str,
                    tie: tuple[str, ...] = ()) -> DataFrame:
-    """Add `_before`, the weight ordered ahead of the cell in its group, and `_total`."""
-    bounds = cells.agg(F.min(unit).alias("_lo"), F.max(unit).alias("_hi"))
-    span = F.ceil(F.sqrt((F.col("_hi") - F.col("_lo") + 1).cast("double")))
-    blocked = (one_row(cells, bounds)
-               .withColumn("_block", F.floor((F.col(unit) - F.col("_lo")) / span))
-               .drop("_lo", "_hi"))
+    """Add `_before`, the weight ordered ahead of the cell in its group, and `_total`.
+
+    `cells` are stored, so their bounds are one row of statistics away.
+    """
+    low, high = cells.agg(F.min(unit), F.max(unit)).first()
+    low, width = low or 0, (high or 0) - (low or 0) + 1
+    place = F.col(unit).cast("decimal(20,0)") - F.lit(low).cast("decimal(20,0)")
+    placed = cells.withColumn("_b0", place.cast("bigint"))
+    return _level(placed, keys, weight, "_b0", (unit, *tie), width, 0).drop("_b0")
+
+
+def _level(cells: DataFrame, keys: list[str], weight: str, block: str, order: tuple[str, ...],
+           width: int, depth: int) -> DataFrame:
+    """Running totals in blocks of BLOCK units, on the totals of the blocks one level up."""
     earlier = (Window.unboundedPreceding, -1)
-    by_key = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    blocks = (blocked.groupBy(*keys, "_block").agg(F.sum(weight).alias("_w"))
-              .withColumn("_base", F.coalesce(
-                  F.sum("_w").over(by_key.orderBy("_block").rowsBetween(*earlier)), F.lit(0)))
-              .withColumn("_total", F.sum("_w").over(by_key))
-              .drop("_w"))
-    inside = (Window.partitionBy(*keys, "_block").orderBy(unit, *tie).rowsBetween(*earlier))
-    return (join_null_safe(blocked, blocks, [*keys, "_block"])
+    if width <= BLOCK:
+        group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+        return cells.withColumns({
+            "_before": F.coalesce(F.sum(weight).over(
+                group.orderBy(*order).rowsBetween(*earlier)), F.lit(0)),
+            "_total": F.sum(weight).over(group)})
+    upper = f"_b{depth + 1}"
+    blocked = cells.withColumn(upper, F.expr(f"{block} div {BLOCK}"))
+    sums = blocked.groupBy(*keys, upper).agg(F.sum(weight).alias("_w"))
+    above = _level(sums, keys, "_w", upper, (upper,), -(-width // BLOCK), depth + 1).select(
+        *keys, upper, F.col("_before").alias("_base"), "_total")
+    inside = Window.partitionBy(*keys, upper).orderBy(*order).rowsBetween(*earlier)
+    return (join_null_safe(blocked, above, [*keys, upper])
             .withColumn("_before", F.col("_base")
                         + F.coalesce(F.sum(weight).over(inside), F.lit(0)))
-            .drop("_base", "_block"))
+            .drop("_base", upper))
 
 
 def value_cells(df: DataFrame, keys: list[str], value: str, scale: int) -> DataFrame:

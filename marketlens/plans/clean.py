@@ -41,13 +41,11 @@ class Cleaned:
 
 def _prepare(raw: DataFrame, table: str, keys: list[str]) -> DataFrame:
     """Keep the raw columns for the quarantine payload and normalise the key columns."""
-    raw = T.standardize_columns(raw.drop("_ordinal")) if "_ordinal" not in raw.columns else raw
-    T.require_columns(raw, RAW_COLUMNS[table], table)
-    ordinal = F.col("_ordinal") if "_ordinal" in raw.columns else F.monotonically_increasing_id()
+    T.require_columns(raw, [*RAW_COLUMNS[table], "_ordinal"], table)
     return raw.select(
         *[F.col(name).alias(f"raw_{name}") for name in RAW_COLUMNS[table]],
         *[T.business_key(name).alias(name) for name in keys],
-        ordinal.alias("_ordinal"))
+        "_ordinal")
 
 
 def _tag(df: DataFrame, table: str, rules: list[tuple[str, Column]], columns: dict[str, Column],

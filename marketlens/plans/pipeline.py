@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from marketlens.plans.quality import (
     run_summary, stamp_loaded,
 )
 from marketlens.session import Workspace, tune
-from marketlens.sources.curated import write_tables
+from marketlens.sources.curated import publish
 from marketlens.sources.raw import read_catalog, read_raw
 
 
@@ -72,11 +73,16 @@ class Run:
 
 
 def run(spark: SparkSession, raw_folder: str, out_folder: str, catalog_path: str | None = None,
-        verify: bool = True) -> Run:
-    """CSV extracts in, verified curated and operational Parquet tables out."""
+        verify: bool = True, version: str | None = None) -> Run:
+    """CSV extracts in, verified curated and operational Parquet tables published.
+
+    The raw files are parsed once and stored. Readers of the folder see the previous version until
+    all tables of this one are written.
+    """
     catalog = read_catalog(spark, catalog_path) if catalog_path else None
-    job = Run(spark, read_raw(spark, raw_folder), raw_folder, catalog)
+    landed = Workspace(spark, raw_folder).stage_all(read_raw(spark, raw_folder))
+    job = Run(spark, landed, raw_folder, catalog)
     if verify:
         job.verify()
-    write_tables(job.tables(), out_folder)
+    publish(job.tables(), out_folder, version or uuid.uuid4().hex)
     return job

@@ -299,7 +299,7 @@ def assert_checks(checks: DataFrame) -> None:
     """Raise with the names of the failed checks (at most one row per check)."""
     failed = sorted(r.check_name for r in checks.filter("not passed").collect())
     if failed:
-        raise ValueError(f"Critical processed-data checks failed: {failed}")
+        raise ValueError(f"curated tables break these checks: {failed}")
 
 
 def constraint_checks(tables: dict[str, DataFrame]) -> DataFrame:

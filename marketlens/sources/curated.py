@@ -33,7 +33,11 @@ def typed(df: DataFrame, table: str) -> DataFrame:
 
 def write_tables(tables: Tables, folder: str, kind: str = "parquet",
                  partition_by: dict[str, list[str]] | None = None) -> None:
-    """Write the tables parents first; a failed write leaves no partial table behind."""
+    """Write the tables parents first, replacing what is there.
+
+    A table is never seen half written, but a run that fails leaves old and new tables side by side;
+    `publish` makes all of them visible at once.
+    """
     for name in [n for n in LOAD_ORDER if n in tables]:
         writer = typed(tables[name], name).write.mode("overwrite").format(kind)
         if kind == "csv":
@@ -66,19 +70,36 @@ def publish(tables: Tables, folder: str, version: str) -> None:
     """Full refresh of all tables as one step.
 
     Tables go to a folder of their own; the marker that makes the version visible is written
-    last, so a reader sees all tables of a run or none.
+    last, so a reader sees all tables of a run or none. A version that is visible is never written
+    again.
     """
+    spark = next(iter(tables.values())).sparkSession
+    if version in {row.version for row in _published(spark, folder)}:
+        raise ValueError(f"version {version} is already published")
     loaded = {**tables, "pipeline_run_summary": stamp_loaded(tables["pipeline_run_summary"])}
     write_tables(loaded, f"{folder}/versions/{version}")
-    spark = next(iter(tables.values())).sparkSession
-    spark.range(1).select(F.lit(version).alias("version")).write.mode("append").parquet(
+    spark.range(1).select(F.lit(version).alias("version"),
+                          F.current_timestamp().alias("published_at")).write.mode("append").parquet(
         f"{folder}/published")
 
 
+def _published(spark: SparkSession, folder: str) -> list:
+    """The visible versions in order of publication, one small row per refresh."""
+    try:
+        return spark.read.schema("version string, published_at timestamp").parquet(
+            f"{folder}/published").orderBy("published_at").collect()
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" in str(error):
+            return []
+        raise
+
+
 def read_published(spark: SparkSession, folder: str) -> Tables:
-    """The latest completely published version."""
-    version = spark.read.parquet(f"{folder}/published").agg(F.max("version")).first()[0]
-    return read_tables(spark, f"{folder}/versions/{version}")
+    """The version that was published last."""
+    found = _published(spark, folder)
+    if not found:
+        raise FileNotFoundError(f"nothing is published in {folder}")
+    return read_tables(spark, f"{folder}/versions/{found[-1].version}")
 
 
 def save_tables(spark: SparkSession, tables: Tables, database: str,

@@ -120,6 +120,22 @@ def test_numbering_by_range_slices(spark):
     assert [r.n for r in found.orderBy("n").collect()] == list(range(1, len(ordered) + 1))
 
 
+def test_running_totals_over_any_range(spark, monkeypatch):
+    from marketlens.operators import order_stats
+    monkeypatch.setattr(order_stats, "BLOCK", 16)
+    data = [(k, (i * 7919) ** 4 % 10 ** 15, i % 3 + 1) for k in "ab" for i in range(300)]
+    cells = spark.createDataFrame(data, "k string, _unit long, _n long")
+    found = order_stats.running_totals(cells, ["k"], "_unit", "_n").collect()
+    for k in "ab":
+        ahead = 0
+        for _, unit, n in sorted(d for d in data if d[0] == k):
+            row, = [r for r in found if r.k == k and r._unit == unit]
+            assert (row._before, row._total) == (ahead, 600)
+            ahead += n
+    empty = order_stats.running_totals(cells.limit(0), ["k"], "_unit", "_n")
+    assert empty.isEmpty()
+
+
 def test_numbers_within_keys_of_any_size(spark):
     data = [(i, g, c) for i, g, c in skewed(6)]
     data += [(10 ** 6 + i, "third", 7 * i % 1000) for i in range(len(data) // 2)]
