@@ -44,7 +44,8 @@ def stored(df: DataFrame) -> DataFrame:
     before = spark.conf.get(_CLEANUP, None)
     spark.conf.set(_CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        # Not the default codec, whose buffers outside the heap wait for a full collection.
+        df.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
