@@ -30,4 +30,37 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_fingerprints": op10_fingerprints,
 }
 
-ORACLES: dict[str, str] = {}
+# The other methods (hash functions, trained models, merges, sketches, draws) are not SQL.
+ORACLES: dict[str, str] = {
+    "op3_substrings": r"""
+        WITH d AS (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(
+            coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        windows AS (SELECT k, doc_id, i, array_to_string(w[i:i + 12], ' ') AS s
+            FROM (SELECT *, unnest(range(1, len(w) - 11)) AS i FROM d)),
+        firsts AS (SELECT s, min(doc_id) AS first FROM windows GROUP BY s),
+        gone AS (SELECT DISTINCT k, unnest(range(i, i + 13)) AS p
+            FROM windows JOIN firsts USING (s) WHERE first < doc_id),
+        words AS (SELECT k, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d),
+        told AS (SELECT k, count(gone.p) AS n_removed,
+            string_agg(x, ' ' ORDER BY p) FILTER (WHERE gone.p IS NULL) AS kept
+            FROM words LEFT JOIN gone USING (k, p) GROUP BY k)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+            CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+            sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN told USING (k)""",
+    "op7_chat": r"""
+        WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+            FROM conversations
+            UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'),
+              (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
+        e AS (SELECT *, length(text) + length(regexp_replace(text, '[^\\#<]', '', 'g')) AS body,
+            length(role) + length(regexp_replace(role, '[^\\#<:]', '', 'g')) AS head FROM t)
+        SELECT conv_id, count(*) AS n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text))
+              AS turns_sha256,
+            CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT)
+              AS loss_chars,
+            sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text)
+              FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+            CAST(sum(head + body + 16) AS BIGINT) AS formatted_chars
+            FROM e GROUP BY conv_id""",
+}

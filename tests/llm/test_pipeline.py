@@ -1,7 +1,11 @@
 """The stages of the corpus pipeline, each on its predecessor's rows."""
 
+import duckdb
+import pytest
+
 import corpus_pipeline
 import __spark_entry__ as registered
+from marketlens.llm.queries import ORACLES
 from marketlens.llm.store import stored
 from tests.llm import brute
 from tests.llm.conftest import FOLDER, pairs
@@ -44,3 +48,15 @@ def test_stages_on_awkward_and_empty_rows(spark, odd, empty):
             docs = stored(stage(spark, docs, FOLDER))
             assert docs.columns[:5] == ["doc_id", "text", "lang", "source", "n_chars"]
         corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER).collect()
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_sql_agrees(spark, name):
+    engine = duckdb.connect()
+    for table in ("documents", "conversations"):
+        engine.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
+    answer = engine.execute(registered.oracle_sql()[name])
+    columns = [d[0] for d in answer.description]
+    found = registered.queries()[name](spark, FOLDER)
+    assert sorted(found.columns) == sorted(columns)
+    assert sorted(map(tuple, found.select(*columns).collect())) == sorted(answer.fetchall())
