@@ -170,6 +170,15 @@ def near_copies(docs: DataFrame, text: str = "text", radius: int = RADIUS,
     return prints.join(named, "fp")
 
 
+def keep_first(keyed: DataFrame, groups: DataFrame, key: str) -> DataFrame:
+    """The first row by doc_id, then `key`, of each `_group`; rows without an id come last."""
+    best = groups.groupBy("_group").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", key)).alias("best"))
+    chosen = best.select(F.col("best.doc_id").alias("_id"), F.col(f"best.{key}").alias("_key"))
+    kept = keyed.join(chosen, F.expr(f"doc_id <=> _id and `{key}` = _key"), "left_semi")
+    return kept.dropDuplicates(["doc_id", key])
+
+
 def deduplicate(docs: DataFrame) -> DataFrame:
     """Keep one document of each group of near copies, the one with the smallest doc_id.
 
@@ -179,12 +188,8 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     key = free_name(docs, "_text_key")
     keyed = docs.withColumn(key, F.xxhash64("text", F.lit(7)))
     groups = near_copies(keyed, keep=["doc_id", key]).withColumn(
-        "_group", F.coalesce("component_id", "fp"))
-    best = groups.groupBy("component_id", "_group").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", key)).alias("best"))
-    chosen = best.select(F.col("best.doc_id").alias("_id"), F.col(f"best.{key}").alias("_key"))
-    kept = keyed.join(chosen, F.expr(f"doc_id <=> _id and `{key}` = _key"), "left_semi")
-    return kept.dropDuplicates(["doc_id", key]).select(*docs.columns)
+        "_group", F.struct("component_id", F.coalesce("component_id", "fp")))
+    return keep_first(keyed, groups, key).select(*docs.columns)
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
