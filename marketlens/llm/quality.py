@@ -2,8 +2,10 @@
 
 The counted base rejects short and repetitive texts. The model reads every word of a text as hashed
 word unigrams and bigrams and every character as hashed trigrams; each group enters as relative
-frequencies, so length does not matter. It is fitted on at most `FIT_ROWS` labelled rows, those
-with the least hash of doc_id, two thirds for the weights and one third for Platt's calibration.
+frequencies, so length does not matter. It is fitted on at most `FIT_ROWS` labelled documents of the
+table, those with the least hash of doc_id, two thirds for the
+weights and one third for Platt's calibration, which stays the nearer to the raw score the fewer
+rows it has.
 A text is kept when its calibrated probability of good quality reaches `THRESHOLD`.
 
 Features of the sample are made on the executors; the driver fits the bounded sample with numpy. All
@@ -128,11 +130,13 @@ def features(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    """Features of at most `rows` labelled documents, one row each: y, buckets, values."""
+    """Features of at most `rows` labelled documents of the table, one row each."""
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(
         F.max("quality").cast("int").alias("y"))
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    met = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    present = known.join(docs.select("doc_id"), "doc_id", "left_semi")
+    chosen = present.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    met = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(
+        F.broadcast(chosen), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -156,19 +160,30 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(z, -40, 40)))
 
 
+def _held(y: np.ndarray) -> np.ndarray:
+    """Every third row for calibration, counted by class where a part would lack a class."""
+    held = np.arange(len(y)) % 3 == 2
+    if all(0 < part.sum() < len(part) for part in (y[held], y[~held])):
+        return held
+    for kind in (0, 1):
+        rows = np.flatnonzero(y == kind)
+        held[rows] = np.arange(len(rows)) % 3 == 2
+    return held
+
+
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     """Fit and calibrate on a bounded sample; see the module's text."""
     found = _sample(docs, labels, rows).toArrow().sort_by("doc_id").combine_chunks()
     model = Model(np.zeros(1 << BITS, np.float32))
     y = found["y"].to_numpy().astype(np.float64)
-    if len(y) < 30 or not 0 < y.sum() < len(y):
+    if not 0 < y.sum() < len(y):
         return model
     owner = np.repeat(np.arange(len(y), dtype=np.int32),
                       pc.list_value_length(found["buckets"]).to_numpy())
     cell = pc.list_flatten(found["buckets"]).to_numpy()
     value = pc.list_flatten(found["amounts"]).to_numpy()
     del found
-    held = np.arange(len(y)) % 3 == 2
+    held = _held(y)
     use = ~held[owner]
     balance = np.where(y > 0, 0.5 / max(y[~held].mean(), 1e-9),
                        0.5 / max(1 - y[~held].mean(), 1e-9)) * ~held
@@ -183,12 +198,14 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
         b -= 0.5 * error.sum() / len(y)
     z = np.bincount(owner, w[cell] * value, len(y)) + b
     slope, shift = 1.0, 0.0
-    for _ in range(300):  # Platt: probability of the held third as a logistic of its score
+    pull = max(1e-3, 1e-3 * FIT_ROWS / 3 / max(held.sum(), 1))  # grows as held rows get fewer
+    for _ in range(300 * bool(held.any())):  # Platt: the held third as a logistic of its score
         p = _sigmoid(slope * z[held] + shift)
         error, curve = p - y[held], p * (1 - p) + 1e-6
-        grad = np.array([(error * z[held]).mean() + 1e-3 * (slope - 1), error.mean()])
-        hess = np.array([[(curve * z[held] ** 2).mean() + 1e-3, (curve * z[held]).mean()],
-                         [(curve * z[held]).mean(), curve.mean() + 1e-6]])
+        grad = np.array([(error * z[held]).mean() + pull * (slope - 1),
+                         error.mean() + (pull - 1e-3) * shift])
+        hess = np.array([[(curve * z[held] ** 2).mean() + pull, (curve * z[held]).mean()],
+                         [(curve * z[held]).mean(), curve.mean() + 1e-6 + pull - 1e-3]])
         move = np.linalg.solve(hess, grad)
         slope, shift = slope - move[0], shift - move[1]
         if np.abs(move).max() < 1e-9:

@@ -215,6 +215,22 @@ def test_quality_model_on_unseen_rows(spark):
     assert quality.judge(docs, plain).where("kept = base_failed").count() == 0
 
 
+def test_quality_fits_few_rows_of_the_table(spark):
+    good, bad = "plain words of a good text " * 12, "$ cheap spam | click | now $ " * 12
+    rows = [(i, (good if i % 2 else bad) + f"number {i}") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    absent = [(i, i % 2) for i in range(1000, 5000)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(12)] + absent,
+                                   "doc_id long, quality int")
+    model = quality.fit(docs, labels)
+    assert model.weights.any()
+    found = {r.doc_id: r.p_good for r in quality.judge(docs, model).collect()}
+    assert min(found[i] for i in range(1, 12, 2)) > max(found[i] for i in range(0, 12, 2))
+    assert quality.fit(docs.limit(0), labels).weights.any() == False  # noqa: E712
+    pair = quality.fit(docs.where("doc_id < 2"), labels)
+    assert pair.weights.any() and np.isfinite([pair.slope, pair.shift]).all()
+
+
 def test_fingerprint_differences_are_recovered(docs):
     found = fingerprints.fingerprints(docs).collect()
     given = sorted({(d is None, d or 0, t or "") for d, t in pairs(docs)}, key=lambda x: x[:2])
