@@ -3,7 +3,7 @@
 The counted base rejects short and repetitive texts. The model reads every word of a text as hashed
 word unigrams and bigrams and every character as hashed trigrams; each group enters as relative
 frequencies, so length does not matter. It is fitted on at most `FIT_ROWS` labelled documents of the
-table, those with the least hash of doc_id, two thirds for the
+table, those with the least hash of doc_id and of a repeated doc_id one text, two thirds for the
 weights and one third for Platt's calibration, which stays the nearer to the raw score the fewer
 rows it has.
 A text is kept when its calibrated probability of good quality reaches `THRESHOLD`.
@@ -130,13 +130,14 @@ def features(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    """Features of at most `rows` labelled documents of the table, one row each."""
+    """Features of at most `rows` labelled documents of the table, one row for each doc_id."""
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(
         F.max("quality").cast("int").alias("y"))
     present = known.join(docs.select("doc_id"), "doc_id", "left_semi")
     chosen = present.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     met = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(
-        F.broadcast(chosen), "doc_id")
+        F.broadcast(chosen), "doc_id").groupBy("doc_id", "y").agg(
+        F.min_by("text", F.xxhash64("text")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

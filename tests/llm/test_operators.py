@@ -231,6 +231,17 @@ def test_quality_fits_few_rows_of_the_table(spark):
     assert pair.weights.any() and np.isfinite([pair.slope, pair.shift]).all()
 
 
+def test_quality_sample_has_one_row_for_each_id(spark, documents):
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    hot = labels.where("quality is not null").first().doc_id
+    copies = documents.unionByName(documents.where(F.col("doc_id") == hot).crossJoin(
+        spark.range(500)).drop("id"))
+    assert quality._sample(copies, labels, 2400).count() == quality._sample(
+        documents, labels, 2400).count()
+    one, other = quality.fit(documents, labels), quality.fit(copies, labels)
+    assert np.array_equal(one.weights, other.weights) and one.slope == other.slope
+
+
 def test_fingerprint_differences_are_recovered(docs):
     found = fingerprints.fingerprints(docs).collect()
     given = sorted({(d is None, d or 0, t or "") for d, t in pairs(docs)}, key=lambda x: x[:2])
