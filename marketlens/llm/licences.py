@@ -1,15 +1,18 @@
-"""License scans: TF-IDF cosine of headers to templates, then inheritance down the directories.
+"""License scans: TF-IDF cosine of headers and whole texts to templates, then inheritance.
 
-A header is a line that speaks of licences or copyright, anywhere in a file; the lines of a file that
-do so are one sparse vector of word counts times inverse document frequencies, taken over the headers
-of all files. Templates become vectors by the same weights, and the nearest template above
-`THRESHOLD` is the file's own licence. Products are sums over a join on words; templates are a
-handful of constants, headers are aggregated first, and a word has one row of weights, so the most
-common words are partial sums.
+A header is what stands around words that speak of licences or copyright, anywhere in a file: the lines
+that do so cut to a window around each cue, and the same windows across line ends. Its words are
+one sparse vector, and the nearest short template above `THRESHOLD` is the file's own licence. A word
+outside the templates weighs 1 there, as a window's ends are arbitrary.
 
-A file whose headers hold at least `FILE_SHARE` of its words is a licence file and stands for its
-directory. A file without a licence of its own takes that of the nearest ancestor directory with one;
-ancestors are found per distinct directory by path joins, and files join their directory's result.
+A whole text is compared to the short templates and to full licence texts, with damped counts and the
+greatest weight for foreign words. From `FILE_SCORE` on it is a licence file: the template is its own
+licence, and it stands for its directory. Inverse document frequencies are taken over the templates,
+so a file's scores do not depend on the other files. Templates are a handful of constants; their
+vectors go to the tasks, and the sparse products are made row by row, without a shuffle.
+
+A file without a licence of its own takes that of the nearest ancestor directory with one; ancestors
+are found per distinct directory by path joins, and files join their directory's result.
 
 Nulls: a null path is the root directory, a null text has no header. Several licence files in a
 directory: the best score stands, ties by licence and path. Repeated rows each get a row. An empty
@@ -18,7 +21,14 @@ table gives an empty result. Extra columns are kept out of the result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import os
+import re
+from collections import Counter
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.llm.store import stored, table
@@ -51,51 +61,102 @@ TEMPLATES = [
 ]
 CUE = r"(?i)licen[cs]e|copyright|\(c\)|all rights reserved|spdx|redistribut"
 THRESHOLD = 0.5
-FILE_SHARE = 0.5
-_WORD = r"[\p{L}\p{N}]+(?:\.[0-9]+)?"
-
-
-def _words(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit(_WORD), F.lit(0))
+FILE_SCORE = 0.75
+WINDOWS = (8, 32)  # words on either side of a cue
+_CUE = re.compile(CUE)
+_WORD = re.compile(r"[^\W_]+(?:\.[0-9]+)?")
+_TEXTS = os.path.join(os.path.dirname(os.path.abspath(__file__)), "licence_texts")
+
+
+class Templates:
+    """Unit vectors of the short templates, then of the full texts, over the templates' words."""
+
+    def __init__(self):
+        texts = [(name[:-4], open(os.path.join(_TEXTS, name), encoding="utf-8").read())
+                 for name in sorted(os.listdir(_TEXTS)) if name.endswith(".txt")]
+        both = TEMPLATES + texts
+        self.names, self.short = [name for name, _ in both], len(TEMPLATES)
+        counts = [Counter(_WORD.findall(body.lower())) for _, body in both]
+        found = Counter(word for c in counts for word in c)
+        self.at = {word: i for i, word in enumerate(sorted(found))}
+        self.foreign = float(np.log(len(both) + 1.0) + 1)
+        self.idf = np.array([np.log((len(both) + 1.0) / (found[w] + 1)) + 1 for w in self.at])
+        self.plain, self.damped = (np.zeros((len(both), len(self.at))) for _ in range(2))
+        for i, c in enumerate(counts):
+            where, times = [self.at[w] for w in c], np.array(list(c.values()), float)
+            self.plain[i, where] = times * self.idf[where]
+            self.damped[i, where] = (1 + np.log(times)) * self.idf[where]
+        for units in (self.plain, self.damped):
+            units /= np.linalg.norm(units, axis=1, keepdims=True)
+
+    def _best(self, words: list[str], whole: bool) -> tuple[float, str]:
+        """Cosine and licence of the nearest template."""
+        counts = Counter(words)
+        known = [(self.at[w], n) for w, n in counts.items() if w in self.at]
+        if not known:
+            return 0.0, ""
+        where, times = (np.array(x) for x in zip(*known))
+        rest = np.array([n for w, n in counts.items() if w not in self.at], float)
+        if whole:
+            times, rest = 1 + np.log(times), self.foreign * (1 + np.log(rest))
+        units = self.damped if whole else self.plain[:self.short]
+        vector = times * self.idf[where]
+        scores = units[:, where] @ vector / np.sqrt(vector @ vector + rest @ rest)
+        return max((round(float(s), 9), name) for s, name in zip(scores, self.names))
+
+    def judge(self, text: str) -> tuple[float, str, bool] | None:
+        """Score, licence and whether the whole text is a licence, or None without one."""
+        low = text.lower()
+        found = self._best(_WORD.findall(low), True)
+        if found[0] >= FILE_SCORE:
+            return *found, True
+        found = max((self._best(words, False) for words in headers(low)), default=(0.0, ""))
+        return (*found, False) if found[0] >= THRESHOLD else None
+
+
+def headers(text: str) -> Iterator[list[str]]:
+    """Words around the cues of a text, by window and with or without the limits of their lines."""
+    cues = [m.span() for m in _CUE.finditer(text)]
+    if not cues:
+        return
+    words = [m.span() for m in _WORD.finditer(text)]
+    starts, ends = (np.array(x, np.int64) for x in zip(*words)) if words else ([], [])
+    first = np.searchsorted(ends, [a for a, _ in cues], "right")
+    last = np.searchsorted(starts, [b for _, b in cues], "left")
+    begin = np.searchsorted(starts, [text.rfind("\n", 0, a) + 1 for a, _ in cues])
+    close = [text.find("\n", b) for _, b in cues]
+    close = np.searchsorted(starts, [len(text) if c < 0 else c for c in close])
+    for size in WINDOWS:
+        low, high = np.maximum(first - size, 0), np.minimum(last + size, len(words))
+        for a, b in ((np.maximum(low, begin), np.minimum(high, close)), (low, high)):
+            spots = np.zeros(len(words) + 1, np.int64)
+            np.add.at(spots, a, 1)
+            np.add.at(spots, np.maximum(a, b), -1)
+            inside = np.flatnonzero(np.cumsum(spots)[:-1])
+            yield [text[starts[i]:ends[i]] for i in inside.tolist()]
+            for one, other in sorted(set(zip(a.tolist(), b.tolist()))):
+                yield [text[x:y] for x, y in words[one:other]]
 
 
 def own_licences(files: DataFrame) -> DataFrame:
-    """(file, text) to (file, licence, score, share) of files with a header near a template."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(CUE))
-    headed = stored(files.select("file", F.array_join(lines, "\n").alias("header"), F.regexp_count(
-        text, F.lit(r"[^\x20\x09-\x0D]+")).alias("all_words")).where("header <> ''"))
-    tokens = stored(headed.select("file", F.explode(_words(F.col("header"))).alias("word"))
-                    .groupBy("file", "word").agg(F.count("*").alias("tf")))
-    total = headed.count()
-    spark = files.sparkSession
-    templates = spark.createDataFrame(
-        [(i, name, body) for i, (name, body) in enumerate(TEMPLATES)],
-        "template int, licence string, body string")
-    terms = templates.select("template", "licence", F.explode(_words(F.col("body"))).alias(
-        "word")).groupBy("template", "licence", "word").agg(F.count("*").alias("tf"))
-    found = tokens.groupBy("word").agg(F.count("*").alias("df"))
-    weight = F.log((total + 1.0) / (F.coalesce("df", F.lit(0)) + 1)) + 1
-    idf = stored(found.select("word", weight.alias("idf")))
-    vectors = stored(terms.join(idf, "word", "left").select(
-        "template", "licence", "word", (F.col("tf") * F.coalesce(
-            "idf", F.log(F.lit(total + 1.0)) + 1)).alias("w")))
-    norms = vectors.groupBy("template").agg(F.sqrt(F.sum(F.col("w") ** 2)).alias("norm"))
-    vectors = vectors.join(norms, "template").select(
-        "template", "licence", "word", (F.col("w") / F.col("norm")).alias("unit"))
-    weighted = stored(tokens.join(idf, "word").select("file", "word", (
-        F.col("tf") * F.col("idf")).alias("w")))
-    lengths = weighted.groupBy("file").agg(F.sqrt(F.sum(F.col("w") ** 2)).alias("norm"))
-    dots = weighted.join(vectors, "word").groupBy("file", "template", "licence").agg(
-        F.sum(F.col("w") * F.col("unit")).alias("dot"))
-    best = dots.join(lengths, "file").withColumn(
-        "score", F.round(F.col("dot") / F.col("norm"), 9)).groupBy("file").agg(
-        F.max(F.struct("score", "licence")).alias("best"))
-    sizes = headed.select("file", (F.regexp_count("header", F.lit(r"[^\x20\x09-\x0D]+"))
-                                   / F.greatest("all_words", F.lit(1))).alias("share"))
-    return best.where(F.col("best.score") >= THRESHOLD).join(sizes, "file").select(
-        "file", F.col("best.licence").alias("licence"), F.col("best.score").alias("score"),
-        "share")
+    """(file, path, text) to file, path, licence, score and whole, one row for each row."""
+    chosen = files.select("file", "path", F.col("text").cast("string").alias("text"))
+    sent = files.sparkSession.sparkContext.broadcast(Templates())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [sent.value.judge(t.as_py() or "") for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], pa.array([f and f[1] for f in found], pa.string()),
+                 pa.array([f and f[0] for f in found], pa.float64()),
+                 pa.array([f is not None and f[2] for f in found], pa.bool_())],
+                ["file", "path", "licence", "score", "whole"])
+
+    schema = chosen.drop("text").withColumns({
+        "licence": F.lit("").cast("string"), "score": F.lit(0.0), "whole": F.lit(True)}).schema
+    for field in schema.fields:
+        field.nullable = True
+    return chosen.mapInArrow(run, schema)
 
 
 def scan(files: DataFrame) -> DataFrame:
@@ -104,11 +165,9 @@ def scan(files: DataFrame) -> DataFrame:
     `file` identifies a row, `path` is /-separated. `licence_dir` is the directory it came from, null
     for a file's own.
     """
-    text = files.select("file", F.col("text").cast("string").alias("text"))
-    own = stored(own_licences(text))
     folder = F.regexp_extract(F.coalesce(F.col("path"), F.lit("")), "^(.*)/[^/]*$", 1)
-    placed = files.select("file", "path", folder.alias("dir")).join(own, "file", "left")
-    standing = placed.where(F.col("share") >= FILE_SHARE).groupBy("dir").agg(
+    placed = stored(own_licences(files)).withColumn("dir", folder)
+    standing = placed.where("whole").groupBy("dir").agg(
         F.max(F.struct("score", "licence")).alias("best")).select(
         F.col("dir").alias("above"), F.col("best.licence").alias("licence"))
     dirs = placed.select("dir").distinct()

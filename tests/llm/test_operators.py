@@ -361,6 +361,18 @@ def test_licences_and_inheritance(spark):
     assert licences.scan(files).count() == len(rows) and licences.scan(files.limit(0)).isEmpty()
 
 
+def test_licence_scores_do_not_depend_on_the_other_files(spark):
+    mine = spark.createDataFrame([(-1, "a/x", "words\nAll rights reserved.\nwords")],
+                                 "file long, path string, text string")
+    scores = []
+    for n in (100, 1_000_000):
+        others = spark.range(n).select(F.col("id").alias("file"), F.lit("b/y").alias("path"),
+                                       F.lit("Licensed under CC BY 4.0.").alias("text"))
+        found = licences.scan(mine.unionByName(others)).where("file = -1").first()
+        scores.append((found.own_licence, found.score))
+    assert scores[0] == scores[1] and scores[0][0] == "proprietary"
+
+
 def test_passages_of_fifty_words_are_removed(odd):
     kept = {r.kept_text for r in substrings.cut_repeats(odd).where("doc_id <> 1").collect()}
     assert not any(PASSAGE in text for text in kept)
