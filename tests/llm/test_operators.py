@@ -373,6 +373,50 @@ def test_licence_scores_do_not_depend_on_the_other_files(spark):
     assert scores[0] == scores[1] and scores[0][0] == "proprietary"
 
 
+MIT = """Copyright (c) 2031 Someone Else
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+
+
+def test_full_licence_texts_stand_for_their_directory(spark, documents):
+    folder = licences._TEXTS
+    texts = {"MIT": MIT} | {name: open(f"{folder}/{name}.txt").read().replace(
+        "The Regents of the University of California", "Some One and others")
+        for name in ("BSD-3-Clause", "Apache-2.0")}
+    prose = " ".join(t for _, t in pairs(documents.limit(3)))
+    rows = []
+    for name, text in texts.items():
+        rows += [(len(rows), f"{name}/COPYING", text),
+                 (len(rows) + 1, f"{name}/src/x.py", "print(1)"),
+                 (len(rows) + 2, f"flat{name}/COPYING", " ".join(text.split())),
+                 (len(rows) + 3, f"flat{name}/x.py", prose)]
+    rows.append((99, "z/x", " ".join(prose.split()) + " Copyright. All rights reserved. " + prose))
+    found = {r.path: (r.licence, r.licence_dir) for r in licences.scan(
+        spark.createDataFrame(rows, "file long, path string, text string")).collect()}
+    for name in texts:
+        assert found[f"{name}/COPYING"] == found[f"flat{name}/COPYING"] == (name, None)
+        assert found[f"{name}/src/x.py"] == (name, name)
+        assert found[f"flat{name}/x.py"] == (name, f"flat{name}")
+    assert found["z/x"] == ("proprietary", None)
+
+
 def test_passages_of_fifty_words_are_removed(odd):
     kept = {r.kept_text for r in substrings.cut_repeats(odd).where("doc_id <> 1").collect()}
     assert not any(PASSAGE in text for text in kept)
