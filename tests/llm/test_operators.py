@@ -417,6 +417,12 @@ def test_full_licence_texts_stand_for_their_directory(spark, documents):
     assert found["z/x"] == ("proprietary", None)
 
 
+def test_repeated_licensed_rows_stay_as_many(spark):
+    rows = [(1, "a/LICENSE", "Released under the MIT License.")] * 5 + [(2, "a/x.py", "x")]
+    files = spark.createDataFrame(rows, "file long, path string, text string")
+    assert licences.scan(files).count() == 6
+
+
 def test_passages_of_fifty_words_are_removed(odd):
     kept = {r.kept_text for r in substrings.cut_repeats(odd).where("doc_id <> 1").collect()}
     assert not any(PASSAGE in text for text in kept)
