@@ -179,7 +179,7 @@ def keep_first(keyed: DataFrame, groups: DataFrame, key: str) -> DataFrame:
     return kept.dropDuplicates(["doc_id", key])
 
 
-def deduplicate(docs: DataFrame) -> DataFrame:
+def deduplicate(docs: DataFrame, radius: int = RADIUS, size: int = SHINGLE) -> DataFrame:
     """Keep one document of each group of near copies, the one with the smallest doc_id.
 
     Of repeated rows with that doc_id one stays: the first by text. A group whose doc_ids are all
@@ -187,7 +187,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     """
     key = free_name(docs, "_text_key")
     keyed = docs.withColumn(key, F.xxhash64("text", F.lit(7)))
-    groups = near_copies(keyed, keep=["doc_id", key]).withColumn(
+    groups = near_copies(keyed, radius=radius, keep=["doc_id", key], size=size).withColumn(
         "_group", F.struct("component_id", F.coalesce("component_id", "fp")))
     return keep_first(keyed, groups, key).select(*docs.columns)
 
