@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import bpe, mixture, quality, shingles, substrings
+from marketlens.llm import bpe, mixture, quality, simhash, substrings
 from marketlens.llm.store import reach_workers, stored, table
 
 
@@ -26,10 +26,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: the one with the smallest doc_id.
 
-    Near copies share 0.8 of their five-word shingles. The stage keeps its registered name; the
-    radius and the shingles of `op8_simhash` bind that query only.
+    The shingle length and the bit distance are those of `op8_simhash`.
     """
-    return shingles.deduplicate(docs)
+    return simhash.deduplicate(docs, radius=2, size=3)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
