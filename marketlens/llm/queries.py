@@ -15,6 +15,7 @@ from marketlens.llm.mixture import op5_mixture
 from marketlens.llm.quality import op9_quality
 from marketlens.llm.simhash import op8_simhash
 from marketlens.llm.substrings import op3_substrings
+from marketlens.llm.token_files import op13_token_files
 from marketlens.llm.urls import op1_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_quality": op9_quality,
     "op10_fingerprints": op10_fingerprints,
+    "op13_token_files": op13_token_files,
 }
 
 # The other methods (hash functions, trained models, merges, sketches, draws) are not SQL.

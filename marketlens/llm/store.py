@@ -23,6 +23,8 @@ def reach_workers(spark: SparkSession) -> None:
     small, so that the texts of one fit in a worker many times over.
     """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    for way in ("Reader", "Writer"):  # ORC batches hold the arrays of whole documents
+        spark.conf.set(f"spark.sql.orc.columnar{way}BatchSize", "256")
     environment = spark.sparkContext.environment
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
     if _ROOT not in paths:
@@ -34,13 +36,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def new_folder(spark: SparkSession) -> str:
+    """A folder of its own in the folder all executors share."""
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/llm-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write an intermediate as Parquet to spark.checkpoint.dir and read it back.
 
     It is then computed once, and a lost executor repeats only the tasks that read it.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/llm-{uuid.uuid4().hex}"
+    path = new_folder(spark)
     before = spark.conf.get(_CLEANUP, None)
     spark.conf.set(_CLEANUP, "true")
     try:
