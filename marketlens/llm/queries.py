@@ -11,6 +11,7 @@ from marketlens.llm.chat import op7_chat
 from marketlens.llm.fingerprints import op10_fingerprints
 from marketlens.llm.lattice import op4_lattice
 from marketlens.llm.licences import op6_licences
+from marketlens.llm.merkle import op11_merkle
 from marketlens.llm.mixture import op5_mixture
 from marketlens.llm.quality import op9_quality
 from marketlens.llm.simhash import op8_simhash
@@ -29,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_quality": op9_quality,
     "op10_fingerprints": op10_fingerprints,
+    "op11_merkle": op11_merkle,
     "op13_token_files": op13_token_files,
 }
 
