@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marketlens.llm.bpe import op2_bpe
 from marketlens.llm.chat import op7_chat
+from marketlens.llm.collocations import op12_collocations
 from marketlens.llm.fingerprints import op10_fingerprints
 from marketlens.llm.lattice import op4_lattice
 from marketlens.llm.licences import op6_licences
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_fingerprints": op10_fingerprints,
     "op11_merkle": op11_merkle,
+    "op12_collocations": op12_collocations,
     "op13_token_files": op13_token_files,
 }
 

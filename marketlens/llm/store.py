@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,6 +38,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@contextmanager
+def with_settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Session settings for the jobs that run inside."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def new_folder(spark: SparkSession) -> str:
     """A folder of its own in the folder all executors share."""
     return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/llm-{uuid.uuid4().hex}"
@@ -48,13 +63,9 @@ def stored(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_folder(spark)
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
-    try:
+    with with_settings(spark, {_CLEANUP: "true"}):
         # Not the default codec, whose buffers outside the heap wait for a full collection.
         df.write.option("compression", "zstd").parquet(path)
-    finally:
-        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
