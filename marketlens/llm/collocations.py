@@ -4,17 +4,20 @@ Texts are lower-cased (A-Z) and cut at `.,;:!?` and line ends into pieces, and t
 into words. Documents of a language in one slice of an Arrow batch make a run: a dictionary of its
 distinct words and one code for each word in order, with a gap where a piece ends. Words are counted
 over the dictionaries; those with at least `min_count` occurrences get an id, which reaches the runs by
-a join on the dictionaries. The relation of occurrences (run, at, word) is stored in order of
-(run, at).
+a join on the dictionaries.
 
-Relation k+1 is the merge join of relation k with itself at the next position; its groups are
-counted and stored, and a semi-join with the groups of at least `min_count` prunes it before it is extended
-again. Counts of parts of a frequent phrase are thus always at hand. Ids are exact, no hashes stand
-for words.
+A relation holds occurrences (at, g): a group of `size` words with id g starts at position `at`.
+Positions are unique, and adjacent ones lie in one piece. They are dealt in blocks of `BLOCK`; the
+first position of a block is also given to the block before, so that neighbours always meet.
+Relation k+1 is the stored merge join of relation k with itself at the next position: two groups
+that overlap are one of k+1 words. Its groups are counted, and those with at least `min_count` get
+ids; the join with them is the semi-join that prunes the relation before it is extended again. Ids
+are exact, no hashes stand for words, and every join has whole numbers as its key.
 
 A phrase scores the lowest of floor(SCALE * a * a / (l * r)) over its cuts, in decimals of 38
-digits. A phrase inside a longer candidate with COVER percent of its count or more goes. Ranks
-keep at most `top` rows of a language in each task before they meet.
+digits. A phrase inside a longer candidate with COVER percent of its count or more goes; as counts
+only fall with length, candidates one word longer decide that. Ranks keep at most `top` rows of a
+language in each task before they meet.
 
 Null texts count as empty, null languages as `und`. Repeated rows count as often as they come; order
 of rows does not matter, ties are broken by count and phrase. Other columns are left out. An empty
@@ -26,9 +29,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,12 +54,19 @@ _CLASS[[0x20, 0x09]] = _BLANK
 _CLASS[[*b".,;:!?", 0x0A, 0x0B, 0x0C, 0x0D]] = _BREAK
 _LOWER = np.frombuffer(LOWER, np.uint8)
 GAP = -1
+BLOCK = 4096
 
-# Relations stay dealt by run through the joins on (run, at).
-_BY_RUN = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
+# Relations stay dealt by block through the joins on (at, block).
+_BY_BLOCK = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
 
 
-def _run(column: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+def _list(values: pa.Array, lengths: list[int]) -> pa.ListArray:
+    """Consecutive values as lists of the given lengths."""
+    offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), values)
+
+
+def _run(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Distinct words, their counts, and the code of each word with a gap after every piece."""
     data, offsets = flat(column)
     data = _LOWER[data]
@@ -67,177 +79,191 @@ def _run(column: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     lengths = ends - starts
     bounds = np.zeros(len(lengths) + 1, np.int64)
     np.cumsum(lengths, out=bounds[1:])
-    coded = pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(), len(lengths),
-        [None, pa.py_buffer(bounds), pa.py_buffer(data[inside])]).dictionary_encode()
+    coded = pa.LargeStringArray.from_buffers(
+        len(lengths), pa.py_buffer(bounds), pa.py_buffer(data[inside])).dictionary_encode()
     codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int32)
     breaks = np.cumsum((kind == _BREAK) | at_row[:-1])
     ending = np.flatnonzero(np.diff(breaks[starts])) + 1 if len(starts) else []
-    words = coded.dictionary.to_pylist()
+    words = coded.dictionary.cast(pa.string())
     return words, np.bincount(codes, minlength=len(words)), np.insert(codes, ending, GAP)
 
 
 def runs(docs: DataFrame, text: str = "text") -> DataFrame:
     """`run`, `lang`, `words`, `counts` and `codes` of the slices of documents of a language."""
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        run = TaskContext.get().partitionId() << 33
+        run = TaskContext.get().partitionId() << 40
         for batch in batches:
             for lang in batch.column("lang").unique():
-                own = batch.filter(pa.compute.equal(batch.column("lang"), lang))
+                own = batch.filter(pc.equal(batch.column("lang"), lang))
                 for piece in slices(own, text):
                     words, counts, codes = _run(piece.column(text))
-                    if not words:
+                    if not len(words):
                         continue
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([run]), pa.array([lang.as_py()]),
-                         pa.array([words], pa.list_(pa.binary())).cast(pa.list_(pa.string())),
-                         pa.array([counts]), pa.array([codes])],
+                        [pa.array([run]), pa.array([lang.as_py()]), _list(words, [len(words)]),
+                         _list(pa.array(counts), [len(counts)]),
+                         _list(pa.array(codes), [len(codes)])],
                         ["run", "lang", "words", "counts", "codes"])
-                    run += 1
+                    run += -(-len(codes) // BLOCK)
 
     named = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), text)
     return named.mapInArrow(make, "run long, lang string, words array<string>, "
                                   "counts array<long>, codes array<int>")
 
 
-def _numbered_words(cut: DataFrame, min_count: int) -> DataFrame:
-    """Frequent words of each language with their count and an id."""
+def _numbered(groups: DataFrame) -> tuple[DataFrame, int]:
+    """Stored groups with an id `g`, and a number above all ids.
+
+    Ids are the row in its task times the tasks plus the task, so they are nearly consecutive.
+    """
+    tasks = 1 << 33
+    placed = stored(groups.withColumn("_place", F.monotonically_increasing_id()))
+    last = placed.agg(F.max(F.expr(f"_place div {tasks}")), F.max(F.expr(f"_place % {tasks}")),
+                      ).first()
+    parts, rows = (last[0] or 0) + 1, (last[1] or 0) + 1
+    return placed.withColumn("g", F.expr(
+        f"_place % {tasks} * {parts} + _place div {tasks}")).drop("_place"), parts * rows
+
+
+def _numbered_words(cut: DataFrame, min_count: int) -> tuple[DataFrame, int]:
+    """Frequent words of each language: `lang`, `word`, `f` and `g`."""
     told = cut.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("e"))
-    counted = told.groupBy("lang", F.col("e.words").alias("word")).agg(
-        F.sum("e.counts").alias("f")).where(F.col("f") >= min_count)
-    return stored(counted.withColumn("w1", F.monotonically_increasing_id()))
+    return _numbered(told.groupBy(F.col("e.words").alias("word"), "lang").agg(
+        F.sum("e.counts").alias("f")).where(F.col("f") >= min_count))
 
 
 def _occurrences(cut: DataFrame, words: DataFrame) -> DataFrame:
-    """The stored relation: `run` and the ids of its words in order, null where nothing extends."""
+    """The stored first relation: `block` and the ids from its first position on, null for gaps.
+
+    A block ends with the first id of the next block of its run.
+    """
     entries = cut.select("run", "lang", F.posexplode("words").alias("code", "word"))
-    known = entries.join(words.select("lang", "word", "w1"), ["lang", "word"]).groupBy("run").agg(
-        F.map_from_entries(F.collect_list(F.struct("code", "w1"))).alias("ids"))
-    names = cut.select("run", "codes").join(known, "run")
+    known = entries.join(words.select("word", "lang", "g"), ["word", "lang"]).groupBy("run").agg(
+        F.collect_list(F.struct("code", "g")).alias("ids"))
+    named = cut.select("run", "codes").join(known, "run").select(
+        "run", "codes", F.col("ids.code").alias("known"), F.col("ids.g").alias("g"))
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                codes = batch.column("codes").slice(k, 1).flatten().to_numpy()
-                ids = batch.column("ids").slice(k, 1)
-                table_ = np.full(codes.max(initial=0) + 2, GAP, np.int64)  # the last one: GAP
-                table_[ids.keys.to_numpy()[ids.offsets[0].as_py():ids.offsets[1].as_py()]] = \
-                    ids.items.to_numpy()[ids.offsets[0].as_py():ids.offsets[1].as_py()]
-                found = table_[codes]
+                codes, known, g = (batch.column(c).slice(k, 1).flatten().to_numpy()
+                                   for c in ("codes", "known", "g"))
+                ids_of = np.full(codes.max(initial=0) + 2, GAP, np.int64)  # the last one: GAP
+                ids_of[known] = g
+                ids = ids_of[codes]
+                at = np.arange(0, len(ids), BLOCK)
+                lengths = np.minimum(len(ids) - at, BLOCK + 1)
+                found = np.insert(ids, at[1:] + 1, ids[at[1:]])  # first ids of blocks twice
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("run").slice(k, 1),
-                     pa.array([pa.array(found, mask=found == GAP)], pa.list_(pa.int64()))],
-                    ["run", "ids"])
-
-    return stored(names.mapInArrow(number, "run long, ids array<long>"))
+                    [pa.array(batch.column("run")[k].as_py() + np.arange(len(at))),
+                     _list(pa.array(found, mask=found == GAP), lengths)], ["block", "ids"])
 
+    return stored(named.mapInArrow(number, "block long, ids array<long>"))
 
-def _keys(size: int) -> list[str]:
-    return [f"w{i}" for i in range(1, size + 1)]
 
+def _pairs(relation: DataFrame) -> DataFrame:
+    """`at`, `g` and the group `h` at the next position, for a relation dealt by block."""
+    left = relation.where(F.expr(f"at div {BLOCK} = block"))
+    right = relation.select("block", (F.col("at") - 1).alias("at"), F.col("g").alias("h"))
+    return left.join(right.hint("merge"), ["at", "block"]).select("at", "g", "h")
 
-def _extended(relation: DataFrame, size: int) -> DataFrame:
-    """Occurrences of size + 1 words: two of `size` words that overlap, by position."""
-    keys = _keys(size)
-    after = relation.select("run", (F.col("at") - 1).alias("at"),
-                            F.col(keys[-1]).alias(f"w{size + 1}"))
-    return relation.join(after.hint("merge"), ["at", "run"])
 
+def _grown(pairs: DataFrame, ids: int, min_count: int) -> tuple[DataFrame, int, Column]:
+    """Frequent pairs (`key`, `f`, `g`), a number above their ids, and the key of a pair.
 
-def _frequent(relation: DataFrame, size: int, min_count: int) -> DataFrame:
-    return stored(relation.groupBy(*_keys(size)).agg(F.count(F.lit(1)).alias("f"))
-                  .where(F.col("f") >= min_count))
+    The key is exact: one long while it fits, else a decimal.
+    """
+    kind = "long" if ids < isqrt(1 << 63) else "decimal(38, 0)"
+    key = F.expr(f"cast(g as {kind}) * {ids} + h").cast(kind)
+    counted = pairs.groupBy(key.alias("key")).agg(F.count(F.lit(1)).alias("f"))
+    groups, above = _numbered(counted.where(F.col("f") >= min_count))
+    return groups.withColumns({"left": F.expr(f"cast(key div {ids} as long)"),
+                               "right": F.expr(f"cast(key % {ids} as long)")}), above, key
 
 
 def frequent(docs: DataFrame, text: str = "text", min_count: int = MIN_COUNT,
              max_words: int = MAX_WORDS) -> tuple[list[DataFrame], DataFrame]:
-    """Frequent groups by length (`w1`... and `f`; words with `lang`, `word`), and n by lang."""
+    """Frequent groups by length, and all words `n` by lang.
+
+    Groups have an id `g` and a count `f`; words also `lang` and `word`, longer groups the ids `left`
+    and `right` of the groups without their last and their first word.
+    """
     cut = stored(runs(docs, text))
-    totals = cut.groupBy("lang").agg(F.sum(F.aggregate(
-        "counts", F.lit(0).cast("long"), lambda a, b: a + b)).alias("n"))
-    groups = [_numbered_words(cut, min_count)]
-    totals = stored(totals)
-    occurrences = _occurrences(cut, groups[0])
+    totals = stored(cut.groupBy("lang").agg(F.sum(F.aggregate(
+        "counts", F.lit(0).cast("long"), lambda a, b: a + b)).alias("n")))
+    words, ids = _numbered_words(cut, min_count)
+    groups = [words]
+    blocks = _occurrences(cut, words)
     discard(cut)
-    with with_settings(docs.sparkSession, _BY_RUN):
-        relation = occurrences.repartition("run").select(
-            "run", F.posexplode("ids").alias("at", "w1")).where("w1 is not null").select(
-            "run", F.col("at").cast("long").alias("at"), "w1")
-        for size in range(1, max_words):
-            longer = _extended(relation, size)
-            if size + 1 == max_words:
-                groups.append(_frequent(longer, size + 1, min_count))
-                break
-            kept = stored(longer)
-            groups.append(_frequent(kept, size + 1, min_count))
-            keys = _keys(size + 1)
-            relation = stored(kept.join(groups[-1].select(*keys).hint("merge"), keys,
-                                        "left_semi").select("run", "at", *keys))
-            discard(kept)
-            relation = relation.repartition("run")
+    relation = blocks.repartition("block").sortWithinPartitions("block").select(
+        "block", F.posexplode("ids").alias("at", "g")).where("g is not null").select(
+        "block", F.expr(f"block * {BLOCK} + at").alias("at"), "g")
+    used = blocks
+    for size in range(2, max_words + 1):
+        with with_settings(docs.sparkSession, _BY_BLOCK):
+            pairs = _pairs(relation) if size == max_words else stored(_pairs(relation))
+            found, ids, key = _grown(pairs, ids, min_count)
+        discard(used)
+        groups.append(found)
+        if size < max_words:
+            kept = pairs.select("at", key.alias("key")).join(
+                found.select("key", F.col("g").alias("g")).hint("merge"), "key")
+            used = stored(kept.select("at", "g"))
+            discard(pairs)
+            own = F.expr(f"at div {BLOCK}")
+            relation = used.withColumn("block", F.explode(F.when(
+                F.col("at") % BLOCK == 0, F.array(own, own - 1)).otherwise(F.array(own)))
+                ).repartition("block")
     return groups, totals
 
 
-def _part(groups: list[DataFrame], phrases: DataFrame, first: int, size: int,
-          name: str) -> DataFrame:
-    """Add the count of the words first..first+size-1 of each phrase."""
-    part = groups[size - 1].select(
-        *[F.col(f"w{i}").alias(f"w{first + i - 1}") for i in range(1, size + 1)],
-        F.col("f").alias(name))
-    return phrases.join(part, [f"w{first + i}" for i in range(size)])
+def _told(groups: list[DataFrame]) -> list[DataFrame]:
+    """Groups with `lang`, `words`, and counts of their first (`pre`) and last (`post`) 1.. words."""
+    told = [groups[0].select("g", "lang", F.array("word").alias("words"), F.array("f").alias("pre"),
+                             F.array("f").alias("post"))]
+    for longer in groups[1:]:
+        left = told[-1].select(F.col("g").alias("left"), "lang", "words", "pre")
+        right = told[-1].select(F.col("g").alias("right"), "post",
+                                F.element_at("words", -1).alias("last"))
+        told.append(stored(longer.join(left, "left").join(right, "right").select(
+            "g", "lang", F.concat("words", F.array("last")).alias("words"),
+            F.concat("pre", F.array("f")).alias("pre"),
+            F.concat("post", F.array("f")).alias("post"))))
+    return told
 
 
-def _scored(groups: list[DataFrame], size: int) -> DataFrame:
+def _scored(told: DataFrame, size: int) -> DataFrame:
     """`a`, and l, r and score of the cut that scores lowest, the first of equal ones."""
-    phrases = groups[size - 1].withColumnRenamed("f", "a")
+    cuts = []
     for k in range(1, size):
-        phrases = _part(groups, phrases, 1, k, f"l{k}")
-        phrases = _part(groups, phrases, k + 1, size - k, f"r{k}")
-
-    def whole(name: str) -> str:
-        return f"cast({name} as decimal(18, 0))"
-
-    cuts = [F.struct(
-        F.expr(f"cast({whole('a')} * {whole('a')} * cast({SCALE} as decimal(7, 0)) div "
-               f"({whole(f'l{k}')} * {whole(f'r{k}')}) as long)").alias("score"),
-        F.lit(k).alias("k"), F.col(f"l{k}").alias("l"), F.col(f"r{k}").alias("r"))
-        for k in range(1, size)]
+        counts = {"a": f"pre[{size - 1}]", "l": f"pre[{k - 1}]", "r": f"post[{size - k - 1}]"}
+        whole = {name: f"cast({c} as decimal(18, 0))" for name, c in counts.items()}
+        score = (f"cast({whole['a']} * {whole['a']} * cast({SCALE} as decimal(7, 0)) div "
+                 f"({whole['l']} * {whole['r']}) as long)")
+        cuts.append(F.struct(F.expr(score).alias("score"), F.lit(k).alias("k"),
+                             F.expr(counts["l"]).alias("l"), F.expr(counts["r"]).alias("r")))
     least = F.least(*cuts) if len(cuts) > 1 else cuts[0]
-    return phrases.select(*_keys(size), "a", least.alias("cut")).select(
-        *_keys(size), "a", "cut.l", "cut.r", "cut.score")
-
-
-def _inside(groups: list[DataFrame], size: int) -> DataFrame | None:
-    """The largest count of a longer candidate around each phrase of `size` words."""
-    around = [longer.select(*[F.col(f"w{start + i}").alias(f"w{i}") for i in range(1, size + 1)],
-                            "f")
-              for length, longer in enumerate(groups, 1) if length > size
-              for start in range(length - size + 1)]
-    if not around:
-        return None
-    return reduce(DataFrame.unionByName, around).groupBy(*_keys(size)).agg(
-        F.max("f").alias("around"))
+    return told.select("g", "lang", F.array_join("words", " ").alias("phrase"),
+                       F.expr(f"pre[{size - 1}]").alias("a"), least.alias("cut")).select(
+        "g", "lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
 
 
 def collocations(docs: DataFrame, text: str = "text", min_count: int = MIN_COUNT,
                  max_words: int = MAX_WORDS, top: int = TOP, cover: int = COVER) -> DataFrame:
     """`lang`, `rank`, `phrase`, `a`, `l`, `r`, `n`, `score` of the best phrases by language."""
     groups, totals = frequent(docs, text, min_count, max_words)
-    spark, words, found = docs.sparkSession, groups[0], []
-    for size in range(2, max_words + 1):
-        phrases, keys = _scored(groups, size), _keys(size)
-        around = _inside(groups, size)
-        if around is not None:
-            phrases = phrases.join(around, keys, "left").where(
-                F.col("around").isNull() | (100 * F.col("around") < cover * F.col("a"))).drop(
-                "around")
-        for i in range(1, size + 1):
-            named = words.select(F.col("w1").alias(f"w{i}"), F.col("word").alias(f"t{i}"),
-                                 *(["lang"] if i == 1 else []))
-            phrases = phrases.join(named, f"w{i}")
-        found.append(phrases.select("lang", F.concat_ws(" ", *[f"t{i}" for i in range(1, size + 1)])
-                                    .alias("phrase"), "a", "l", "r", "score"))
-    return _best(spark, reduce(DataFrame.unionByName, found), totals, top)
+    found = []
+    for size, told in enumerate(_told(groups), 1):
+        if size == 1:
+            continue
+        phrases = _scored(told, size)
+        if size < max_words:
+            around = reduce(DataFrame.unionByName, [
+                groups[size].select(F.col(side).alias("g"), "f") for side in ("left", "right")])
+            phrases = phrases.join(around.groupBy("g").agg(F.max("f").alias("f")), "g", "left")
+            phrases = phrases.where(f"f is null or 100 * f < {cover} * a")
+        found.append(phrases.select("lang", "phrase", "a", "l", "r", "score"))
+    return _best(docs.sparkSession, reduce(DataFrame.unionByName, found), totals, top)
 
 
 def _best(spark: SparkSession, phrases: DataFrame, totals: DataFrame, top: int) -> DataFrame:
