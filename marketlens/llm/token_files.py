@@ -8,9 +8,10 @@ table beside them, one row a slice, says how many ids stand before each slice. `
 with their absolute start, stripe by stripe in parallel; `lookup` reads only the row groups whose
 statistics and Bloom filters admit the wanted ids.
 
-Words between white space are encoded once a slice, through a cache of at most `CACHE` words: the
-tokenizer drops white space and never joins words across it. Texts that name an added token are
-encoded whole. Null texts count as empty: their only id is the end. Null doc_ids come first; rows
+Texts are cut where the tokenizer always cuts: at white space, which it drops, and between an ASCII
+letter and one of `.,;:!?`. Distinct pieces are encoded once a slice, through a cache of at most
+`CACHE` pieces; those of ASCII letters alone, lower-cased, go straight to the merges. Texts that name an
+added token are encoded whole. Null texts count as empty: their only id is the end. Null doc_ids come first; rows
 of one doc_id are ordered by a hash of their text, and equal rows by their place in the input, so
 that a doc_id of any weight is spread over slices. Repeated rows are written as often as they come.
 Other columns are left out. An empty table gives files without rows. Texts are encoded in slices of
@@ -19,6 +20,7 @@ about a megabyte, so the longest single text bounds a task's memory.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -33,15 +35,21 @@ from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
 from marketlens.llm.store import new_folder, table
-from marketlens.llm.words import Words, flat, slices
+from marketlens.llm.words import LOWER, flat, slices
 
 FILE = "word_bpe_49k.json"
 END = 2
 STRIDE = 1000
 STRIPE_BYTES = 64 << 20
-CACHE = 500_000
+CACHE = 400_000
 
-_NO_IDS = np.zeros(0, np.int32)
+# Classes of bytes, for cutting texts into pieces.
+_OTHER, _SPACE, _LETTER, _STOP = range(4)
+_CLASS = np.full(256, _OTHER, np.uint8)
+_CLASS[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = _SPACE
+_CLASS[[*range(65, 91), *range(97, 123)]] = _LETTER
+_CLASS[[*b".,;:!?"]] = _STOP
+_LOWER = np.frombuffer(LOWER, np.uint8)
 
 
 class _Coder:
@@ -57,35 +65,38 @@ class _Coder:
         found = self.tokenizer.encode(text.decode(), add_special_tokens=False)
         return np.array(found.ids, np.int32)
 
-    def of_words(self, words: list[bytes]) -> list[np.ndarray]:
+    def of_pieces(self, pieces: list[bytes]) -> list[np.ndarray]:
         if len(self.known) > CACHE:
             self.known.clear()
-        new = [w for w in words if w not in self.known]
-        coded = self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-        self.known.update((w, np.array(c.ids, np.int32)) for w, c in zip(new, coded))
-        return [self.known[w] for w in words]
+        new = [p for p in pieces if p not in self.known]
+        model = self.tokenizer.model
+        self.known.update((p, np.array([t.id for t in model.tokenize(p.decode())], np.int32))
+                          for p in new if _PLAIN(p))
+        new = [p for p in new if p not in self.known]
+        coded = self.tokenizer.encode_batch([p.decode() for p in new], add_special_tokens=False)
+        self.known.update((p, np.array(c.ids, np.int32)) for p, c in zip(new, coded))
+        return [self.known[p] for p in pieces]
 
     def rows(self, column: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each with its end id, and how many a row has."""
         data, offsets = flat(column)
-        words = Words(data, offsets)
-        lengths = words.ends - words.starts
-        bounds = np.zeros(len(lengths) + 1, np.int64)
-        np.cumsum(lengths, out=bounds[1:])
-        kept = gather(data, words.starts, lengths)
+        starts, lengths, lowered = cut(data, offsets)
+        stops = np.zeros(len(lengths) + 1, np.int64)
+        np.cumsum(lengths, out=stops[1:])
         coded = pa.LargeBinaryArray.from_buffers(
-            pa.large_binary(), len(lengths), [None, pa.py_buffer(bounds), pa.py_buffer(kept)]
+            pa.large_binary(), len(lengths), [None, pa.py_buffer(stops), pa.py_buffer(lowered)]
         ).dictionary_encode()
-        # One more entry for the end id; every row gets one more "word".
-        parts = [*self.of_words(coded.dictionary.to_pylist()), np.array([end], np.int32)]
+        # One more entry for the end id; every row gets one more piece.
+        parts = [*self.of_pieces(coded.dictionary.to_pylist()), np.array([end], np.int32)]
         sizes = np.array([len(p) for p in parts], np.int64)
         first = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+        bounds = np.searchsorted(starts, offsets)
         order = np.insert(coded.indices.to_numpy(zero_copy_only=False).astype(np.int64),
-                          words.bounds[1:], len(parts) - 1)
+                          bounds[1:], len(parts) - 1)
         ids = gather(np.concatenate(parts), first[order], sizes[order])
         totals = np.concatenate(([0], np.cumsum(sizes[order])))
-        stops = words.bounds + np.arange(len(words.bounds))
-        counts = totals[stops[1:]] - totals[stops[:-1]]
+        ends = bounds + np.arange(len(bounds))
+        counts = totals[ends[1:]] - totals[ends[:-1]]
         raw = data.tobytes()
         if any(mark in raw for mark in self.marks):
             ids, counts = self._mended(raw, offsets, ids, counts, end)
@@ -100,6 +111,30 @@ class _Coder:
         return np.concatenate(rows), np.array([len(r) for r in rows], np.int64)
 
 
+_PLAIN = re.compile(rb"[a-z]+").fullmatch
+
+
+def cut(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First byte and length of every piece, and the bytes of all; ASCII pieces are lower-cased.
+
+    Others keep their case, as composing their characters comes before lowering them.
+    """
+    kind = _CLASS[data]
+    fresh = np.ones(len(data) + 1, bool)  # a piece cannot go on over this byte's start
+    fresh[1:-1] = (kind[1:] + kind[:-1] == _LETTER + _STOP) & (kind[1:] >= _LETTER) & (
+        kind[:-1] >= _LETTER)
+    fresh[offsets] = True
+    inside = kind != _SPACE
+    starts = np.flatnonzero(inside & (fresh[:-1] | np.concatenate(([True], ~inside[:-1]))))
+    ends = np.flatnonzero(inside & (fresh[1:] | np.concatenate((~inside[1:], [True])))) + 1
+    lengths = ends - starts
+    kept = data[inside]
+    if not len(starts):
+        return starts, lengths, kept
+    highest = np.maximum.reduceat(kept, np.cumsum(lengths) - lengths)
+    return starts, lengths, np.where(np.repeat(highest < 0x80, lengths), _LOWER[kept], kept)
+
+
 def gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The spans of values, one after another."""
     stops = np.cumsum(lengths)
