@@ -1,7 +1,9 @@
 """Named measures over the two facts, by any dimensions and filters, without mixing grains.
 
-Each measure has one home fact. A fact is aggregated alone at the group keys and the results
-are stacked and collapsed on those keys, so no join can multiply rows. Dealer filters reach
+Each measure has one home fact and is kept as mergeable states. A fact first shrinks to states at the
+grain of its foreign keys; these meet the dimensions one by one and merge after each, so a skewed
+dealer or vehicle is summed before it is shuffled. Results of several facts are stacked and
+collapsed on the group keys, so no join can multiply rows. Dealer filters reach
 quotes only; date, customer, vehicle and inquiry filters reach inquiries and their quotes.
 """
 
@@ -18,8 +20,9 @@ from marketlens.functions import numbers as N
 from marketlens.functions import text as T
 from marketlens.functions.bands import band_below, band_order
 from marketlens.functions.calendar import month_of
+from marketlens.operators import states as S
 from marketlens.operators.joins import join_null_safe
-from marketlens.operators.order_stats import exact_percentiles, value_ranks
+from marketlens.operators.order_stats import cell_percentiles, units, value_ranks
 from marketlens.plans.views import Tables
 from marketlens.schema import (
     ISSUE_CATEGORIES, METRIC_LABELS, REPORT_RESPONSE_BANDS, SLA_HOURS, STAGE_LABELS,
@@ -47,13 +50,10 @@ REACH = {
 
 @dataclass(frozen=True)
 class Base:
-    """An aggregate of one fact. `without` lists dimensions whose context is removed.
-
-    The column is built on use: it belongs to the session that is active then.
-    """
+    """An aggregate of one fact. `without` lists dimensions whose context is removed."""
 
     fact: str
-    value: Callable[[], Column]
+    measure: S.Measure
     without: tuple[str, ...] = ()
 
 
@@ -81,12 +81,12 @@ def _divide(*inputs: str) -> Derived:
 def _fixed_rate(metric: str, stage: str = "Processed") -> Base:
     def value() -> Column:
         chosen = (F.col("stage") == stage) & (F.col("metric_name") == metric)
-        return F.max(F.when(chosen, F.col("rate")))
-    return Base("quality", value, ("stage", "metric_name"))
+        return F.when(chosen, F.col("rate"))
+    return Base("quality", S.greatest(value), ("stage", "metric_name"))
 
 
 def _stage_rate(stage: str) -> Base:
-    return Base("quality", lambda: F.max(F.when(F.col("stage") == stage, F.col("rate"))),
+    return Base("quality", S.greatest(lambda: F.when(F.col("stage") == stage, F.col("rate"))),
                 ("stage",))
 
 
@@ -99,7 +99,7 @@ def _won() -> Column:
 
 
 def _accepted_value() -> Column:
-    return F.sum(F.when(_won(), F.col("quote_amount")))
+    return F.when(_won(), F.col("quote_amount"))
 
 
 def _growth(now: Column, before: Column) -> Column:
@@ -108,39 +108,39 @@ def _growth(now: Column, before: Column) -> Column:
 
 # The primary keys are unique by load check, so a distinct count of them is a row count.
 MEASURES: dict[str, Base | Derived | Special] = {
-    "total_inquiries": Base("inquiry", N.rows),
-    "total_quotes": Base("quote", N.rows),
-    "total_quotes_by_quote_date": Base("quote_date", N.rows),
-    "converted_inquiries": Base("inquiry", lambda: N.count_where(_sold())),
+    "total_inquiries": Base("inquiry", S.rows()),
+    "total_quotes": Base("quote", S.rows()),
+    "total_quotes_by_quote_date": Base("quote_date", S.rows()),
+    "converted_inquiries": Base("inquiry", S.count_where(_sold)),
     "conversion_rate": _divide("converted_inquiries", "total_inquiries"),
     "average_quotes_per_inquiry": _divide("total_quotes", "total_inquiries"),
-    "average_days_to_conversion": Base("inquiry", lambda: N.mean("days_to_conversion", _sold())),
+    "average_days_to_conversion": Base("inquiry", S.mean("days_to_conversion", _sold)),
     "inquiries_under_sla":
-        Base("inquiry", lambda: N.count_where(F.col("fastest_response_hours") < SLA_HOURS)),
+        Base("inquiry", S.count_where(lambda: F.col("fastest_response_hours") < SLA_HOURS)),
     "sla_compliance_rate": _divide("inquiries_under_sla", "total_inquiries"),
-    "average_quote": Base("quote", lambda: N.mean("quote_amount")),
-    "maximum_quote": Base("quote", lambda: F.max("quote_amount")),
-    "minimum_quote": Base("quote", lambda: F.min("quote_amount")),
+    "average_quote": Base("quote", S.mean("quote_amount")),
+    "maximum_quote": Base("quote", S.greatest(lambda: F.col("quote_amount"))),
+    "minimum_quote": Base("quote", S.least("quote_amount")),
     "median_quote": Special("median", options={"fact": "quote", "column": "quote_amount",
                                                "scale": 2}),
-    "average_highest_quote": Base("inquiry", lambda: N.mean("highest_quote")),
-    "average_lowest_quote": Base("inquiry", lambda: N.mean("lowest_quote")),
-    "average_quote_spread": Base("inquiry", lambda: N.mean("quote_spread")),
-    "average_quote_spread_pct": Base("inquiry", lambda: N.mean("quote_spread_pct")),
-    "average_sale_value": Base("inquiry", lambda: N.mean("final_sale_price", _sold())),
-    "total_accepted_quote_value": Base("quote", _accepted_value),
+    "average_highest_quote": Base("inquiry", S.mean("highest_quote")),
+    "average_lowest_quote": Base("inquiry", S.mean("lowest_quote")),
+    "average_quote_spread": Base("inquiry", S.mean("quote_spread")),
+    "average_quote_spread_pct": Base("inquiry", S.mean("quote_spread_pct")),
+    "average_sale_value": Base("inquiry", S.mean("final_sale_price", _sold)),
+    "total_accepted_quote_value": Base("quote", S.total(_accepted_value)),
     "quote_to_market_ratio":
-        Base("quote", lambda: N.quotient(F.sum("quote_amount"), F.sum("estimated_market_value"))),
-    "average_estimated_market_value": Base("quote", lambda: N.mean("estimated_market_value")),
-    "quote_anomalies": Base("quote", lambda: N.count_where(F.col("anomaly_flag"))),
+        Base("quote", S.quotient_of_totals("quote_amount", "estimated_market_value")),
+    "average_estimated_market_value": Base("quote", S.mean("estimated_market_value")),
+    "quote_anomalies": Base("quote", S.count_where(lambda: F.col("anomaly_flag"))),
     "quote_anomaly_rate": _divide("quote_anomalies", "total_quotes"),
-    "average_response_time": Base("quote", lambda: N.mean("response_time_hours")),
-    "average_fastest_response_time": Base("inquiry", lambda: N.mean("fastest_response_hours")),
-    "dealer_wins": Base("quote", lambda: N.count_where(_won())),
+    "average_response_time": Base("quote", S.mean("response_time_hours")),
+    "average_fastest_response_time": Base("inquiry", S.mean("fastest_response_hours")),
+    "dealer_wins": Base("quote", S.count_where(_won)),
     "dealer_win_rate": _divide("dealer_wins", "total_quotes"),
-    "average_dealer_competitiveness": Base("quote", lambda: N.mean("quote_to_market_ratio")),
-    "dealer_accepted_value": Base("quote", _accepted_value),
-    "active_dealers": Base("dealer", lambda: N.count_where(F.col("active_flag"))),
+    "average_dealer_competitiveness": Base("quote", S.mean("quote_to_market_ratio")),
+    "dealer_accepted_value": Base("quote", S.total(_accepted_value)),
+    "active_dealers": Base("dealer", S.count_where(lambda: F.col("active_flag"))),
     "dealer_rank": Special("rank", ("dealer_wins", "total_quotes"), {"by": "win_rate"}),
     "dealer_win_rate_top_7": Special(
         "rank", ("dealer_wins", "total_quotes", "dealer_win_rate"),
@@ -160,7 +160,7 @@ MEASURES: dict[str, Base | Derived | Special] = {
         ("conversion_rate", "previous_month_conversion_rate"), lambda now, before: now - before),
     "rolling_3m_conversion_rate": Special(
         "shift", ("converted_inquiries", "total_inquiries"), {"months": (0, 1, 2)}),
-    "data_quality_metric_rate": Base("quality", lambda: F.max("rate")),
+    "data_quality_metric_rate": Base("quality", S.greatest(lambda: F.col("rate"))),
     "raw_data_quality_rate": _stage_rate("Raw"),
     "raw_data_quality_score": _fixed_rate("overall_data_quality_score", "Raw"),
     "processed_data_quality_rate": _stage_rate("Processed"),
@@ -172,11 +172,11 @@ MEASURES: dict[str, Base | Derived | Special] = {
     "validity_rate": _fixed_rate("validity_rate"),
     "uniqueness_rate": _fixed_rate("uniqueness_rate"),
     "referential_integrity_rate": _fixed_rate("referential_integrity_rate"),
-    "affected_rows": Base("issue", lambda: F.sum("affected_rows")),
-    "raw_records": Base("run", lambda: F.sum("raw_records")),
-    "clean_records": Base("run", lambda: F.sum("clean_records")),
-    "rejected_records": Base("run", lambda: F.sum("quarantined_records")),
-    "loaded_records": Base("run", lambda: F.sum("loaded_records")),
+    "affected_rows": Base("issue", S.total(lambda: F.col("affected_rows"))),
+    "raw_records": Base("run", S.total(lambda: F.col("raw_records"))),
+    "clean_records": Base("run", S.total(lambda: F.col("clean_records"))),
+    "rejected_records": Base("run", S.total(lambda: F.col("quarantined_records"))),
+    "loaded_records": Base("run", S.total(lambda: F.col("loaded_records"))),
 }
 
 
@@ -185,39 +185,34 @@ def _date_columns(df: DataFrame, day: str) -> DataFrame:
                            "year": F.year(day)})
 
 
-def _inquiry_frame(t: Tables, needed: set[str]) -> DataFrame:
-    """Inquiries with the attributes asked for; a dimension not asked for is not joined."""
+# Dimensions as (table, key, columns); a dimension not asked for is not joined.
+DIMENSIONS = [("dim_customer", "customer_id", CUSTOMER), ("dim_vehicle", "vehicle_id", VEHICLE),
+              ("dim_dealer", "dealer_id", [c for c in DEALER if c != "dealer_id"])]
+
+
+def _inquiry_frame(t: Tables) -> DataFrame:
     hours = F.col("fastest_response_hours")
-    df = _date_columns(t["fact_inquiry"], "inquiry_date").withColumns({
+    return _date_columns(t["fact_inquiry"], "inquiry_date").withColumns({
         "response_band": band_below(hours, REPORT_RESPONSE_BANDS),
         "response_band_order": band_order(hours, REPORT_RESPONSE_BANDS)})
-    for table, key, columns in (("dim_customer", "customer_id", CUSTOMER),
-                                ("dim_vehicle", "vehicle_id", VEHICLE)):
-        wanted = [c for c in columns if c in needed]
-        if wanted:
-            df = df.join(t[table].select(key, *wanted), key, "left")
-    return df
 
 
 def _quote_frame(t: Tables, needed: set[str], by_quote_date: bool) -> DataFrame:
+    """Quotes with the columns and foreign keys of their inquiry that are asked for."""
     df = t["fact_quote"]
     if by_quote_date:
         df = _date_columns(df, "quote_date")
     own = set(DATE) if by_quote_date else set()
-    from_inquiry = [c for c in (*DATE, *CUSTOMER, *VEHICLE, *INQUIRY)
-                    if c in needed and c not in own]
-    if from_inquiry:
-        df = df.join(_inquiry_frame(t, needed).select("inquiry_id", *from_inquiry),
-                     "inquiry_id", "left")
-    from_dealer = [c for c in DEALER if c in needed and c != "dealer_id"]
-    if from_dealer:
-        df = df.join(t["dim_dealer"].select("dealer_id", *from_dealer), "dealer_id", "left")
+    wanted = [c for c in (*DATE, *INQUIRY, "customer_id", "vehicle_id")
+              if c in needed and c not in own]
+    if wanted:
+        df = df.join(_inquiry_frame(t).select("inquiry_id", *wanted), "inquiry_id", "left")
     return df
 
 
 def _frame(t: Tables, fact: str, needed: set[str]) -> DataFrame:
     if fact == "inquiry":
-        return _inquiry_frame(t, needed)
+        return _inquiry_frame(t)
     if fact in ("quote", "quote_date"):
         return _quote_frame(t, needed, fact == "quote_date")
     if fact == "dealer":
@@ -239,15 +234,41 @@ def _predicate(name: str, wanted) -> Column:
     return F.col(name).isin(list(wanted))
 
 
-def _context(t: Tables, fact: str, by: list[str], filters: dict, without=()) -> tuple:
-    """The filtered frame of a fact and the group keys that reach it."""
+def _filtered(df: DataFrame, filters: dict) -> DataFrame:
+    for name, wanted in filters.items():
+        df = df.filter(_predicate(name, wanted))
+    return df
+
+
+def _folded(t: Tables, fact: str, by: list[str], filters: dict, measures: dict[str, S.Measure],
+            without=(), unit: Column | None = None) -> tuple[DataFrame, list[str]]:
+    """States of a fact at the group keys that reach it, and these keys.
+
+    unit: a further key `_unit` of the rows where it is not NULL.
+    """
     reach = [c for c in REACH[fact] if c not in without]
     keys = [c for c in by if c in reach]
     active = {c: v for c, v in filters.items() if c in reach}
-    df = _frame(t, fact, {*keys, *active})
-    for name, wanted in active.items():
-        df = df.filter(_predicate(name, wanted))
-    return df, keys
+    asked = {*keys, *active}
+    dimensions = [(table, key, [c for c in columns if c in asked])
+                  for table, key, columns in DIMENSIONS
+                  if fact in ("inquiry", "quote", "quote_date") and asked.intersection(columns)]
+    foreign = {c for _, _, columns in dimensions for c in columns}
+    df = _frame(t, fact, asked | {key for _, key, _ in dimensions})
+    df = _filtered(df, {c: v for c, v in active.items() if c not in foreign})
+    extra = [] if unit is None else ["_unit"]
+    if unit is not None:
+        df = df.withColumn("_unit", unit).filter("_unit is not null")
+    group = [c for c in keys if c not in foreign]
+    group += [key for _, key, _ in dimensions if key not in group]
+    states = S.partial(df, [*group, *extra], measures)
+    for table, key, columns in dimensions:
+        states = states.join(t[table].select(key, *columns), key, "left")
+        states = _filtered(states, {c: v for c, v in active.items() if c in columns})
+        group = [c for c in group if c != key or key in keys]
+        group += [c for c in columns if c in keys]
+        states = S.merged(states, [*group, *extra], measures)
+    return states.select(*keys, *[c for c in states.columns if c not in keys]), keys
 
 
 def _stack(parts: list[DataFrame], keys: list[str]) -> DataFrame:
@@ -268,16 +289,18 @@ def _aggregate(t: Tables, names: list[str], by: list[str], filters: dict) -> Dat
             groups.setdefault((measure.fact, measure.without), []).append(name)
     found: dict[tuple, list[DataFrame]] = {}
     for (fact, without), members in groups.items():
-        df, keys = _context(t, fact, by, filters, without)
-        found.setdefault(tuple(keys), []).append(
-            df.groupBy(*keys).agg(*[MEASURES[m].value().alias(m) for m in members]))
+        measures = {m: MEASURES[m].measure for m in members}
+        states, keys = _folded(t, fact, by, filters, measures, without)
+        found.setdefault(tuple(keys), []).append(S.finished(states, keys, measures))
     for name in names:
         measure = MEASURES[name]
         if isinstance(measure, Special) and measure.kind == "median":
-            df, keys = _context(t, measure.options["fact"], by, filters)
-            found.setdefault(tuple(keys), []).append(exact_percentiles(
-                df, keys, measure.options["column"], measure.options["scale"],
-                {name: (1, 2)}))
+            scale, size = measure.options["scale"], {"_n": S.rows()}
+            states, keys = _folded(t, measure.options["fact"], by, filters, size,
+                                   unit=units(measure.options["column"], scale))
+            cells = cut(S.finished(states, [*keys, "_unit"], size))
+            found.setdefault(tuple(keys), []).append(
+                cell_percentiles(cells, keys, scale, {name: (1, 2)}))
     levels = sorted(((list(keys), _stack(parts, list(keys))) for keys, parts in found.items()),
                     key=lambda level: -len(level[0]))
     keys, result = levels[0]

@@ -1,9 +1,11 @@
 """The metric layer: grains, filters, calendar shifts and ranks."""
 
 import datetime as dt
+import re
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from marketlens.plans import queries as B
 from marketlens.plans.metrics import MEASURES, REPORTS, evaluate, report
@@ -166,3 +168,58 @@ def test_missing_members_meet_and_unrelated_keys_are_refused(tables):
     assert found == [(None, "D0", 4, 4), (None, "D1", 4, 4), (None, "D2", 2, 4)]
     with pytest.raises(ValueError):
         evaluate(tables, ["active_dealers", "total_inquiries"], ["dealer_id", "lead_source"])
+
+
+def _exchanges(plan):
+    """(line, lines below it) of every exchange of a plan's text."""
+    lines = [line for line in plan.split("\n") if line.strip()]
+    depth = [re.search(r"[^ :+-]", line).start() for line in lines]
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line:
+            end = next((j for j in range(i + 1, len(lines)) if depth[j] <= depth[i]), len(lines))
+            yield line, lines[i + 1:end]
+
+
+@pytest.mark.parametrize("name", ["r04", "r05", "r13", "r14", "r15", "r16"])
+def test_quotes_are_states_before_they_meet_dealers(spark, tables, tmp_path, name):
+    from marketlens.plans.metrics import Base, _aggregate, _closure
+    by, measures, _ = REPORTS[name]
+    stored = {}
+    for table, df in tables.items():
+        path = str(tmp_path / table)
+        df.withColumns({"dealer_rating": F.lit(1)} if table == "dim_dealer" else {}).write.parquet(
+            path)
+        stored[table] = spark.read.parquet(path)
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        direct = [m for m in _closure(measures) if isinstance(MEASURES[m], Base)]
+        df = _aggregate(stored, direct, by, {})
+        found = list(_exchanges(df._jdf.queryExecution().executedPlan().toString()))
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    hot = [below for line, below in found if "dealer_id" in line
+           and re.search("(accepted_flag|quote_amount|response_time_hours)#", "".join(below))]
+    assert hot and all("HashAggregate" in below[0] for below in hot)
+
+
+def test_states_equal_one_aggregate_over_joined_rows(tables):
+    from marketlens.operators import states as S
+    quotes = tables["fact_quote"].join(tables["dim_dealer"], "dealer_id")
+    measures = {"n": S.rows(), "mean": S.mean("quote_amount", lambda: F.col("accepted_flag")),
+                "least": S.least("quote_date"), "won": S.count_where(lambda: F.col("accepted_flag")),
+                "sum": S.total(lambda: F.col("quote_amount")),
+                "last": S.greatest(lambda: F.col("quote_date"))}
+    once = S.finished(S.partial(quotes, ["dealer_region"], measures), ["dealer_region"], measures)
+    states = S.partial(quotes, ["dealer_id", "quote_date", "dealer_region"], measures)
+    for keys in (["quote_date", "dealer_region"], ["dealer_region"]):
+        states = S.merged(states, keys, measures)
+    again = S.finished(states, ["dealer_region"], measures)
+    assert again.schema == once.schema
+    assert sorted(rows(again)) == sorted(rows(once))
+    none = S.merged(S.partial(quotes.filter("false"), ["dealer_id"], measures), [], measures)
+    assert one(S.finished(none, [], measures)) == {
+        "n": 0, "mean": None, "least": None, "won": 0, "sum": None, "last": None}
