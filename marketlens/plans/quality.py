@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from marketlens.functions import numbers as N
+from marketlens.functions.ordinals import source_key
 from marketlens.operators.dedupe import duplicate_count
 from marketlens.operators.joins import compare_by_key, orphan_counts
 from marketlens.operators.numbering import range_numbered
@@ -41,7 +42,7 @@ def _rejects(cleaned: Cleaned, with_order: bool) -> DataFrame:
         for rows in cleaned.rejects[table]:
             place = F.array_position(F.array(*[F.lit(r) for r in rules]), F.col("_rule"))
             extra = [(F.lit(number * 100) + place).cast("int").alias("_place"),
-                     F.to_json(F.struct("_ordinal")).alias("_source_order")] if with_order else []
+                     source_key(rows).alias("_source_order")] if with_order else []
             parts.append(rows.select(
                 F.lit(table).alias("table_name"),
                 F.coalesce(F.col(KEYS[table]).cast("string"), F.lit("<NULL>"))
@@ -56,9 +57,10 @@ def _rejects(cleaned: Cleaned, with_order: bool) -> DataFrame:
 def quarantined_records(cleaned: Cleaned, workspace: Workspace) -> DataFrame:
     """Every rejected row with its original values and a consecutive identifier.
 
-    Rejects are unbounded, so they are numbered by range slices instead of one global window.
+    Tables and rules come in the order they were applied, rows of a rule in source order. Rejects
+    are unbounded, so they are numbered by range slices instead of one global window.
     """
-    order = [F.col("_place"), F.col("record_id"), F.col("_source_order")]
+    order = [F.col("_place"), F.col("_source_order"), F.col("record_id")]
     numbered = range_numbered(workspace, _rejects(cleaned, True), "quarantine_slices", order, "_n")
     return numbered.select(
         F.format_string("QR%07d", "_n").alias("quarantine_id"), "table_name", "record_id",

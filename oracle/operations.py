@@ -4,20 +4,84 @@ from __future__ import annotations
 
 from oracle.base import mean, rate, total, with_base
 
-REJECTS = """rejects AS MATERIALIZED (
+def _cents(column: str) -> str:
+    """Whole cents as the text of a decimal of scale 2."""
+    return (f"CASE WHEN {column} < 0 THEN '-' ELSE '' END || (abs({column}) // 100) || '.' || "
+            f"lpad((abs({column}) % 100)::VARCHAR, 2, '0')")
+
+
+def _row(**fields: str) -> str:
+    """A row as JSON text, its keys in order and NULL spelled out."""
+    told = ", ".join(f"{k}: coalesce(({fields[k]})::VARCHAR, '<NULL>')" for k in sorted(fields))
+    return f"to_json({{{told}}})::VARCHAR"
+
+
+_CUSTOMER = _row(
+    customer_id="customer_id", lead_source="raw_lead", customer_type="' ' || c_mktsegment",
+    customer_created_date="CASE WHEN balance < -950 THEN '2025-99-41' "
+                          "ELSE CAST(created AS DATE)::VARCHAR END",
+    age_group="CASE WHEN balance < 1500 THEN '18-24' WHEN balance < 4000 THEN '25-34' WHEN "
+              "balance < 6500 THEN '35-44' WHEN balance < 9000 THEN '45-64' ELSE '65+ years' END",
+    canton="CASE WHEN copy = 1 THEN 'ZZ' WHEN balance BETWEEN 0 AND 150 THEN '  ' "
+           "ELSE lower(n_name) END",
+    preferred_contact_method="(ARRAY['email', 'PHONE', 'text message', 'in-person', 'Email'])"
+                             "[n_regionkey + 1]")
+_VEHICLE = _row(
+    vehicle_id="vehicle_id", brand="'  ' || upper(p_brand)", model="p_name || ' '",
+    vehicle_type="p_type", manufacture_year="v.manufacture_year", mileage_km="raw_km",
+    fuel_type="CASE WHEN p_size = 25 THEN 'steam' WHEN p_type <> 'PROMO' OR p_size >= 10 THEN "
+              "(ARRAY['petrol ', 'DIESEL', 'Hybrid', 'electric', 'Petrol'])[p_size % 5 + 1] END",
+    estimated_market_value=_cents("v.value_c"),
+    vehicle_condition="CASE WHEN p_size < 13 THEN 'excellent' WHEN p_size < 26 THEN 'Good' "
+                      "WHEN p_size < 38 THEN 'FAIR ' ELSE 'poor' END")
+_DEALER = _row(
+    dealer_id="dealer_id", dealer_region="r_name", dealer_rating=_cents("rating_c"),
+    dealer_name="CASE WHEN balance < 0 THEN '  ' || s_name ELSE s_name END",
+    dealer_type="CASE WHEN copy = 1 THEN 'Broker' ELSE "
+                "(ARRAY['Franchise', ' Independent', 'Broker '])[s_nationkey % 3 + 1] END",
+    active_flag="CASE WHEN balance >= 500 THEN 'Yes' ELSE 'no' END")
+_INQUIRY = _row(
+    inquiry_id="inquiry_id", customer_id="customer_id", vehicle_id="vehicle_id",
+    inquiry_date="CASE WHEN amount < 6000 THEN '2025-99-41' ELSE order_day::VARCHAR END",
+    lead_source="CASE o_orderpriority WHEN '1-URGENT' THEN '  dealer referral ' WHEN '2-HIGH' "
+                "THEN 'Social Media' WHEN '3-MEDIUM' THEN 'ORGANIC SEARCH' WHEN '4-NOT SPECIFIED' "
+                "THEN 'paid search ' WHEN '5-LOW' THEN 'Direct' END",
+    status="CASE WHEN copy = 1 THEN 'Open' WHEN o_orderstatus = 'P' AND amount > 400000 THEN "
+           "'Expired' WHEN o_orderstatus = 'P' THEN 'lost' WHEN o_orderstatus = 'O' THEN 'OPEN' "
+           "ELSE ' converted ' END",
+    final_sale_price=f"CASE WHEN o_orderstatus = 'F' THEN {_cents('best_price_c')} END",
+    winning_dealer_id="raw_winner",
+    conversion_flag="CASE WHEN o_orderstatus = 'F' THEN 'Yes' ELSE 'no' END",
+    days_to_conversion="CASE WHEN o_orderstatus = 'F' THEN "
+                       "abs(date_diff('day', order_day, best_day)) END")
+_QUOTE = _row(
+    quote_id="quote_id", inquiry_id="inquiry_id", quote_rank="l_linenumber",
+    dealer_id="CASE WHEN l_returnflag = 'R' THEN ' ' || lower(dealer_id) ELSE dealer_id END",
+    quote_date="CASE WHEN quote_date IS NULL THEN 'not-a-date' ELSE ship_day::VARCHAR END",
+    quote_amount=f"CASE amount_c WHEN -100 THEN '-1' WHEN 999999900 THEN '9999999' "
+                 f"ELSE {_cents('price_c')} END",
+    response_time_hours=_cents("hours_c"),
+    accepted_flag="CASE WHEN accepted THEN 'true' ELSE 'false' END")
+
+# k holds the source order: files are in the order of their keys, re-sent copies come after them.
+_NUMBER = "substr({0}, 2)::BIGINT".format
+REJECTS = f"""rejects AS MATERIALIZED (
   SELECT 'dim_customer' AS table_name, 1 AS t, customer_id AS record_id, CASE WHEN rn > 1
-    THEN 'duplicate_primary_key' ELSE 'malformed_customer_date' END AS issue_type
+    THEN 'duplicate_primary_key' ELSE 'malformed_customer_date' END AS issue_type,
+    [copy, {_NUMBER("customer_id")}] AS k, {_CUSTOMER} AS record_payload
     FROM tagged_customer WHERE rn > 1 OR created IS NULL
-  UNION ALL SELECT 'dim_vehicle', 2, vehicle_id, 'invalid_vehicle_domain' FROM tagged_vehicle
+  UNION ALL SELECT 'dim_vehicle', 2, vehicle_id, 'invalid_vehicle_domain', [0, p_partkey],
+    {_VEHICLE} FROM tagged_vehicle AS v JOIN part ON vehicle_id = 'V' || p_partkey
     WHERE vehicle_id NOT IN (SELECT vehicle_id FROM dim_vehicle)
   UNION ALL SELECT 'dim_dealer', 3, dealer_id, CASE WHEN rn > 1 THEN 'duplicate_primary_key'
-    ELSE 'invalid_dealer_rating' END FROM tagged_dealer
-    WHERE rn > 1 OR rating_c NOT BETWEEN 0 AND 500
-  UNION ALL SELECT 'fact_inquiry', 4, inquiry_id, rule FROM tagged_inquiry
-    WHERE rule IS NOT NULL
-  UNION ALL SELECT 'fact_inquiry', 4, inquiry_id, 'inquiry_without_quote' FROM reconciled
-    WHERE quote_count IS NULL
-  UNION ALL SELECT 'fact_quote', 5, quote_id, rule FROM tagged_quote WHERE rule IS NOT NULL)"""
+    ELSE 'invalid_dealer_rating' END, [copy, {_NUMBER("dealer_id")}], {_DEALER}
+    FROM tagged_dealer WHERE rn > 1 OR rating_c NOT BETWEEN 0 AND 500
+  UNION ALL SELECT 'fact_inquiry', 4, inquiry_id, rule, [copy, {_NUMBER("inquiry_id")}],
+    {_INQUIRY} FROM tagged_inquiry WHERE rule IS NOT NULL
+  UNION ALL SELECT 'fact_inquiry', 4, inquiry_id, 'inquiry_without_quote',
+    [copy, {_NUMBER("inquiry_id")}], {_INQUIRY} FROM reconciled WHERE quote_count IS NULL
+  UNION ALL SELECT 'fact_quote', 5, quote_id, rule, [date_diff('day', DATE '1970-01-01', ship_day),
+    l_partkey, l_suppkey, price_c], {_QUOTE} FROM tagged_quote WHERE rule IS NOT NULL)"""
 
 ACTIONS = """actions(issue_type, r, action) AS (VALUES
   ('duplicate_primary_key', 1, 'Keep first occurrence; quarantine later duplicate'),
@@ -374,8 +438,9 @@ def operations() -> dict[str, str]:
              f"{mean('pct_u', 4, 'vehicle_age_at_inquiry BETWEEN 0 AND 2')}")
     found = {
         "quarantine": ([REJECTS, ACTIONS], """SELECT printf('QR%07d', row_number() OVER (
-            ORDER BY t, r, record_id)) AS quarantine_id, table_name, record_id, issue_type,
-            action FROM rejects JOIN actions USING (issue_type)"""),
+            ORDER BY t, r, k, record_id)) AS quarantine_id, table_name, record_id, issue_type,
+            action, '2026-01-01 00:00:00' AS detected_at, record_payload
+            FROM rejects JOIN actions USING (issue_type)"""),
         "issue_log": ([REJECTS, ACTIONS, FIXES, ISSUES], """SELECT printf('DQ%04d',
             row_number() OVER (ORDER BY table_name, issue_type)) AS issue_id, * FROM issues"""),
         "dq_metrics": ([METRICS], "SELECT * FROM dq"),
