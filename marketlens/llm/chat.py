@@ -11,10 +11,11 @@ before every backslash, `#` and `<`, in roles also before `:`, so no text can lo
 taking the backslashes away gives it back. The loss mask lists where assistant texts stand.
 
 Nulls: a null role, text or score counts as '', '' and 0; a null tree is a tree of its own. A parent
-that does not exist makes its node a root. Turns that share a position follow by role and text;
-repeated rows are repeated turns. An empty table gives an empty result, extra columns are ignored. A
-cycle of parents has no leaf and is left out; a chain into one raises an error. A conversation is one
-output row, so it must fit in a task, also a very long one.
+that does not exist makes its node a root; of several parents the least counts. Turns that share a
+position follow by role and text; repeated rows are repeated turns. An empty table gives an empty
+result, extra columns are ignored, whatever their names. A cycle of parents has no leaf and is left
+out, and so are the paths that lead into one; other paths stay. A conversation is one output row, so
+it must fit in a task, also a very long one.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from pyspark.sql import functions as F
 from marketlens.llm.store import stored, table
 
 ASSISTANT = "assistant"
+# Paths into cycles are dropped from this reach on, before they grow long.
+LOOPS_FROM = 16
 _MARKED = "###"
 _END = " </turn>\n"
 
@@ -47,22 +50,28 @@ def paths(nodes: DataFrame) -> DataFrame:
     known = nodes.select("tree", "node").distinct()
     up = nodes.where("parent is not null").select("tree", "node", F.col("parent").alias("up"))
     hops = stored(up.alias("l").join(known.alias("r"), F.expr(
-        "l.tree <=> r.tree and l.up = r.node"), "left_semi"))
+        "l.tree <=> r.tree and l.up = r.node"), "left_semi").groupBy("tree", "node").agg(
+        F.min("up").alias("up")))
     leaves = known.alias("l").join(hops.alias("r"), F.expr(
         "l.tree <=> r.tree and l.node = r.up"), "left_anti")
     found = leaves.select("tree", F.col("node").alias("leaf"), "node", F.lit(0).alias("dist"))
-    reach, limit = 1, nodes.count()
-    while not hops.isEmpty():
-        if reach > limit:
-            raise ValueError("the replies form a cycle")
+    reach, limit = 1, hops.count()
+    while reach <= limit and not hops.isEmpty():
         further = found.alias("l").join(hops.alias("r"), _same("tree", "node")).select(
             "l.tree", "l.leaf", F.col("r.up").alias("node"),
             (F.col("l.dist") + reach).alias("dist"))
-        found = stored(found.unionByName(further))
+        found = found.unionByName(further)
+        found = stored(_without_loops(found) if reach >= LOOPS_FROM else found)
         hops = stored(hops.alias("l").join(hops.alias("r"), F.expr(
             "l.tree <=> r.tree and l.up = r.node")).select("l.tree", "l.node", "r.up"))
         reach *= 2
-    return found
+    return found if hops.isEmpty() else _without_loops(found)
+
+
+def _without_loops(found: DataFrame) -> DataFrame:
+    """Paths that meet no node twice."""
+    twice = found.groupBy("tree", "leaf", "node").agg(F.count("*").alias("n")).where("n > 1")
+    return found.alias("l").join(twice.alias("r"), _same("tree", "leaf"), "left_anti")
 
 
 def format_trees(nodes: DataFrame, branches: int = 1) -> DataFrame:

@@ -296,10 +296,30 @@ def test_chat_paths_ranks_and_round_trip(spark):
     (start, length), = loss.loss
     assert loss.formatted[start:start + length] == "a2"
     assert chat.format_trees(nodes.limit(0)).isEmpty()
-    loop = spark.createDataFrame([("t", 1, 2, "u", "a", 0.0), ("t", 2, 1, "u", "b", 0.0)],
-                                 nodes.schema)
-    with pytest.raises(ValueError):
-        chat.format_trees(loop)
+
+
+def test_chat_repeated_rows_cycles_and_deep_chains(spark):
+    schema = "tree string, node int, parent int, role string, text string, score double"
+    chain = [("r", n, n - 1 or None, "user", f"x{n}", 1.0) for n in range(1, 5)]
+    looped = [("c", 1, 2, "user", "a", 0.0), ("c", 2, 1, "user", "b", 0.0),
+              ("d", 1, 2, "user", "a", 0.0), ("d", 2, 3, "user", "b", 0.0),
+              ("d", 3, 2, "user", "c", 0.0), ("d", 7, None, "user", "own", 0.0)]
+    deep = [("z", n, n - 1 if n else None, "assistant", f"t{n}", 0.0) for n in range(300)]
+    nodes = spark.createDataFrame(chain + chain + looped + deep, schema).withColumns(
+        {c: F.lit(9) for c in ("leaf", "dist", "rank", "up", "total", "turns", "sizes")})
+    found = {r.tree: [t.text for t in r.back] for r in chat.format_trees(nodes.repartition(3))
+             .withColumn("back", chat.turns_of(F.col("formatted"))).collect()}
+    assert found == {"r": ["x1", "x1", "x2", "x2", "x3", "x3", "x4", "x4"], "d": ["own"],
+                     "z": [f"t{n}" for n in range(300)]}
+
+
+def test_chat_very_long_text(spark):
+    text = "\\ # <\n" * 60_000
+    nodes = spark.createDataFrame([("t", 1, None, "assistant", text, 0.0)],
+                                  "tree string, node int, parent int, role string, text string, "
+                                  "score double")
+    made = chat.format_trees(nodes).withColumn("back", chat.turns_of(F.col("formatted"))).first()
+    assert [t.text for t in made.back] == [text]
 
 
 def test_chat_query_reads_back_every_turn(spark):
