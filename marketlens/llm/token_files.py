@@ -15,7 +15,7 @@ added token are encoded whole. Null texts count as empty: their only id is the e
 of one doc_id are ordered by a hash of their text, and equal rows by their place in the input, so
 that a doc_id of any weight is spread over slices. Repeated rows are written as often as they come.
 Other columns are left out. An empty table gives files without rows. Texts are encoded in slices of
-about a megabyte, so the longest single text bounds a task's memory.
+about four megabytes, so the longest single text bounds a task's memory.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ import re
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -41,7 +42,8 @@ FILE = "word_bpe_49k.json"
 END = 2
 STRIDE = 1000
 STRIPE_BYTES = 64 << 20
-CACHE = 400_000
+CACHE = 700_000
+TEXT_BYTES = 4 << 20
 
 # Classes of bytes, for cutting texts into pieces.
 _OTHER, _SPACE, _LETTER, _STOP = range(4)
@@ -53,29 +55,45 @@ _LOWER = np.frombuffer(LOWER, np.uint8)
 
 
 class _Coder:
-    """Ids of texts by one tokenizer, with the ids of known words at hand."""
+    """Ids of texts by one tokenizer, with the ids of known pieces in one pool."""
 
     def __init__(self, file: str):
         self.tokenizer = Tokenizer.from_file(file)
         self.marks = [t.content.encode() for t in
                       self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[bytes, np.ndarray] = {}
+        self.clear()
+
+    def clear(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.pool = np.zeros(0, np.int32)
+        self.first = np.zeros(0, np.int64)
+        self.size = np.zeros(0, np.int64)
 
     def whole(self, text: bytes) -> np.ndarray:
         found = self.tokenizer.encode(text.decode(), add_special_tokens=False)
         return np.array(found.ids, np.int32)
 
-    def of_pieces(self, pieces: list[bytes]) -> list[np.ndarray]:
+    def places(self, pieces: list[bytes]) -> np.ndarray:
+        """The place of each distinct piece in the pool; new ones are encoded."""
         if len(self.known) > CACHE:
-            self.known.clear()
-        new = [p for p in pieces if p not in self.known]
-        model = self.tokenizer.model
-        self.known.update((p, np.array([t.id for t in model.tokenize(p.decode())], np.int32))
-                          for p in new if _PLAIN(p))
-        new = [p for p in new if p not in self.known]
-        coded = self.tokenizer.encode_batch([p.decode() for p in new], add_special_tokens=False)
-        self.known.update((p, np.array(c.ids, np.int32)) for p, c in zip(new, coded))
-        return [self.known[p] for p in pieces]
+            self.clear()
+        found = list(map(self.known.get, pieces))
+        new = [p for p, place in zip(pieces, found) if place is None]
+        if not new:
+            return np.array(found, np.int64)
+        plain = [p for p in new if _PLAIN(p)]
+        other = [p for p in new if not _PLAIN(p)]
+        merge = self.tokenizer.model.tokenize
+        ids = [[t.id for t in merge(p.decode())] for p in plain]
+        ids += [c.ids for c in self.tokenizer.encode_batch(
+            [p.decode() for p in other], add_special_tokens=False)]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        fresh = np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum()))
+        self.known.update(zip(plain + other, range(len(self.size), len(self.size) + len(ids))))
+        self.first = np.append(self.first, len(self.pool) + np.cumsum(sizes) - sizes)
+        self.size = np.append(self.size, sizes)
+        self.pool = np.append(self.pool, fresh)
+        return np.array(list(map(self.known.get, pieces)), np.int64)
 
     def rows(self, column: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each with its end id, and how many a row has."""
@@ -86,15 +104,15 @@ class _Coder:
         coded = pa.LargeBinaryArray.from_buffers(
             pa.large_binary(), len(lengths), [None, pa.py_buffer(stops), pa.py_buffer(lowered)]
         ).dictionary_encode()
+        places = self.places(coded.dictionary.to_pylist())
         # One more entry for the end id; every row gets one more piece.
-        parts = [*self.of_pieces(coded.dictionary.to_pylist()), np.array([end], np.int32)]
-        sizes = np.array([len(p) for p in parts], np.int64)
-        first = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+        sizes = np.append(self.size[places], 1)
+        first = np.append(self.first[places], len(self.pool))
         bounds = np.searchsorted(starts, offsets)
-        order = np.insert(coded.indices.to_numpy(zero_copy_only=False).astype(np.int64),
-                          bounds[1:], len(parts) - 1)
-        ids = gather(np.concatenate(parts), first[order], sizes[order])
-        totals = np.concatenate(([0], np.cumsum(sizes[order])))
+        order = np.insert(coded.indices.to_numpy(zero_copy_only=False), bounds[1:], len(places))
+        lengths = sizes[order]
+        ids = gather(np.append(self.pool, np.int32(end)), first[order], lengths)
+        totals = np.concatenate(([0], np.cumsum(lengths)))
         ends = bounds + np.arange(len(bounds))
         counts = totals[ends[1:]] - totals[ends[:-1]]
         raw = data.tobytes()
@@ -153,7 +171,7 @@ def encode_slices(docs: DataFrame, text: str = "text", file: str = FILE,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, part, at = _coder(public_tokenizers.path(file)), TaskContext.get().partitionId(), 0
         for batch in batches:
-            for piece in slices(batch, text):
+            for piece in slices(batch, text, TEXT_BYTES):
                 ids, counts = coder.rows(piece.column(text), end)
                 stops = np.cumsum(counts)
                 offsets = np.concatenate(([0], stops)).astype(np.int32)

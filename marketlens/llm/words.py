@@ -27,12 +27,13 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """Cut a batch so that each part holds about SLICE_BYTES of text, one row at least."""
+def slices(batch: pa.RecordBatch, column: str,
+           size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut a batch so that each part holds about `size` bytes of text, one row at least."""
     _, offsets = flat(batch.column(column))
     start, rows = 0, batch.num_rows
     while start < rows:
-        end = int(np.searchsorted(offsets, offsets[start] + SLICE_BYTES, "right")) - 1
+        end = int(np.searchsorted(offsets, offsets[start] + size, "right")) - 1
         end = min(max(end, start + 1), rows)
         yield batch.slice(start, end - start)
         start = end
