@@ -42,10 +42,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every row, with the digest of the bytes they decode to."""
-    coded = bpe.decode(bpe.encode(docs, keep=["doc_id", "lang", "source"]).drop("offsets"))
+    """Token ids of every row, the byte each starts at, and the digest of the decoded bytes."""
+    coded = bpe.decode(bpe.encode(docs, keep=["doc_id", "lang", "source"]))
     return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"),
-                        "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+                        "ids", "offsets",
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
