@@ -6,8 +6,9 @@ spelt in byte pieces. The forward recursion adds the probability of all cuts in
 text has the product of its words' probabilities and that of the end.
 
 Piece probabilities start from the vocabulary's own scores, by Zipf's law of their order, and one
-expectation step over all training words reweights them. The step sums integers, so its result
-does not depend on the order of rows. It gives one number per piece, so its size is the
+expectation step over all training words reweights them. A word's expected pieces, its count times
+each piece's share, are rounded to whole units before any sum, so the weights do not depend on how
+rows are ordered, batched or partitioned. The step gives one number per piece, so its size is the
 vocabulary's.
 
 Word counts and word probabilities are one table, as large as the corpus' vocabulary, never sent
@@ -39,9 +40,9 @@ from marketlens.llm.words import LOWER, Words, hash_spans, flat, slices
 VOCABULARY = "piece_bpe_32k.model"
 BLOCK_BYTES = 24 << 20
 MARK = "▁"
-UNIT = 1024  # expected counts are summed in whole parts of this size
+UNIT = 1 << 16  # expected counts are summed in whole parts of this size
 PRIOR = 0.5
-_LONG = 64  # code points of the longest word that is handled side by side with others
+_LONG = 64  # longer words are summed in log space, which depends on the word alone
 _LOWER = np.frombuffer(LOWER, np.uint8)
 
 
@@ -139,17 +140,18 @@ class Lattice:
 
     @staticmethod
     def _groups(words: list[str], order: np.ndarray) -> Iterator[np.ndarray]:
-        """Words by falling length, in groups of bounded size."""
-        at = 0
+        """Words by falling length, in groups of bounded size; long and short words never meet."""
+        at, long = 0, sum(len(w) >= _LONG for w in words)
         while at < len(order):
             step = max(1, min(8192, (1 << 17) // (len(words[order[at]]) + 1)))
+            step = min(step, long - at) if at < long else step
             yield order[at:at + step]
             at += step
 
     def expect(self, words: list[str], counts: np.ndarray, logs: np.ndarray) -> np.ndarray:
-        """Expected number of each piece over all segmentations, by forward and backward sums."""
+        """Expected units of each piece over all segmentations, by forward and backward sums."""
         order = np.argsort([-len(w) for w in words], kind="stable")
-        out = np.zeros(self.size)
+        out = np.zeros(self.size, np.int64)
         for group in self._groups(words, order):
             edges, sizes, starts, start, length, piece, spelt, points = self._edges(
                 [words[i] for i in group], logs)
@@ -189,11 +191,11 @@ class Lattice:
 
             def posterior(at: np.ndarray, step: np.ndarray) -> np.ndarray:
                 own = owner[at]
-                return weight[own] * np.exp(
-                    ahead[begin[at], own] + edges[step, at] + lift * step
-                    + back[begin[at] + step, own] - whole[own])
+                share = np.exp(ahead[begin[at], own] + edges[step, at] + lift * step
+                               + back[begin[at] + step, own] - whole[own])
+                return np.rint(weight[own] * share * UNIT).astype(np.int64)
 
-            out += np.bincount(piece, posterior(start, length), self.size)
+            np.add.at(out, piece, posterior(start, length))
             share = posterior(spelt, np.ones(len(spelt), np.int64))
             for i, part in zip(spelt.tolist(), share.tolist()):
                 np.add.at(out, self.bytes_at[list(chr(points[i]).encode())], part)
@@ -248,7 +250,7 @@ def reweighted(counts: DataFrame, ends: int, name: str = VOCABULARY) -> np.ndarr
                                 batch.column(1).to_numpy().astype(np.float64), logs)
             at = np.flatnonzero(found)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(at), pa.array(np.rint(found[at] * UNIT).astype(np.int64))],
+                [pa.array(at), pa.array(found[at])],
                 ["piece", "units"])
 
     sums = counts.where("c > 0").mapInArrow(run, "piece long, units long").groupBy("piece").agg(
