@@ -5,8 +5,8 @@ stops at `REPEATS` times its words; the excess is shared again by weight. That f
 in one pass: by ascending cap per weight, sources are capped while their fair share exceeds the cap.
 
 Blocks. A source's documents, in hashed order, are one stream of words cut into blocks of
-`BLOCK_WORDS`. A pass takes every full block once, in the order of an affine permutation whose
-multiplier is a prime above the number of blocks, and the short last block at its end. A source
+`BLOCK_WORDS`. A pass takes every full block once, in the order of a pseudorandom permutation keyed
+by the source (a Feistel network with cycle walking), and the short last block at its end. A source
 takes as many slots as its target needs, and the last slot is trimmed, so the source gets its target
 to the word. Whole passes first, so no document is taken more than `REPEATS` times.
 
@@ -15,7 +15,8 @@ shards; the totals stay exact and the shards differ by chance only. Slots are nu
 shards, mapped to blocks, and joined with the blocks by index.
 
 Work is spread by document and by shard, never by source: positions in a stream come from hashed
-slices of a source and the sums of slices. Reruns agree, as everything is seeded by its key.
+slices of a source, as many as hold `SLICE_ROWS` rows each, and the sums of slices. Reruns agree, as
+everything is seeded by its key.
 
 Nulls: a null text has size 0, a null source is a source of its own, a null doc_id is a document.
 Every row is a document, also repeated rows, which follow each other in the stream. A source without
@@ -33,14 +34,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketlens.llm.store import stored, table
+from marketlens.llm.words import mix as scramble
 
 WEIGHTS = (5, 2, 1)
 REPEATS = 3
 BLOCK_WORDS = 256
 SHARD_SLOTS = 4096
-SLICES = 1024
+SLICE_ROWS = 4096
+ROUNDS = 4
 WORD = r"[^\x20\x09-\x0D]+"
-_PRIME = (1 << 61) - 1
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS,
@@ -106,17 +108,44 @@ def deal(sources: DataFrame, shard_slots: int = SHARD_SLOTS, seed: int = 0) -> D
                                   "trim long, shard long, n long, first long")
 
 
+def _shift(digit: np.ndarray, seed: np.ndarray, turn: int) -> np.ndarray:
+    return (scramble(scramble(seed + np.uint64(turn)) ^ digit.view(np.uint64)) >> np.uint64(2)) \
+        .view(np.int64)
+
+
+def permuted(at: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Where index `at` goes under the permutation of 0..n-1 named by `key`; others stay.
+
+    The index is cut into two digits of a nearly square grid and each is shifted by a hash of the
+    other, `ROUNDS` times. That permutes the grid; what lands beyond `n` walks on until it is inside.
+    """
+    wide = np.maximum(np.ceil(np.sqrt(n)), 1).astype(np.int64)
+    high = -(-n // wide)
+    out, todo = at.copy(), np.flatnonzero(at < n)
+    while len(todo):
+        a, b, seed = wide[todo], high[todo], key[todo].view(np.uint64)
+        low, top = out[todo] % a, out[todo] // a
+        for turn in range(ROUNDS):
+            low = (low + _shift(top, seed, 2 * turn)) % a
+            top = (top + _shift(low, seed, 2 * turn + 1)) % b
+        out[todo] = top * a + low
+        todo = todo[out[todo] >= n[todo]]
+    return out
+
+
 def slots(dealt: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """One row per slot: shard, source, the block it shows, and how many of its words."""
     spread = dealt.repartition("source", "shard").withColumn(
         "slot", F.explode(F.expr("sequence(first, first + n - 1)")))
     at = F.expr("slot % per_pass")
-    n = "nullif(full, 0)"
-    turned = F.expr(f"cast((cast({_PRIME} % {n} as decimal(20,0)) * (slot % per_pass)"
-                    f" + pmod(xxhash64(source), {n})) % {n} as bigint)")
-    block = F.when(at >= F.col("full"), F.col("full")).otherwise(turned)
+
+    @F.pandas_udf("long")
+    def turned(at: pd.Series, full: pd.Series, key: pd.Series) -> pd.Series:
+        return pd.Series(permuted(at.to_numpy(), full.to_numpy(), key.to_numpy()))
+
     return spread.select(
-        "shard", "source", "slot", F.expr("slot div per_pass").alias("pass"), block.alias("block"),
+        "shard", "source", "slot", F.expr("slot div per_pass").alias("pass"),
+        turned(at, "full", F.xxhash64("source")).alias("block"),
         F.when(F.col("slot") == F.col("slots") - 1, F.col("trim")).otherwise(
             F.lit(block_words)).alias("shown"))
 
@@ -124,10 +153,11 @@ def slots(dealt: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
 def place(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
     """Each document's size and place in its source's stream, and the sources' sizes."""
     body = F.col(f"`{text}`").cast("string")
-    sized = stored(docs.select(
+    measured = stored(docs.select(
         "doc_id", F.xxhash64(body, F.lit(3)).alias("_text"), F.col("source").cast("string").alias("source"),
-        F.coalesce(F.regexp_count(body, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(SLICES)).alias("_slice")))
+        F.coalesce(F.regexp_count(body, F.lit(WORD)), F.lit(0)).cast("long").alias("size")))
+    parts = 1 + measured.count() // SLICE_ROWS
+    sized = measured.withColumn("_slice", F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(parts)))
     sums = sized.groupBy("source", "_slice").agg(F.sum("size").alias("_sum"))
     ahead = Window.partitionBy("source").orderBy("_slice").rowsBetween(
         Window.unboundedPreceding, -1)
