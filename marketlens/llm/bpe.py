@@ -34,6 +34,7 @@ from marketlens.llm.words import flat, hash_spans, slices
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 CACHE = 100_000
+TOKENS_AT_ONCE = 1 << 18
 BLOCK = 64
 
 # Symbols of a code point.
@@ -298,6 +299,14 @@ def merge_many(pieces: list[bytes], bytes_to_id: np.ndarray, pairs: Pairs) -> li
     return out
 
 
+@lru_cache(maxsize=2)
+def token_pool(name: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of all tokens in a row, where each one starts and its length."""
+    tokens = token_bytes(name)
+    lengths = np.array([len(t) for t in tokens], np.int64)
+    return np.frombuffer(b"".join(tokens), np.uint8), np.cumsum(lengths) - lengths, lengths
+
+
 class Codec:
     """Ranks, the length of each id's bytes and the cache of merged pieces, once per worker."""
 
@@ -377,27 +386,49 @@ def encode(docs: DataFrame, text: str = "text", keep: list[str] | None = None,
     return chosen.mapInArrow(run, fields.schema)
 
 
+def _spans(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a list column and each row's bounds in them; a null row is empty."""
+    sizes = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    return column.flatten().to_numpy(zero_copy_only=False), np.append(0, np.cumsum(sizes))
+
+
 def decode(encoded: DataFrame, ids: str = "ids", ranks: str = RANKS,
-           out: str = "decoded") -> DataFrame:
-    """Add the bytes that the ids stand for; null ids give no bytes."""
+           out: str = "decoded", offsets: str | None = "offsets") -> DataFrame:
+    """Add the bytes that the ids stand for, each token written at its offset in the row.
+
+    Null ids give no bytes. Offsets that do not fit the ids' lengths are an error. Without a column of
+    offsets (None) the tokens follow each other.
+    """
     names = encoded.columns
-    at = names.index(ids)
+    at, placed = names.index(ids), None if offsets is None else names.index(offsets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = token_bytes(ranks)
+        pool, begins, lengths = token_pool(ranks)
         for batch in batches:
-            column = batch.column(at)
-            texts = [b"".join([tokens[i] for i in row.values.to_numpy().tolist()])
-                     if row.is_valid else b"" for row in column]
+            tokens, bounds = _spans(batch.column(at))
+            ends = np.append(0, np.cumsum(lengths[tokens]))
+            rows = ends[bounds]
+            if placed is not None:
+                starts = _spans(batch.column(placed))[0] + np.repeat(rows[:-1], np.diff(bounds))
+                if not np.array_equal(starts, ends[:-1]):
+                    raise ValueError("token offsets do not fit the token ids")
+            data = np.empty(ends[-1], np.uint8)
+            for a in range(0, len(tokens), TOKENS_AT_ONCE):
+                some = tokens[a:a + TOKENS_AT_ONCE]
+                first, size = int(ends[a]), int(ends[a + len(some)] - ends[a])
+                shift = begins[some] - (ends[a:a + len(some)] - first)
+                data[first:first + size] = pool[np.arange(size) + np.repeat(shift, lengths[some])]
+            texts = pa.LargeBinaryArray.from_buffers(
+                pa.large_binary(), len(batch), [None, pa.py_buffer(rows), pa.py_buffer(data)])
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.binary())], [*names, out])
+                [*batch.columns, texts.cast(pa.binary())], [*names, out])
 
     return encoded.mapInArrow(run, encoded.withColumn(out, F.lit(b"").cast("binary")).schema)
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    coded = decode(encode(docs).drop("offsets"))
+    coded = decode(encode(docs))
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
