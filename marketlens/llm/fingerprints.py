@@ -6,7 +6,8 @@ of each table, and a cell holds the count, the exclusive-or of its digests and t
 Sketches of two versions subtract cell by cell, and peeling cells that hold one digest recovers the
 digests that differ. If cells stay full, the comparison is made again larger: the digests are split
 by hash into parts of a few, each with a sketch of its own, then with four times the cells, and what
-still resists is compared digest by digest. All of it is one expression over a row's arrays, built
+still resists is compared digest by digest. Every way yields the digests that differ, each with the
+side that has it (`difference`). All of it is one expression over a row's arrays, built
 from SQL functions only, and linear in the text for the fixed-size sketch and n to the power 1.5 for
 the larger ones.
 
@@ -55,8 +56,11 @@ def _sketch(keys: str, cells: int) -> str:
             "'n', a.n + 1, 'k', a.k ^ x, 'h', a.h ^ xxhash64(x)))))")
 
 
+_NONE = "cast(array() as array<struct<side: int, digest: bigint>>)"
+
+
 def _peel(one: str, other: str, cells: int) -> str:
-    """How many digests differ between two sketches, or null if peeling gets stuck, as SQL."""
+    """The digests that differ between two sketches, or null if peeling gets stuck, as SQL."""
     apart = (f"zip_with({one}, {other}, (p, q) -> zip_with(p, q, (x, y) -> named_struct("
              "'n', x.n - y.n, 'k', x.k ^ y.k, 'h', x.h ^ y.h)))")
     pure = "filter(s.t[r % 3], c -> abs(c.n) = 1 and xxhash64(c.k) = c.h)"
@@ -64,8 +68,9 @@ def _peel(one: str, other: str, cells: int) -> str:
                f"{_cell('p.k', 'u', cells)} = i), c, (a, p) -> named_struct("
                "'n', a.n - p.n, 'k', a.k ^ p.k, 'h', a.h ^ p.h))))")
     step = (f"transform(array({pure}), pure -> if(size(pure) = 0, s, named_struct("
-            f"'t', {removed}, 'd', s.d + size(pure))))[0]")
-    return (f"aggregate(sequence(0, {STEPS - 1}), named_struct('t', {apart}, 'd', 0), "
+            f"'t', {removed}, 'd', concat(s.d, transform(pure, c -> named_struct("
+            f"'side', c.n, 'digest', c.k))))))[0]")
+    return (f"aggregate(sequence(0, {STEPS - 1}), named_struct('t', {apart}, 'd', {_NONE}), "
             f"(s, r) -> {step}, s -> if(exists(s.t, w -> exists(w, c -> c.n <> 0 or c.k <> 0 "
             "or c.h <> 0)), null, s.d))")
 
@@ -74,7 +79,9 @@ def _larger(one: str, other: str) -> str:
     """The same from digests split by hash into parts, each retried with more cells, as SQL."""
     tries = [_peel(_sketch("b.x", cells), _sketch("b.y", cells), cells)
              for cells in (CELLS, 4 * CELLS)]
-    exact = "size(array_except(b.x, b.y)) + size(array_except(b.y, b.x))"
+    exact = "concat(" + ", ".join(
+        f"transform(array_except(b.{p}, b.{q}), k -> named_struct('side', {side}, 'digest', k))"
+        for p, q, side in (("x", "y", 1), ("y", "x", -1))) + ")"
 
     def share(keys: str, seed: int, count: str, which: str) -> str:
         return f"filter({keys}, x -> pmod(xxhash64(x, {seed}), {count}) = {which})"
@@ -84,14 +91,35 @@ def _larger(one: str, other: str) -> str:
     inner = f"transform({inner}, b -> coalesce({', '.join(tries)}, {exact}))"
     groups = (f"transform(sequence(0, m - 1), o -> named_struct('x', {share(one, 1, 'm', 'o')}, "
               f"'y', {share(other, 1, 'm', 'o')}))")
-    total = (f"aggregate(flatten(transform({groups}, g -> {inner})), 0, (a, v) -> a + v)")
+    found = f"flatten(flatten(transform({groups}, g -> {inner})))"
     size = f"cast(ceil(sqrt(greatest(size({one}) + size({other}), 1) / {PART})) as int)"
-    return f"transform(array({size}), m -> {total})[0]"
+    return f"transform(array({size}), m -> {found})[0]"
+
+
+def _difference(one: str, other: str, keys: str, other_keys: str) -> str:
+    """All digests that differ, from the fixed sketches or else from larger ones, as SQL."""
+    return f"coalesce({_peel(one, other, CELLS)}, {_larger(keys, other_keys)})"
+
+
+def difference(pairs: DataFrame, one: str = "one", other: str = "other",
+               out: str = "difference") -> DataFrame:
+    """Add the paragraph digests by which two texts of a row differ, in no order.
+
+    An array of (side, digest): side 1 for a paragraph of `one` alone, -1 for one of `other` alone.
+    A null text is empty.
+    """
+    names = pairs.columns
+    body = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in (one, other)]
+    kept = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]).alias("_kept")
+    cut = pairs.select(kept, digests(body[0]).alias("x"), digests(body[1]).alias("y"))
+    cut = cut.withColumns({f"{k}s": F.expr(_sketch(k, CELLS)) for k in ("x", "y")})
+    return cut.select(*[F.col(f"_kept.c{i}").alias(c) for i, c in enumerate(names)],
+                      F.expr(_difference("xs", "ys", "x", "y")).alias(out))
 
 
 def _likeness(one: str, other: str, keys: str, other_keys: str) -> Column:
     """Jaccard similarity from the difference that the sketches give."""
-    d = f"coalesce({_peel(one, other, CELLS)}, {_larger(keys, other_keys)})"
+    d = f"size({_difference(one, other, keys, other_keys)})"
     both = f"(size({keys}) + size({other_keys}))"
     return F.expr(f"transform(array({d}), d -> if({both} = 0, 1D, "
                   f"cast({both} - d as double) / ({both} + d)))[0]")
