@@ -102,6 +102,20 @@ def test_mixture_meets_its_targets(docs):
     assert multiset(map(tuple, found)) == multiset(map(tuple, again))
 
 
+def test_mixture_permutes_blocks_pseudorandomly():
+    for n in [*range(1, 70), 1001, 4095, 4096, 99991]:
+        for key in (7, -(1 << 60)):
+            at = np.arange(n + 3)
+            found = mixture.permuted(at, np.full(n + 3, n), np.full(n + 3, key))
+            assert (np.sort(found[:n]) == at[:n]).all() and (found[n:] == at[n:]).all()
+            if n > 1000:  # neighbours scatter, and no index keeps its distance
+                steps = np.diff(found[:n])
+                assert len(np.unique(steps)) > n / 3 and np.mean(np.abs(steps)) > n / 4
+                assert abs(np.corrcoef(at[:n], found[:n])[0, 1]) < 0.1
+    both = [mixture.permuted(np.arange(1001), np.full(1001, 1001), np.full(1001, k)) for k in (1, 2)]
+    assert np.mean(both[0] == both[1]) < 0.02
+
+
 def test_mixed_texts_are_as_long_as_taken(odd, documents):
     for docs in (odd, documents):
         shown = mixture.mixed(docs)
@@ -127,6 +141,23 @@ def test_bpe_is_tiktokens_and_decodes(docs):
         assert r.offsets[:50] == starts
 
 
+def test_bpe_decodes_by_offsets(spark, docs):
+    coded = bpe.encode(docs)
+    plain = bpe.decode(coded.drop("offsets"), offsets=None)
+    assert multiset((r.doc_id, bytes(r.decoded)) for r in plain.collect()) == multiset(
+        (d, (t or "").encode()) for d, t in pairs(docs))
+    rows = [(None, None), ([], []), ([5, 6], [0, 1]), ([7], [0])]
+    schema = "ids array<int>, offsets array<int>"
+    tokens = bpe.token_bytes(bpe.RANKS)
+    rows[2] = ([5, 6], [0, len(tokens[5])])
+    found = bpe.decode(spark.createDataFrame(rows, schema)).collect()
+    assert multiset(bytes(r.decoded) for r in found) == multiset(
+        [b"", b"", tokens[5] + tokens[6], tokens[7]])
+    wrong = spark.createDataFrame([([5, 6], [0, len(tokens[5]) + 1])], schema)
+    with pytest.raises(Exception, match="offsets do not fit"):
+        bpe.decode(wrong).collect()
+
+
 def test_bpe_boundaries_on_every_code_point():
     ranks = {bytes([b]): b for b in range(256)}
     points = [p for p in range(0x110000) if not 0xD800 <= p < 0xE000]
@@ -166,10 +197,41 @@ def test_lattice_adds_all_segmentations():
         moved = logs.copy()
         moved[piece] += 1e-6
         slope = (book.score(tried, moved).sum() - book.score(tried, logs).sum()) / 1e-6
-        assert abs(slope - expected[piece]) < 1e-4
+        assert abs(slope - expected[piece] / lattice.UNIT) < 1e-4
     very_long = ["x" * 500, "y" * 500]
     assert np.isfinite(book.score(very_long, logs)).all()
-    assert np.isfinite(book.expect(very_long, np.ones(2), logs)).all()
+    assert (book.expect(very_long, np.ones(2), logs) >= 0).all()
+    mixed = tried + very_long + ["z" * n for n in range(60, 70)]
+    counts = np.arange(1.0, len(mixed) + 1)
+    alone = sum(book.expect([w], np.array([c]), logs) for w, c in zip(mixed, counts))
+    assert (book.expect(mixed, counts, logs) == alone).all()
+
+
+def test_lattice_does_not_depend_on_partitions(spark, documents):
+    def scores(docs):
+        return sorted((r.doc_id, r.score) for r in lattice.lattice_scores(docs).collect())
+
+    once = scores(documents.coalesce(1))
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    try:
+        spark.conf.set(size, "20")
+        assert scores(documents.repartition(16)) == once
+    finally:
+        spark.conf.set(size, before)
+
+
+def test_lattice_scores_by_brute_force(documents):
+    docs = documents.where("doc_id < 40")
+    counts = lattice.count_words(docs)
+    ends = docs.where(~lattice.held_out(docs)).count()
+    logs = lattice.reweighted(counts, ends)
+    book = lattice.lattice(lattice.VOCABULARY)
+    for r in lattice.lattice_scores(docs).collect():
+        text, = [t for d, t in pairs(docs) if d == r.doc_id]
+        words = [w.lower().decode() for w in brute.words(text)]  # of bytes: A-Z only
+        want = sum(float(book.score([w], logs)[0]) for w in words) + logs[book.end]
+        assert math.isclose(r.score, want / math.log(10), rel_tol=1e-9)
 
 
 def test_lattice_scores(docs):
@@ -268,6 +330,28 @@ def test_fingerprint_differences_are_recovered(docs):
             assert math.isclose(r.near_next, near(units(text), units(after)))
 
 
+def test_fingerprint_differences_come_out_as_digests(spark):
+    lines = lambda a, b: "\n".join(f"line {i}" for i in range(a, b))
+    rows = [(1, "same\ntext", "same\ntext"), (2, "a\nb\nc", "b\nd"), (3, None, "x"), (4, None, ""),
+            (5, lines(0, 12), lines(3, 14)), (6, lines(0, 400), lines(150, 900)),
+            (7, "a\na\nb", "a"), (7, "a\na\nb", "a")]
+    table = spark.createDataFrame(rows, "xs int, one string, other string")
+    made = fingerprints.difference(table)
+    assert made.columns == ["xs", "one", "other", "difference"]
+    plan = made._jdf.queryExecution().toString()
+    assert "Python" not in plan and "InArrow" not in plan and "InPandas" not in plan
+    known = {r.line: r.digest for r in spark.createDataFrame(
+        [(x,) for _, *both in rows for t in both for x in (t or "").split("\n")],
+        "line string").select("line", F.xxhash64("line").alias("digest")).collect()}
+    found = made.collect()
+    assert len(found) == len(rows)
+    for r in found:
+        one, other = ({x for x in (t or "").split("\n") if x} for t in (r.one, r.other))
+        want = [(1, known[x]) for x in one - other] + [(-1, known[x]) for x in other - one]
+        assert sorted(map(tuple, r.difference)) == sorted(want)
+    assert fingerprints.difference(table.limit(0)).isEmpty()
+
+
 def test_fingerprints_run_without_python(documents):
     plan = fingerprints.fingerprints(documents)._jdf.queryExecution().toString()
     assert "Python" not in plan and "InArrow" not in plan and "InPandas" not in plan
