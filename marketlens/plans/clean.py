@@ -32,11 +32,15 @@ __all__ = ["Cleaned", "clean_tables"]
 
 @dataclass
 class Cleaned:
-    """Curated tables, the tagged tables with the correction flags, and the rejected rows."""
+    """Curated tables, the tagged tables with the correction flags, and the rejected rows.
+
+    `origins` holds the stored raw tables of rejects that do not carry their original row.
+    """
 
     curated: dict[str, DataFrame]
     tagged: dict[str, list[DataFrame]] = field(default_factory=dict)
     rejects: dict[str, list[DataFrame]] = field(default_factory=dict)
+    origins: dict[str, DataFrame] = field(default_factory=dict)
 
 
 def _prepare(raw: DataFrame, table: str, keys: list[str]) -> DataFrame:
@@ -49,15 +53,26 @@ def _prepare(raw: DataFrame, table: str, keys: list[str]) -> DataFrame:
 
 
 def _tag(df: DataFrame, table: str, rules: list[tuple[str, Column]], columns: dict[str, Column],
-         fixes: dict[str, Column]) -> DataFrame:
-    """Final projection of a tagged table; only rejects carry the original row as JSON."""
+         fixes: dict[str, Column], late: bool = False) -> DataFrame:
+    """Final projection of a tagged table; only rejects carry the original row as JSON.
+
+    A fact does not carry it (`late`): `with_payload` looks it up for the rejects.
+    """
     tagged = df.withColumn("_rule", first_failure(rules))
-    payload = T.record_json(RAW_COLUMNS[table], prefix="raw_")
+    payload = [] if late else [F.when(
+        F.col("_rule").isNotNull(), T.record_json(RAW_COLUMNS[table], prefix="raw_"))
+        .alias("_payload")]
     return tagged.select(
         *[expression.alias(name) for name, expression in columns.items()],
         *[flag.alias(f"_fix_{name}") for name, flag in fixes.items()],
-        F.col("_rule"), F.col("_ordinal"),
-        F.when(F.col("_rule").isNotNull(), payload).alias("_payload"))
+        F.col("_rule"), F.col("_ordinal"), *payload)
+
+
+def with_payload(rejects: DataFrame, raw: DataFrame, table: str) -> DataFrame:
+    """Rejects with their original rows, found in the stored raw table by source order."""
+    origin = raw.select(F.col("_ordinal").alias("_origin"),
+                        T.record_json(RAW_COLUMNS[table]).alias("_payload"))
+    return rejects.join(origin, F.col("_ordinal") == F.col("_origin")).drop("_origin")
 
 
 def _typed(df: DataFrame, table: str) -> DataFrame:
@@ -154,13 +169,20 @@ def tag_inquiries(raw: DataFrame, customers: DataFrame, vehicles: DataFrame) ->
     """Dedupe and check inquiries; market value and build year come along for enrichment."""
     df = _prepare(raw, "fact_inquiry",
                   ["inquiry_id", "customer_id", "vehicle_id", "winning_dealer_id"])
+    df = df.select(
+        "inquiry_id", "customer_id", "vehicle_id", "winning_dealer_id", "_ordinal",
+        N.to_day("raw_inquiry_date").alias("_day"),
+        T.canonical("raw_lead_source", LEAD_SOURCES).alias("lead_source"),
+        T.canonical("raw_status", STATUSES).alias("status"),
+        N.to_number("raw_final_sale_price").alias("final_sale_price"),
+        T.to_flag("raw_conversion_flag").alias("conversion_flag"),
+        N.to_number("raw_days_to_conversion").try_cast("smallint").alias("days_to_conversion"))
     df = flag_later_copies(df, ["inquiry_id"])
     df = lookup(df, customers.withColumn("_known", F.lit(True)), "customer_id", "customer_id",
                 {"customer_created_date": "_created", "_known": "_customer"})
     df = lookup(df, vehicles.withColumn("_known", F.lit(True)), "vehicle_id", "vehicle_id",
                 {"manufacture_year": "_year", "estimated_market_value": "_value",
                  "_known": "_vehicle"})
-    df = df.withColumn("_day", N.to_day("raw_inquiry_date"))
     day = F.col("_day")
     orphan = ((F.col("customer_id").isNotNull() & F.col("_customer").isNull())
               | (F.col("vehicle_id").isNotNull() & F.col("_vehicle").isNull()))
@@ -172,27 +194,25 @@ def tag_inquiries(raw: DataFrame, customers: DataFrame, vehicles: DataFrame) ->
          ("customer_date_sequence", F.coalesce(day < F.col("_created"), F.lit(False)))],
         {"inquiry_id": F.col("inquiry_id"), "customer_id": F.col("customer_id"),
          "vehicle_id": F.col("vehicle_id"), "inquiry_date": day,
-         "lead_source": T.canonical("raw_lead_source", LEAD_SOURCES),
-         "status": T.canonical("raw_status", STATUSES),
-         "final_sale_price": N.to_number("raw_final_sale_price"),
-         "winning_dealer_id": F.col("winning_dealer_id"),
-         "conversion_flag": T.to_flag("raw_conversion_flag"),
-         "days_to_conversion": N.to_number("raw_days_to_conversion").try_cast("smallint"),
+         **{name: F.col(name) for name in (
+             "lead_source", "status", "final_sale_price", "winning_dealer_id", "conversion_flag",
+             "days_to_conversion")},
          "estimated_market_value": F.col("_value"),
-         "vehicle_age_at_inquiry": (F.year(day) - F.col("_year")).cast("smallint"),
-         **{f"raw_{c}": F.col(f"raw_{c}") for c in RAW_COLUMNS["fact_inquiry"]}},
-        {})
+         "vehicle_age_at_inquiry": (F.year(day) - F.col("_year")).cast("smallint")},
+        {}, late=True)
 
 
 def tag_quotes(raw: DataFrame, inquiries: DataFrame, dealers: DataFrame) -> DataFrame:
-    df = _prepare(raw, "fact_quote", ["quote_id", "inquiry_id", "dealer_id"])
+    df = _prepare(raw, "fact_quote", ["quote_id", "inquiry_id", "dealer_id"]).select(
+        "quote_id", "inquiry_id", "dealer_id", "_ordinal",
+        N.to_day("raw_quote_date").alias("_day"), N.to_number("raw_quote_amount").alias("_amount"),
+        N.to_number("raw_response_time_hours").alias("response_time_hours"),
+        T.to_flag("raw_accepted_flag").alias("accepted_flag"))
     df = flag_later_copies(df, ["quote_id"])
     df = lookup(df, dealers.withColumn("_known", F.lit(True)), "dealer_id", "dealer_id",
                 {"_known": "_dealer"})
     df = lookup(df, inquiries, "inquiry_id", "inquiry_id",
                 {"inquiry_date": "_inquired", "inquiry_id": "_inquiry"})
-    df = df.withColumns({"_day": N.to_day("raw_quote_date"),
-                         "_amount": N.to_number("raw_quote_amount")})
     day, amount = F.col("_day"), F.col("_amount")
     orphan = ((F.col("inquiry_id").isNotNull() & F.col("_inquiry").isNull())
               | (F.col("dealer_id").isNotNull() & F.col("_dealer").isNull()))
@@ -204,9 +224,9 @@ def tag_quotes(raw: DataFrame, inquiries: DataFrame, dealers: DataFrame) -> Data
          ("quote_date_sequence", ~N.date_sequence(day, F.col("_inquired")))],
         {"quote_id": F.col("quote_id"), "inquiry_id": F.col("inquiry_id"),
          "dealer_id": F.col("dealer_id"), "quote_date": day, "quote_amount": amount,
-         "response_time_hours": N.to_number("raw_response_time_hours"),
-         "accepted_flag": T.to_flag("raw_accepted_flag")},
-        {})
+         "response_time_hours": F.col("response_time_hours"),
+         "accepted_flag": F.col("accepted_flag")},
+        {}, late=True)
 
 
 def impute_response(quotes: DataFrame) -> DataFrame:
@@ -231,19 +251,17 @@ def impute_response(quotes: DataFrame) -> DataFrame:
 def reconcile_inquiries(inquiries: DataFrame, quotes: DataFrame) -> DataFrame:
     """Make outcomes agree with the surviving accepted quotes and add the quote summary."""
     amount, hours = F.col("quote_amount"), F.col("response_time_hours")
+    # A converted inquiry keeps its outcome only with exactly one accepted quote, so which
+    # of several is read here never matters.
     summary = quotes.groupBy("inquiry_id").agg(
         F.count("quote_id").alias("quote_count"), F.max(amount).alias("highest"),
         F.min(amount).alias("lowest"), F.sum(amount).alias("_amounts"),
         F.min(hours).alias("fastest"),
-        N.count_where(F.col("accepted_flag")).alias("_accepted"))
-    # A converted inquiry keeps its outcome only with exactly one accepted quote, so which
-    # of several is read here never matters.
-    winner = (quotes.filter("accepted_flag").groupBy("inquiry_id")
-              .agg(F.min(F.struct("dealer_id", "quote_amount")).alias("_won")))
-    df = (inquiries.join(summary.withColumnRenamed("inquiry_id", "_s"),
-                         F.col("inquiry_id") == F.col("_s"), "left").drop("_s")
-          .join(winner.withColumnRenamed("inquiry_id", "_w"),
-                F.col("inquiry_id") == F.col("_w"), "left").drop("_w"))
+        N.count_where(F.col("accepted_flag")).alias("_accepted"),
+        F.min(F.when(F.col("accepted_flag"), F.struct("dealer_id", "quote_amount")))
+        .alias("_won"))
+    df = inquiries.join(summary.withColumnRenamed("inquiry_id", "_s"),
+                        F.col("inquiry_id") == F.col("_s"), "left").drop("_s")
     lost = F.col("conversion_flag") & (F.coalesce("_accepted", F.lit(0)) != 1)
     converted = F.col("conversion_flag") & ~lost
     spread = F.col("highest") - F.col("lowest")
@@ -273,11 +291,10 @@ def reconcile_inquiries(inquiries: DataFrame, quotes: DataFrame) -> DataFrame:
 
 
 def unquoted_inquiries(inquiries: DataFrame, reconciled: DataFrame) -> DataFrame:
-    """Rejects of the reconciliation with their original rows, looked up only for them."""
+    """Rejects of the reconciliation with the source order of their rows."""
     left_out = rejected(reconciled).select("inquiry_id", F.col("_rule").alias("_late_rule"))
-    payload = T.record_json(RAW_COLUMNS["fact_inquiry"], prefix="raw_")
     return join_null_safe(inquiries, left_out, ["inquiry_id"]).select(
-        "inquiry_id", F.col("_late_rule").alias("_rule"), "_ordinal", payload.alias("_payload"))
+        "inquiry_id", F.col("_late_rule").alias("_rule"), "_ordinal")
 
 
 def enrich_quotes(quotes: DataFrame, inquiries: DataFrame, workspace: Workspace) -> DataFrame:
@@ -304,7 +321,10 @@ def enrich_quotes(quotes: DataFrame, inquiries: DataFrame, workspace: Workspace)
 
 def clean_tables(raw: dict[str, DataFrame], workspace: Workspace,
                  catalog: DataFrame | None = None) -> Cleaned:
-    """Run the whole waterfall; every stage is written once and read by all later ones."""
+    """Run the whole waterfall; every stage is written once and read by all later ones.
+
+    The raw tables should be stored: rejected facts are looked up in them again by `_ordinal`.
+    """
     stage = workspace.stage
     customers, vehicles, dealers, dates = workspace.stage_all({
         "tagged_customer": tag_customers(raw["dim_customer"]),
@@ -318,7 +338,7 @@ def clean_tables(raw: dict[str, DataFrame], workspace: Workspace,
     open_inquiries = passed(tagged_inquiries)
     tagged_quotes = stage(
         tag_quotes(raw["fact_quote"], open_inquiries, passed(dealers)), "tagged_quote")
-    filled = impute_response(passed(tagged_quotes))
+    filled = stage(impute_response(passed(tagged_quotes)), "filled_quote")
     inquiries = stage(reconcile_inquiries(open_inquiries, filled), "reconciled_inquiry")
     quotes = stage(
         enrich_quotes(filled, passed(inquiries), workspace)
@@ -341,7 +361,8 @@ def clean_tables(raw: dict[str, DataFrame], workspace: Workspace,
             "fact_inquiry": [rejected(tagged_inquiries),
                              unquoted_inquiries(open_inquiries, inquiries)],
             "fact_quote": [rejected(tagged_quotes)],
-        })
+        },
+        origins={name: raw[name] for name in ("fact_inquiry", "fact_quote")})
 
 
 def known_issues(table: str) -> dict[str, tuple[str, str]]:

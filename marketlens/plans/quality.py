@@ -10,11 +10,11 @@ from pyspark.sql.window import Window
 
 from marketlens.functions import numbers as N
 from marketlens.functions.ordinals import source_key
-from marketlens.operators.dedupe import duplicate_count
-from marketlens.operators.joins import compare_by_key, orphan_counts
+from marketlens.operators.checks import Reference, Unique, key_results
+from marketlens.operators.joins import compare_by_key
 from marketlens.operators.numbering import range_numbered
 from marketlens.operators.rules import passed_counts
-from marketlens.plans.clean import Cleaned, known_issues
+from marketlens.plans.clean import Cleaned, known_issues, with_payload
 from marketlens.schema import (
     ASSESSMENT_DATE, CORRECTIONS, DETECTED_AT, DIMENSION_TEXT, KEYS, REJECT_RULES,
     REQUIRED_COLUMNS,
@@ -34,23 +34,25 @@ def _lookup_literal(words: dict[str, str], column: str):
     return F.try_element_at(F.create_map(*pairs), F.col(column))
 
 
-def _rejects(cleaned: Cleaned, with_order: bool) -> DataFrame:
-    """All rejected rows; `_place` orders tables and rules as they were applied."""
+def _rejects(cleaned: Cleaned, whole: bool) -> DataFrame:
+    """All rejected rows; whole ones have their original row, and `_place` orders tables and rules."""
     parts = []
     for number, table in enumerate(TABLE_ORDER):
         rules = list(REJECT_RULES[table])
         for rows in cleaned.rejects[table]:
+            if whole and "_payload" not in rows.columns:
+                rows = with_payload(rows, cleaned.origins[table], table)
             place = F.array_position(F.array(*[F.lit(r) for r in rules]), F.col("_rule"))
-            extra = [(F.lit(number * 100) + place).cast("int").alias("_place"),
-                     source_key(rows).alias("_source_order")] if with_order else []
+            extra = [F.col("_payload").alias("record_payload"),
+                     (F.lit(number * 100) + place).cast("int").alias("_place"),
+                     source_key(rows).alias("_source_order")] if whole else []
             parts.append(rows.select(
                 F.lit(table).alias("table_name"),
                 F.coalesce(F.col(KEYS[table]).cast("string"), F.lit("<NULL>"))
                 .alias("record_id"),
                 F.col("_rule").alias("issue_type"),
                 _lookup_literal(REJECT_RULES[table], "_rule").alias("action"),
-                F.to_timestamp(F.lit(DETECTED_AT)).alias("detected_at"),
-                F.col("_payload").alias("record_payload"), *extra))
+                F.to_timestamp(F.lit(DETECTED_AT)).alias("detected_at"), *extra))
     return _union(parts)
 
 
@@ -135,14 +137,6 @@ def field_checks(tables: dict[str, DataFrame]) -> DataFrame:
         "check": F.substring_index("check", ":", -1)})
 
 
-def uniqueness_checks(tables: dict[str, DataFrame]) -> DataFrame:
-    return _union([
-        tables[table].agg(F.lit(key).alias("check"), N.rows().alias("checked"),
-                          duplicate_count(key).alias("_twice"))
-        .select("check", (F.col("checked") - F.col("_twice")).alias("passed"), "checked")
-        for table, key in KEYS.items()]).withColumn("metric_name", F.lit("uniqueness_rate"))
-
-
 FOREIGN_KEYS = [
     ("fact_inquiry", "customer_id", "dim_customer", "customer_id"),
     ("fact_inquiry", "vehicle_id", "dim_vehicle", "vehicle_id"),
@@ -152,18 +146,20 @@ FOREIGN_KEYS = [
 ]
 
 
-def integrity_checks(tables: dict[str, DataFrame]) -> DataFrame:
-    return _union([
-        orphan_counts(tables[child], foreign, tables[parent], key)
-        .select(F.lit(f"{child}.{foreign}").alias("check"), F.col("resolved").alias("passed"),
-                "checked")
-        for child, foreign, parent, key in FOREIGN_KEYS]).withColumn(
-        "metric_name", F.lit("referential_integrity_rate"))
+def key_checks(tables: dict[str, DataFrame]) -> DataFrame:
+    """Uniqueness and integrity of all keys, from one scan per table and one shuffle."""
+    found = key_results(
+        tables, [Unique(key, table, (key,)) for table, key in KEYS.items()],
+        [Reference(f"{child}.{foreign}", child, (foreign,), parent, (key,))
+         for child, foreign, parent, key in FOREIGN_KEYS])
+    return found.withColumn("metric_name", F.when(
+        F.col("kind") == "unique", "uniqueness_rate").otherwise("referential_integrity_rate")) \
+        .drop("kind")
 
 
 def dimension_checks(tables: dict[str, DataFrame]) -> DataFrame:
     """Every single check of the four quality dimensions of one table set."""
-    return _union([field_checks(tables), uniqueness_checks(tables), integrity_checks(tables)])
+    return _union([field_checks(tables), key_checks(tables)])
 
 
 def quality_metrics(raw: dict[str, DataFrame], curated: dict[str, DataFrame]) -> DataFrame:
@@ -257,8 +253,6 @@ def run_checks(tables: dict[str, DataFrame]) -> DataFrame:
     named = {"dim_customer": "customer_id", "dim_vehicle": "vehicle_id",
              "dim_dealer": "dealer_id", "fact_inquiry": "inquiry_id", "fact_quote": "quote_id",
              "dim_date": "date"}
-    parts = [tables[t].agg(F.lit(f"unique_{key}").alias("check_name"),
-                           duplicate_count(key).alias("failures")) for t, key in named.items()]
     domains = {
         "dim_vehicle": {"valid_mileage": N.valid_mileage("mileage_km"),
                         "valid_manufacture_year": N.valid_year("manufacture_year")},
@@ -268,9 +262,6 @@ def run_checks(tables: dict[str, DataFrame]) -> DataFrame:
         "fact_inquiry": {"conversion_status_consistency":
                          (F.col("status") == "Converted") == F.col("conversion_flag")},
     }
-    parts += [passed_counts(tables[t], rules).select(
-        F.col("check").alias("check_name"), (F.col("checked") - F.col("passed")).alias("failures"))
-        for t, rules in domains.items()]
     links = {
         "inquiry_customer_fk": ("fact_inquiry", "customer_id", "dim_customer", "customer_id"),
         "inquiry_vehicle_fk": ("fact_inquiry", "vehicle_id", "dim_vehicle", "vehicle_id"),
@@ -279,9 +270,13 @@ def run_checks(tables: dict[str, DataFrame]) -> DataFrame:
         "inquiry_date_fk": ("fact_inquiry", "inquiry_date", "dim_date", "date"),
         "quote_date_fk": ("fact_quote", "quote_date", "dim_date", "date"),
     }
-    parts += [orphan_counts(tables[c], fk, tables[p], key).select(
-        F.lit(name).alias("check_name"), F.col("orphans").alias("failures"))
-        for name, (c, fk, p, key) in links.items()]
+    keyed = key_results(
+        tables, [Unique(f"unique_{key}", t, (key,)) for t, key in named.items()],
+        [Reference(name, c, (fk,), p, (key,)) for name, (c, fk, p, key) in links.items()])
+    parts = [found.select(
+        F.col("check").alias("check_name"), (F.col("checked") - F.col("passed")).alias("failures"))
+        for found in [keyed.drop("kind"), *[passed_counts(tables[t], rules)
+                                            for t, rules in domains.items()]]]
     dated = quotes.select("inquiry_id", "quote_date").join(
         inquiries.select("inquiry_id", "inquiry_date"), "inquiry_id", "left")
     failing = {
