@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.base import mean, rate, total, with_base
+from oracle.base import mean, rate, total, units, with_base
 
 def _cents(column: str) -> str:
     """Whole cents as the text of a decimal of scale 2."""
@@ -322,24 +322,28 @@ def load_checks() -> str:
     return f"SELECT *, failures = 0 AS passed FROM ({' UNION ALL '.join(parts)})"
 
 
+DOMAINS = {
+    "dim_date": {"month_range": "month(date) BETWEEN 1 AND 12",
+                 "week_range": "week(date) BETWEEN 1 AND 53"},
+    "dim_vehicle": {"vehicle_year": "manufacture_year BETWEEN 1990 AND 2025",
+                    "vehicle_mileage": "mileage_km BETWEEN 0 AND 500000",
+                    "vehicle_value": "value_c > 0"},
+    "dim_dealer": {"dealer_rating": "rating_c BETWEEN 0 AND 500"},
+    "fact_inquiry": {
+        "status_domain": "status IN ('Converted', 'Lost', 'Expired', 'Open')",
+        "quote_count_positive": "quote_count > 0", "spread_not_negative": "spread_c >= 0",
+        "spread_pct_not_negative": "pct_u >= 0",
+        "age_not_negative": "vehicle_age_at_inquiry >= 0",
+        "conversion_consistency": "conversion_flag = (price_c IS NOT NULL) AND "
+                                  "conversion_flag = (winning_dealer_id IS NOT NULL)"},
+    "fact_quote": {"amount_range": "amount_c > 0 AND amount_c <= 50000000",
+                   "hours_not_negative": "hours_c >= 0", "rank_positive": "quote_rank > 0",
+                   "value_positive": "value_c > 0", "ratio_positive": "ratio_u > 0"},
+}
+
+
 def constraints() -> str:
-    rules = {
-        "dim_date": {"month_range": "month(date) BETWEEN 1 AND 12",
-                     "week_range": "week(date) BETWEEN 1 AND 53"},
-        "dim_vehicle": {"vehicle_year": "manufacture_year BETWEEN 1990 AND 2025",
-                        "vehicle_mileage": "mileage_km BETWEEN 0 AND 500000",
-                        "vehicle_value": "value_c > 0"},
-        "dim_dealer": {"dealer_rating": "rating_c BETWEEN 0 AND 500"},
-        "fact_inquiry": {
-            "status_domain": "status IN ('Converted', 'Lost', 'Expired', 'Open')",
-            "quote_count_positive": "quote_count > 0", "spread_not_negative": "spread_c >= 0",
-            "spread_pct_not_negative": "pct_u >= 0",
-            "age_not_negative": "vehicle_age_at_inquiry >= 0",
-            "conversion_consistency": "conversion_flag = (price_c IS NOT NULL) AND "
-                                      "conversion_flag = (winning_dealer_id IS NOT NULL)"},
-        "fact_quote": {"amount_range": "amount_c > 0 AND amount_c <= 50000000",
-                       "hours_not_negative": "hours_c >= 0", "rank_positive": "quote_rank > 0",
-                       "value_positive": "value_c > 0", "ratio_positive": "ratio_u > 0"},
+    rules = DOMAINS | {
         "(SELECT count(*) AS n FROM fact_quote WHERE accepted_flag GROUP BY inquiry_id)": {
             "one_accepted_quote_per_inquiry": "n <= 1"},
     }
@@ -397,6 +401,53 @@ def profile() -> str:
         for table, columns in PROFILE.items() for name, spec in columns.items())
 
 
+PRIMARY = {t: [k] for t, k in KEYS.items()} | {
+    "data_quality_metrics": ["metric_name", "stage", "assessment_date"],
+    "data_quality_issue_log": ["issue_id"], "quarantined_records": ["quarantine_id"],
+    "pipeline_run_summary": ["table_name"]}
+OPTIONAL = ["final_sale_price", "winning_dealer_id", "days_to_conversion"]
+LINKS = {"fact_inquiry": {"customer_id": "dim_customer", "vehicle_id": "dim_vehicle",
+                          "inquiry_date": "dim_date", "winning_dealer_id": "dim_dealer"},
+         "fact_quote": {"inquiry_id": "fact_inquiry", "dealer_id": "dim_dealer",
+                        "quote_date": "dim_date"}}
+
+
+def schema_constraints(operational: dict[str, str]) -> str:
+    """Every declared constraint over the six tables and the operational tables given as SQL."""
+    columns = {t: {c: (spec[0] if isinstance(spec, tuple) else spec or c)
+                   for c, spec in found.items()} for t, found in PROFILE.items()}
+    columns |= {t: {c: c for c in found} for t, found in {
+        "data_quality_metrics": ["metric_name", "stage", "passed_records", "total_records", "rate",
+                                 "description", "assessment_date"],
+        "data_quality_issue_log": ["issue_id", "table_name", "issue_type", "affected_rows",
+                                   "action", "final_result"],
+        "quarantined_records": ["quarantine_id", "table_name", "record_id", "issue_type", "action",
+                                "detected_at", "record_payload"],
+        "pipeline_run_summary": ["table_name", "raw_records", "duplicate_records",
+                                 "corrected_records", "quarantined_records", "clean_records",
+                                 "loaded_records", "load_status"]}.items()}
+    domain = {t: dict(rules) for t, rules in DOMAINS.items()} | {
+        "data_quality_metrics": {"stage_domain": "stage IN ('Raw', 'Processed')",
+                                 "rate_range": "rate BETWEEN 0 AND 1"},
+        "data_quality_issue_log": {"rows_not_negative": "affected_rows >= 0"}}
+    parts = []
+    for table, found in columns.items():
+        source = f"({operational[table]})" if table in operational else table
+        tests = [("not_null", c, f"count({e})") for c, e in found.items()
+                 if not (table == "fact_inquiry" and c in OPTIONAL)]
+        tests += [("domain", name, f"count(*) FILTER (WHERE coalesce({test}, TRUE))")
+                  for name, test in domain.get(table, {}).items()]
+        key = PRIMARY[table]
+        tests.append(("primary_key", ", ".join(key), f"count(DISTINCT ({', '.join(key)}))"))
+        tests += [("reference", c, f"count(*) FILTER (WHERE {c} IS NULL OR {c} IN "
+                   f"(SELECT {KEYS[parent]} FROM {parent}))")
+                  for c, parent in LINKS.get(table, {}).items()]
+        parts += [f"SELECT '{table}' AS table_name, '{kind}' AS kind, '{name}' AS \"check\", "
+                  f"{passed} AS passed, count(*) AS checked FROM {source}"
+                  for kind, name, passed in tests]
+    return " UNION ALL ".join(parts)
+
+
 def operations() -> dict[str, str]:
     one = {
         "total_inquiries": "SELECT count(*) FROM fact_inquiry",
@@ -514,6 +565,22 @@ def operations() -> dict[str, str]:
         "r20": ([REJECTS, ACTIONS, FIXES, ISSUES], f"SELECT {CATEGORY} AS issue_category, "
                 "CAST(sum(affected_rows) AS BIGINT) AS affected_rows FROM issues GROUP BY 1"),
     }
+    found["schema_constraints"] = (
+        [REJECTS, ACTIONS, FIXES, ISSUES, METRICS, RUNS], schema_constraints({
+            "data_quality_metrics": "SELECT * FROM dq",
+            "data_quality_issue_log": found["issue_log"][1],
+            "quarantined_records": found["quarantine"][1],
+            "pipeline_run_summary": "SELECT * FROM runs"}))
+    found["top_most_quoted_inquiries"] = ([], """SELECT lead_source, inquiry_id, quote_count
+        FROM (SELECT *, rank() OVER (PARTITION BY lead_source ORDER BY quote_count DESC) AS place
+              FROM fact_inquiry WHERE quote_count IS NOT NULL) WHERE place <= 50""")
+    found["top_highest_quotes"] = ([], f"""SELECT quote_id, inquiry_id,
+        {units('amount_c', 2)} AS quote_amount
+        FROM (SELECT *, rank() OVER (ORDER BY amount_c DESC) AS place FROM fact_quote)
+        WHERE place <= 100""")
+    found["sketched_response_percentiles"] = ([], """SELECT lead_source, count(*) AS inquiries,
+        TRUE AS median_within, TRUE AS p90_within, quantile_cont(fastest_c, 0.5) / 100
+        AS median_hours FROM fact_inquiry WHERE fastest_c IS NOT NULL GROUP BY 1""")
     return {name: with_base(*ctes) + select for name, (ctes, select) in found.items()}
 
 
