@@ -22,7 +22,7 @@ from marketlens.operators.numbering import number_within
 from marketlens.operators.order_stats import cell_percentiles, value_cells
 from marketlens.operators.rules import first_failure, passed, rejected
 from marketlens.schema import (
-    CORRECTIONS, FUEL_TYPES, LEAD_SOURCES, MILEAGE_BRACKETS, RAW_COLUMNS,
+    CORRECTIONS, FUEL_TYPES, KEYS, LEAD_SOURCES, MALFORMED_RULE, MILEAGE_BRACKETS, RAW_COLUMNS,
     SOFT_FLAGS, STATUSES, VALUE_BANDS, VEHICLE_CONDITIONS, curated_schema,
 )
 from marketlens.session import Workspace
@@ -319,6 +319,17 @@ def enrich_quotes(quotes: DataFrame, inquiries: DataFrame, workspace: Workspace)
         (F.col("accepted_flag") & ~still).alias("_fix_accepted_quote_without_conversion"))
 
 
+def split_malformed(raw: dict[str, DataFrame]) -> tuple[dict, dict]:
+    """Raw tables without the records their reader could not cut into fields, and those as rejects."""
+    marked = [table for table in raw if "_malformed" in raw[table].columns]
+    rejects = {table: raw[table].filter("_malformed is not null").select(
+        F.lit(None).cast("string").alias(KEYS[table]), F.lit(MALFORMED_RULE).alias("_rule"),
+        "_ordinal", F.to_json(F.struct(F.col("_malformed").alias("record"))).alias("_payload"))
+        for table in marked}
+    return {**raw, **{table: raw[table].filter("_malformed is null").drop("_malformed")
+                      for table in marked}}, rejects
+
+
 def clean_tables(raw: dict[str, DataFrame], workspace: Workspace,
                  catalog: DataFrame | None = None) -> Cleaned:
     """Run the whole waterfall; every stage is written once and read by all later ones.
@@ -326,6 +337,7 @@ def clean_tables(raw: dict[str, DataFrame], workspace: Workspace,
     The raw tables should be stored: rejected facts are looked up in them again by `_ordinal`.
     """
     stage = workspace.stage
+    raw, malformed = split_malformed(raw)
     customers, vehicles, dealers, dates = workspace.stage_all({
         "tagged_customer": tag_customers(raw["dim_customer"]),
         "tagged_vehicle": tag_vehicles(raw["dim_vehicle"], catalog),
@@ -348,6 +360,13 @@ def clean_tables(raw: dict[str, DataFrame], workspace: Workspace,
         "dim_dealer": passed(dealers), "dim_date": passed(dates),
         "fact_inquiry": passed(inquiries), "fact_quote": quotes,
     }
+    charged = {
+        "dim_customer": [rejected(customers)], "dim_vehicle": [rejected(vehicles)],
+        "dim_dealer": [rejected(dealers)], "dim_date": [rejected(dates)],
+        "fact_inquiry": [rejected(tagged_inquiries),
+                         unquoted_inquiries(open_inquiries, inquiries)],
+        "fact_quote": [rejected(tagged_quotes)],
+    }
     return Cleaned(
         curated={name: _typed(df, name) for name, df in curated.items()},
         tagged={
@@ -355,13 +374,8 @@ def clean_tables(raw: dict[str, DataFrame], workspace: Workspace,
             "dim_date": [dates], "fact_inquiry": [tagged_inquiries, inquiries],
             "fact_quote": [tagged_quotes, quotes],
         },
-        rejects={
-            "dim_customer": [rejected(customers)], "dim_vehicle": [rejected(vehicles)],
-            "dim_dealer": [rejected(dealers)], "dim_date": [rejected(dates)],
-            "fact_inquiry": [rejected(tagged_inquiries),
-                             unquoted_inquiries(open_inquiries, inquiries)],
-            "fact_quote": [rejected(tagged_quotes)],
-        },
+        rejects={table: [*([malformed[table]] if table in malformed else []), *found]
+                 for table, found in charged.items()},
         origins={name: raw[name] for name in ("fact_inquiry", "fact_quote")})
 
 

@@ -16,7 +16,8 @@ from marketlens.operators.numbering import range_numbered
 from marketlens.operators.rules import passed_counts
 from marketlens.plans.clean import Cleaned, known_issues, with_payload
 from marketlens.schema import (
-    ASSESSMENT_DATE, CORRECTIONS, DETECTED_AT, DIMENSION_TEXT, KEYS, REJECT_RULES,
+    ASSESSMENT_DATE, CORRECTIONS, DETECTED_AT, DIMENSION_TEXT, KEYS, MALFORMED_ACTION,
+    MALFORMED_RULE, REJECT_RULES,
     REQUIRED_COLUMNS,
 )
 from marketlens.session import Workspace
@@ -38,11 +39,11 @@ def _rejects(cleaned: Cleaned, whole: bool) -> DataFrame:
     """All rejected rows; whole ones have their original row, and `_place` orders tables and rules."""
     parts = []
     for number, table in enumerate(TABLE_ORDER):
-        rules = list(REJECT_RULES[table])
+        actions = {MALFORMED_RULE: MALFORMED_ACTION, **REJECT_RULES[table]}
         for rows in cleaned.rejects[table]:
             if whole and "_payload" not in rows.columns:
                 rows = with_payload(rows, cleaned.origins[table], table)
-            place = F.array_position(F.array(*[F.lit(r) for r in rules]), F.col("_rule"))
+            place = F.array_position(F.array(*[F.lit(r) for r in actions]), F.col("_rule"))
             extra = [F.col("_payload").alias("record_payload"),
                      (F.lit(number * 100) + place).cast("int").alias("_place"),
                      source_key(rows).alias("_source_order")] if whole else []
@@ -51,7 +52,7 @@ def _rejects(cleaned: Cleaned, whole: bool) -> DataFrame:
                 F.coalesce(F.col(KEYS[table]).cast("string"), F.lit("<NULL>"))
                 .alias("record_id"),
                 F.col("_rule").alias("issue_type"),
-                _lookup_literal(REJECT_RULES[table], "_rule").alias("action"),
+                _lookup_literal(actions, "_rule").alias("action"),
                 F.to_timestamp(F.lit(DETECTED_AT)).alias("detected_at"), *extra))
     return _union(parts)
 

@@ -154,3 +154,32 @@ def test_region_lookup(spark, csv_folder, tmp_path):
 
 def test_curated_dates_are_dates(tables):
     assert tables["dim_date"].agg(F.min("date")).first()[0] == dt.date(2022, 1, 1)
+
+
+def test_records_across_lines_and_malformed_records(spark, csv_folder, tmp_path):
+    import json
+    import shutil
+    folder = tmp_path / "raw"
+    shutil.copytree(csv_folder, folder)
+    path = folder / "dim_dealer.csv"
+    dealer = ["D0077", "Garage\nof \"Two, Lines\"\r\nand more", "Zurich", "Broker", "4.0", "yes"]
+    with open(path, "a", newline="") as handle:
+        csv.writer(handle).writerow(dealer)
+        handle.write("D0078,too,few\r\n")
+        handle.write("D0079,too,many,Broker,4.0,yes,7,8\r\n")
+        csv.writer(handle).writerow(["D0080", "Last", "Bern", "Broker", "3.0", "no"])
+    found = sorted(R.read_raw_table(spark, str(path), "dim_dealer").collect(),
+                   key=lambda r: r._ordinal)
+    ids = [r.dealer_id for r in found]
+    assert ids[-4:] == ["D0077", "D0078", "D0079", "D0080"]
+    dealer[1] = dealer[1].replace("\r\n", "\n")
+    assert list(found[-4])[:6] == dealer and found[-4]._malformed is None
+    assert [r._malformed is not None for r in found[-4:]] == [False, True, True, False]
+    job = run(spark, str(folder), str(tmp_path / "out"), f"{csv_folder}/catalog.csv")
+    assert {"D0077", "D0080"} <= set(column(job.curated["dim_dealer"], "dealer_id"))
+    assert not {"D0078", "D0079"} & set(column(job.curated["dim_dealer"], "dealer_id"))
+    kept = [json.loads(r.record_payload)["record"] for r in job.quarantined_records.filter(
+        "issue_type = 'malformed_record'").orderBy("quarantine_id").collect()]
+    assert [k.strip() for k in kept] == ["D0078,too,few", "D0079,too,many,Broker,4.0,yes,7,8"]
+    summary = job.run_summary.filter("table_name = 'dim_dealer'").first()
+    assert summary.raw_records == summary.clean_records + 2
