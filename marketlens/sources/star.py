@@ -234,3 +234,18 @@ def raw_tables(spark: SparkSession, folder: str,
         return tables
     landed = workspace.stage_all({f"raw_{name}": df for name, df in tables.items()})
     return {name: landed[f"raw_{name}"] for name in tables}
+
+
+def brand_catalog(spark: SparkSession, folder: str) -> DataFrame:
+    """Brands in another spelling, as a catalogue of vehicles."""
+    return spark.read.parquet(f"{folder}/part.parquet").select(
+        F.lower("p_brand").alias("brand"), F.col("p_name").alias("model"),
+        F.col("p_type").alias("vehicle_type"))
+
+
+def canton_regions(spark: SparkSession, folder: str) -> DataFrame:
+    """The region of every canton."""
+    nation = spark.read.parquet(f"{folder}/nation.parquet")
+    region = spark.read.parquet(f"{folder}/region.parquet")
+    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        F.upper("n_name").alias("canton"), F.col("r_name").alias("dealer_region"))

@@ -571,6 +571,20 @@ def operations() -> dict[str, str]:
             "data_quality_issue_log": found["issue_log"][1],
             "quarantined_records": found["quarantine"][1],
             "pipeline_run_summary": "SELECT * FROM runs"}))
+    found["raw_copied_customers"] = ([], """SELECT customer_id, CASE WHEN copy = 1 THEN 'ZZ'
+        WHEN balance BETWEEN 0 AND 150 THEN '  ' ELSE lower(n_name) END AS canton
+        FROM raw_customer WHERE customer_id IN (SELECT customer_id FROM raw_customer
+          GROUP BY customer_id HAVING count(*) > 1)""")
+    found["raw_first_customers"] = ([], """SELECT customer_id, raw_lead AS lead_source
+        FROM tagged_customer WHERE rn = 1""")
+    found["quote_totals"] = ([], """SELECT inquiry_id, any_value(inquiry_date) AS inquiry_date,
+        count(q.quote_id) AS quotes, max(q.quote_date) AS latest_quote
+        FROM fact_inquiry LEFT JOIN fact_quote q USING (inquiry_id) GROUP BY 1""")
+    found["catalogued_vehicles"] = ([], """SELECT vehicle_id, lower(brand) AS brand
+        FROM dim_vehicle""")
+    found["customer_regions"] = ([], """SELECT customer_id, canton, r_name AS customer_region
+        FROM dim_customer LEFT JOIN nation ON canton = upper(n_name)
+        LEFT JOIN region ON n_regionkey = r_regionkey""")
     found["top_most_quoted_inquiries"] = ([], """SELECT lead_source, inquiry_id, quote_count
         FROM (SELECT *, rank() OVER (PARTITION BY lead_source ORDER BY quote_count DESC) AS place
               FROM fact_inquiry WHERE quote_count IS NOT NULL) WHERE place <= 50""")
