@@ -6,7 +6,7 @@ in one pass: by ascending cap per weight, sources are capped while their fair sh
 
 Blocks. A source's documents, in hashed order, are one stream of words cut into blocks of
 `BLOCK_WORDS`. A pass takes every full block once, in the order of a pseudorandom permutation keyed
-by the source (a Feistel network with cycle walking), and the short last block at its end. A source
+by the source (a swap-or-not network), and the short last block at its end. A source
 takes as many slots as its target needs, and the last slot is trimmed, so the source gets its target
 to the word. Whole passes first, so no document is taken more than `REPEATS` times.
 
@@ -30,18 +30,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketlens.llm.store import stored, table
-from marketlens.llm.words import mix as scramble
 
 WEIGHTS = (5, 2, 1)
 REPEATS = 3
 BLOCK_WORDS = 256
 SHARD_SLOTS = 4096
 SLICE_ROWS = 4096
-ROUNDS = 4
+ROUNDS = 32
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -108,44 +107,26 @@ def deal(sources: DataFrame, shard_slots: int = SHARD_SLOTS, seed: int = 0) -> D
                                   "trim long, shard long, n long, first long")
 
 
-def _shift(digit: np.ndarray, seed: np.ndarray, turn: int) -> np.ndarray:
-    return (scramble(scramble(seed + np.uint64(turn)) ^ digit.view(np.uint64)) >> np.uint64(2)) \
-        .view(np.int64)
-
-
-def permuted(at: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
+def permuted(at: str, n: str, key: str) -> Column:
     """Where index `at` goes under the permutation of 0..n-1 named by `key`; others stay.
 
-    The index is cut into two digits of a nearly square grid and each is shifted by a hash of the
-    other, `ROUNDS` times. That permutes the grid; what lands beyond `n` walks on until it is inside.
+    A swap-or-not network: every round pairs x with (k - x) mod n, and a hash of the pair says whether
+    the two change places. That is a permutation for any n, and one SQL expression.
     """
-    wide = np.maximum(np.ceil(np.sqrt(n)), 1).astype(np.int64)
-    high = -(-n // wide)
-    out, todo = at.copy(), np.flatnonzero(at < n)
-    while len(todo):
-        a, b, seed = wide[todo], high[todo], key[todo].view(np.uint64)
-        low, top = out[todo] % a, out[todo] // a
-        for turn in range(ROUNDS):
-            low = (low + _shift(top, seed, 2 * turn)) % a
-            top = (top + _shift(low, seed, 2 * turn + 1)) % b
-        out[todo] = top * a + low
-        todo = todo[out[todo] >= n[todo]]
-    return out
+    size = f"greatest({n}, 1L)"
+    other = f"pmod(pmod(xxhash64({key}, r), {size}) - x, {size})"
+    turn = (f"transform(array({other}), y -> if((xxhash64({key}, r, greatest(x, y)) & 1L) = 1L, "
+            "y, x))[0]")
+    return F.expr(f"if({at} >= {n}, {at}, aggregate(sequence(1, {ROUNDS}), {at}, (x, r) -> {turn}))")
 
 
 def slots(dealt: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """One row per slot: shard, source, the block it shows, and how many of its words."""
     spread = dealt.repartition("source", "shard").withColumn(
         "slot", F.explode(F.expr("sequence(first, first + n - 1)")))
-    at = F.expr("slot % per_pass")
-
-    @F.pandas_udf("long")
-    def turned(at: pd.Series, full: pd.Series, key: pd.Series) -> pd.Series:
-        return pd.Series(permuted(at.to_numpy(), full.to_numpy(), key.to_numpy()))
-
     return spread.select(
         "shard", "source", "slot", F.expr("slot div per_pass").alias("pass"),
-        turned(at, "full", F.xxhash64("source")).alias("block"),
+        permuted("(slot % per_pass)", "full", "source").alias("block"),
         F.when(F.col("slot") == F.col("slots") - 1, F.col("trim")).otherwise(
             F.lit(block_words)).alias("shown"))
 

@@ -102,18 +102,21 @@ def test_mixture_meets_its_targets(docs):
     assert multiset(map(tuple, found)) == multiset(map(tuple, again))
 
 
-def test_mixture_permutes_blocks_pseudorandomly():
-    for n in [*range(1, 70), 1001, 4095, 4096, 99991]:
-        for key in (7, -(1 << 60)):
-            at = np.arange(n + 3)
-            found = mixture.permuted(at, np.full(n + 3, n), np.full(n + 3, key))
-            assert (np.sort(found[:n]) == at[:n]).all() and (found[n:] == at[n:]).all()
-            if n > 1000:  # neighbours scatter, and no index keeps its distance
-                steps = np.diff(found[:n])
-                assert len(np.unique(steps)) > n / 3 and np.mean(np.abs(steps)) > n / 4
-                assert abs(np.corrcoef(at[:n], found[:n])[0, 1]) < 0.1
-    both = [mixture.permuted(np.arange(1001), np.full(1001, 1001), np.full(1001, k)) for k in (1, 2)]
-    assert np.mean(both[0] == both[1]) < 0.02
+def test_mixture_permutes_blocks_pseudorandomly(spark):
+    sizes = [*range(1, 40), 1001, 4095, 4096, 20011]
+    table = spark.createDataFrame([(n, k) for n in sizes for k in ("a", "b", None)],
+                                  "n long, source string")
+    made = table.selectExpr("*", "explode(sequence(0L, n + 2)) as at").withColumn(
+        "to", mixture.permuted("at", "n", "source")).toPandas()
+    for (n, _), part in made.groupby(["n", "source"], dropna=False):
+        found, at = part.sort_values("at")["to"].to_numpy(), np.arange(n + 3)
+        assert (np.sort(found[:n]) == at[:n]).all() and (found[n:] == at[n:]).all()
+        if n > 1000:  # neighbours scatter, and no index keeps its distance
+            steps = np.diff(found[:n])
+            assert len(np.unique(steps)) > n / 3 and np.mean(np.abs(steps)) > n / 4
+            assert abs(np.corrcoef(at[:n], found[:n])[0, 1]) < 0.1
+    wide = made[made["n"] == 1001].pivot_table(index="at", columns="source", values="to")
+    assert (wide["a"] == wide["b"])[:1001].mean() < 0.02
 
 
 def test_mixed_texts_are_as_long_as_taken(odd, documents):
