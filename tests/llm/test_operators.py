@@ -74,6 +74,28 @@ def test_substrings_are_cut_exactly(docs):
     assert substrings.without_repeats(docs).columns == docs.columns
 
 
+@pytest.mark.parametrize("tag_bits, key_bits", [(1, 64), (31, 10), (1, 10)])
+def test_substrings_are_cut_exactly_when_hashes_collide(spark, tag_bits, key_bits):
+    words = [f"w{i}" for i in range(400)]
+    rows = [(d, " ".join(["a" * (d % 5 + 1)] * (d % 3) + words[9 * d:9 * d + 40 + 7 * (d % 4)]
+                         + [f"end{d % 6}"] + words[5 * d:5 * d + 30])) for d in range(40)]
+    docs = spark.createDataFrame(rows + rows[:5], "doc_id long, text string")
+    found = substrings.cut_repeats(docs, tag_bits=tag_bits, key_bits=key_bits).collect()
+    want = [(d, *c) for (d, _), c in zip(rows + rows[:5], brute.cut(rows + rows[:5]))]
+    assert multiset((r.doc_id, r.n_words, r.n_removed, r.kept_text.encode())
+                    for r in found) == multiset(want)
+
+
+def test_long_paths_contract(spark):
+    long = " ".join(f"x{i}" for i in range(5000))
+    rows = [(1, "other start " + long), (2, long), (3, f"a b c {long} d"), (4, None), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = substrings.cut_repeats(docs).collect()
+    assert {r.doc_id: r.n_removed for r in found} == {1: 0, 2: 5000, 3: 5000, 4: 0, 5: 0}
+    sizes = sorted(r.n_words for r in substrings.repeated_spans(docs).collect())
+    assert sizes == [13] * 4 + [4998] * 2
+
+
 def test_substring_sources_hold_the_same_words(odd):
     texts = {}
     for doc, text in pairs(odd):
