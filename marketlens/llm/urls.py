@@ -6,7 +6,8 @@ rule decides. Urls that no rule fits go to the method.
 Segmentation. Word counts over all page texts give a unigram model. Every run of letters in a host is
 cut by Viterbi into the most probable words; an unknown word costs more with every letter. The
 candidate substrings of each distinct run meet the counts by a join, so the model is never sent whole,
-and a run has at most its length times `MAX_WORD` of them.
+and a run has at most its length times `MAX_WORD` of them: no piece of a cut is longer. Page words of any
+length are counted whole; longer ones only add to the total.
 
 Naive Bayes. There are no labelled urls, so the training classes are weak: urls whose segmented host
 has a word of `SEEDS` against all others. Token counts by class are smoothed by one. The log odds of
@@ -65,7 +66,7 @@ def match(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> Colu
 def word_counts(pages: DataFrame, html: str = "html") -> DataFrame:
     """(word, n) over all page texts, tags removed, lower case."""
     seen = F.regexp_replace(F.coalesce(F.col(html).cast("string"), F.lit("")), "<[^>]*+>", " ")
-    words = F.regexp_extract_all(F.lower(seen), F.lit(r"[a-z]{2,%d}+" % MAX_WORD), F.lit(0))
+    words = F.regexp_extract_all(F.lower(seen), F.lit("[a-z]{2,}+"), F.lit(0))
     return pages.select(F.explode(words).alias("word")).groupBy("word").agg(
         F.count("*").alias("n"))
 

@@ -466,6 +466,12 @@ def test_url_parts_and_rules(spark):
     assert urls.judge(pages).count() == len(rows) and urls.judge(pages.limit(0)).isEmpty()
 
 
+def test_page_words_are_counted_whole(spark):
+    long = "x" * 50
+    pages = spark.createDataFrame([(f"<b>Ab</b> ab {long} c",), (None,), ("",)], "html string")
+    assert {tuple(r) for r in urls.word_counts(pages).collect()} == {("ab", 2), (long, 1)}
+
+
 def test_viterbi_finds_the_best_cut():
     known = {"cheap": -2.0, "pills": -3.0, "che": -3.5, "ap": -3.0, "pill": -3.2}
     assert urls.viterbi("cheappills", known, -6.0) == ["cheap", "pills"]
