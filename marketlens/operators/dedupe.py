@@ -1,10 +1,12 @@
-"""Duplicate keys. One key may hold a third of the rows, so nothing here windows by key."""
+"""Duplicate keys. One key may hold a third of the rows, so no hot key is windowed."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from marketlens.operators.hot import HOT_ROWS, hot_buckets, split_hot
 from marketlens.operators.joins import join_null_safe
 
 
@@ -29,6 +31,20 @@ def flag_later_copies(df: DataFrame, keys: list[str], ordinal: str = "_ordinal",
     return joined.withColumn(flag, F.col(ordinal) > F.col("_first")).drop("_first")
 
 
+def flag_stored_copies(df: DataFrame, keys: list[str], ordinal: str = "_ordinal",
+                       flag: str = "_later_copy", limit: int = HOT_ROWS) -> DataFrame:
+    """`flag_later_copies` for rows read from storage, which shuffles them once.
+
+    The rows are counted by key hash first. Keys of usual size are ranked in their own shuffle,
+    only those of hot buckets take the aggregate and the join.
+    """
+    usual, hot = split_hot(df, keys, hot_buckets(df, keys, limit))
+    inside = Window.partitionBy(*keys).orderBy(ordinal)
+    flagged = usual.withColumn(flag, F.rank().over(inside) > 1)
+    return flagged if hot is None else flagged.unionByName(
+        flag_later_copies(hot, keys, ordinal, flag))
+
+
 def flag_all_copies(df: DataFrame, keys: list[str], flag: str = "_copied") -> DataFrame:
     """Mark every row of a key that occurs more than once."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))

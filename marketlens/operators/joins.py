@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketlens.session import cut
+
 
 class CardinalityError(ValueError):
     """A join key is not unique on a side declared unique."""
@@ -49,6 +51,17 @@ def lookup(left: DataFrame, right: DataFrame, key: str | Column, right_key: str,
     return left.join(side, key == F.col("_lookup_key"), "left").drop("_lookup_key")
 
 
+def unknown_keys(child: DataFrame, foreign_key: str, parent: DataFrame, key: str) -> DataFrame:
+    """Stored `_unknown`: the distinct foreign keys that the parent lacks, without NULL.
+
+    Looking these few up spares the child a shuffle by a key as hot as its busiest parent.
+    """
+    used = child.select(F.col(foreign_key).alias("_unknown")).filter(
+        "_unknown is not null").distinct()
+    known = parent.select(F.col(key).alias("_p"))
+    return cut(used.join(known, F.col("_unknown") == F.col("_p"), "left_anti"))
+
+
 def orphan_counts(child: DataFrame, foreign_key: str, parent: DataFrame, key: str) -> DataFrame:
     """(checked, resolved, orphans) in one row; a NULL foreign key resolves.
 

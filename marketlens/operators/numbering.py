@@ -6,30 +6,35 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from marketlens.operators.hot import split_hot
 from marketlens.operators.joins import join_null_safe
 from marketlens.session import Workspace
 
+
 def range_numbered(workspace: Workspace, df: DataFrame, stage: str, order: list[Column],
                    number: str, within: list[str] | None = None) -> DataFrame:
     """Exact row_number without one big sort: range slices, then an offset per slice.
 
-    The slices are written once, because a sampled range partitioning may cut differently when
-    it is computed again.
+    The slices are written once and sorted, because a sampled range partitioning may cut differently
+    when it is computed again. A row's number is its place in the stored slice and its offset.
     """
     within = within or []
     slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cut = (df.repartitionByRange(slices, *[F.col(c) for c in within], *order)
-           .withColumn("_slice", F.spark_partition_id()))
-    cut = workspace.stage(cut, stage)
+    keys = [*[F.col(c) for c in within], *order]
+    cut = df.repartitionByRange(slices, *keys).sortWithinPartitions(*keys).withColumn(
+        "_at", F.monotonically_increasing_id())
+    cut = workspace.stage(cut.withColumn("_slice", F.shiftright("_at", 33)), stage)
     earlier = (Window.partitionBy(*within) if within else Window.partitionBy(F.lit(0))) \
         .orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (cut.groupBy(*within, "_slice").agg(F.count(F.lit(1)).alias("_n"))
-               .withColumn("_offset", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-               .drop("_n"))
-    inside = Window.partitionBy(*within, "_slice").orderBy(*order)
+    offsets = cut.groupBy(*within, "_slice").agg(
+        F.min("_at").alias("_start"), F.count(F.lit(1)).alias("_n"))
+    offsets = offsets.select(*within, "_slice", (
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_start") + 1).alias("_offset"))
+    # Without groups there is one row per slice, a bound for the broadcast.
+    offsets = offsets if within else F.broadcast(offsets)
     return (join_null_safe(cut, offsets, [*within, "_slice"])
-            .withColumn(number, F.row_number().over(inside) + F.col("_offset"))
-            .drop("_slice", "_offset"))
+            .withColumn(number, (F.col("_at") + F.col("_offset")).cast("int"))
+            .drop("_at", "_slice", "_offset"))
 
 
 def number_within(workspace: Workspace, df: DataFrame, stage: str, key: str,
@@ -56,3 +61,13 @@ def number_within(workspace: Workspace, df: DataFrame, stage: str, key: str,
     return (join_null_safe(cut, F.broadcast(offsets), [key, "_slice"], "left")
             .withColumn(number, F.row_number().over(inside) + F.coalesce("_offset", F.lit(0)))
             .drop("_slice", "_offset"))
+
+
+def number_groups(workspace: Workspace, df: DataFrame, stage: str, key: str, order: list[Column],
+                  number: str, hot: list[int]) -> DataFrame:
+    """row_number per key: a window on the shuffle the rows have, range slices for hot buckets."""
+    usual, large = split_hot(df, [key], hot)
+    numbered = usual.withColumn(
+        number, F.row_number().over(Window.partitionBy(key).orderBy(*order)))
+    return numbered if large is None else numbered.unionByName(
+        number_within(workspace, large, stage, key, order, number))

@@ -11,14 +11,16 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from marketlens.functions import numbers as N
 from marketlens.functions import text as T
 from marketlens.functions.bands import band_below, band_upto
 from marketlens.functions.calendar import calendar_columns
-from marketlens.operators.dedupe import flag_later_copies
-from marketlens.operators.joins import join_null_safe, lookup
-from marketlens.operators.numbering import number_within
+from marketlens.operators.dedupe import flag_later_copies, flag_stored_copies
+from marketlens.operators.hot import HOT_ROWS, copies_stay_within, hot_buckets
+from marketlens.operators.joins import join_null_safe, lookup, unknown_keys
+from marketlens.operators.numbering import number_groups
 from marketlens.operators.order_stats import cell_percentiles, value_cells
 from marketlens.operators.rules import first_failure, passed, rejected
 from marketlens.schema import (
@@ -56,12 +58,16 @@ def _tag(df: DataFrame, table: str, rules: list[tuple[str, Column]], columns: di
          fixes: dict[str, Column], late: bool = False) -> DataFrame:
     """Final projection of a tagged table; only rejects carry the original row as JSON.
 
-    A fact does not carry it (`late`): `with_payload` looks it up for the rejects.
+    A fact does not carry it (`late`): `with_payload` looks it up for the rejects, which keep
+    only their key, rule and place.
     """
     tagged = df.withColumn("_rule", first_failure(rules))
     payload = [] if late else [F.when(
         F.col("_rule").isNotNull(), T.record_json(RAW_COLUMNS[table], prefix="raw_"))
         .alias("_payload")]
+    if late:
+        columns = {name: value if name == KEYS[table] else F.when(F.col("_rule").isNull(), value)
+                   for name, value in columns.items()}
     return tagged.select(
         *[expression.alias(name) for name, expression in columns.items()],
         *[flag.alias(f"_fix_{name}") for name, flag in fixes.items()],
@@ -81,7 +87,7 @@ def _typed(df: DataFrame, table: str) -> DataFrame:
 
 
 def tag_customers(raw: DataFrame) -> DataFrame:
-    df = flag_later_copies(_prepare(raw, "dim_customer", ["customer_id"]), ["customer_id"])
+    df = flag_stored_copies(_prepare(raw, "dim_customer", ["customer_id"]), ["customer_id"])
     df = df.withColumns({
         "_created": N.to_day("raw_customer_created_date"),
         "_canton": T.business_key("raw_canton"),
@@ -103,7 +109,7 @@ def tag_customers(raw: DataFrame) -> DataFrame:
 
 
 def tag_vehicles(raw: DataFrame, catalog: DataFrame | None = None) -> DataFrame:
-    df = flag_later_copies(_prepare(raw, "dim_vehicle", ["vehicle_id"]), ["vehicle_id"])
+    df = flag_stored_copies(_prepare(raw, "dim_vehicle", ["vehicle_id"]), ["vehicle_id"])
     if catalog is None:
         brand = T.title_case("raw_brand")
     else:
@@ -177,7 +183,7 @@ def tag_inquiries(raw: DataFrame, customers: DataFrame, vehicles: DataFrame) ->
         N.to_number("raw_final_sale_price").alias("final_sale_price"),
         T.to_flag("raw_conversion_flag").alias("conversion_flag"),
         N.to_number("raw_days_to_conversion").try_cast("smallint").alias("days_to_conversion"))
-    df = flag_later_copies(df, ["inquiry_id"])
+    df = flag_stored_copies(df, ["inquiry_id"])
     df = lookup(df, customers.withColumn("_known", F.lit(True)), "customer_id", "customer_id",
                 {"customer_created_date": "_created", "_known": "_customer"})
     df = lookup(df, vehicles.withColumn("_known", F.lit(True)), "vehicle_id", "vehicle_id",
@@ -202,20 +208,27 @@ def tag_inquiries(raw: DataFrame, customers: DataFrame, vehicles: DataFrame) ->
         {}, late=True)
 
 
-def tag_quotes(raw: DataFrame, inquiries: DataFrame, dealers: DataFrame) -> DataFrame:
+def tag_quotes(raw: DataFrame, inquiries: DataFrame, dealers: DataFrame,
+               limit: int = HOT_ROWS) -> DataFrame:
     df = _prepare(raw, "fact_quote", ["quote_id", "inquiry_id", "dealer_id"]).select(
         "quote_id", "inquiry_id", "dealer_id", "_ordinal",
         N.to_day("raw_quote_date").alias("_day"), N.to_number("raw_quote_amount").alias("_amount"),
         N.to_number("raw_response_time_hours").alias("response_time_hours"),
         T.to_flag("raw_accepted_flag").alias("accepted_flag"))
-    df = flag_later_copies(df, ["quote_id"])
-    df = lookup(df, dealers.withColumn("_known", F.lit(True)), "dealer_id", "dealer_id",
-                {"_known": "_dealer"})
+    # Copies that share an inquiry are told apart in the shuffle of the inquiry lookup.
+    within = copies_stay_within(df, "quote_id", "inquiry_id", limit)
+    if not within:
+        df = flag_stored_copies(df, ["quote_id"], limit=limit)
+    df = lookup(df, unknown_keys(df, "dealer_id", dealers, "dealer_id"), "dealer_id", "_unknown",
+                {"_unknown": "_unknown_dealer"})
     df = lookup(df, inquiries, "inquiry_id", "inquiry_id",
                 {"inquiry_date": "_inquired", "inquiry_id": "_inquiry"})
+    if within:
+        copies = Window.partitionBy("inquiry_id", "quote_id").orderBy("_ordinal")
+        df = df.withColumn("_later_copy", F.rank().over(copies) > 1)
     day, amount = F.col("_day"), F.col("_amount")
     orphan = ((F.col("inquiry_id").isNotNull() & F.col("_inquiry").isNull())
-              | (F.col("dealer_id").isNotNull() & F.col("_dealer").isNull()))
+              | F.col("_unknown_dealer").isNotNull())
     return _tag(
         df, "fact_quote",
         [("duplicate_primary_key", F.col("_later_copy")),
@@ -303,8 +316,9 @@ def enrich_quotes(quotes: DataFrame, inquiries: DataFrame, workspace: Workspace)
         F.col("inquiry_id").alias("_i"), "estimated_market_value",
         F.col("conversion_flag").alias("_converted"))
     df = quotes.join(known, F.col("inquiry_id") == F.col("_i"), "left").drop("_i")
-    df = number_within(workspace, df, "quote_slices", "inquiry_id",
-                       [F.col("quote_amount").desc(), F.col("_ordinal")], "quote_rank")
+    df = number_groups(workspace, df, "quote_slices", "inquiry_id",
+                       [F.col("quote_amount").desc(), F.col("_ordinal")], "quote_rank",
+                       hot_buckets(quotes, ["inquiry_id"]))
     ratio = F.bround(F.try_divide(F.col("quote_amount"), F.col("estimated_market_value")), 4)
     still = F.col("accepted_flag") & F.coalesce("_converted", F.lit(False))
     return df.select(

@@ -8,10 +8,15 @@ from its columns, partly in untidy spellings, so that every cleaning rule has wo
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from marketlens.functions.calendar import date_spine
+from marketlens.operators.hot import HOT_ROWS, hot_buckets, split_hot
+from marketlens.operators.joins import join_null_safe
 from marketlens.session import Workspace
 
 # Source words as the raw layer spells them.
@@ -122,28 +127,58 @@ def dealers(spark: SparkSession, folder: str) -> DataFrame:
     return rows.withColumn("_ordinal", _ordinal("_copy")).drop("_balance", "_copy", "_file", "_row")
 
 
+# Source order of a line within its order and over all orders.
+LINE_ORDER = ["ship_day", "l_partkey", "l_suppkey", "price", "_file", "_row"]
+
+
 def _lines(spark: SparkSession, folder: str) -> DataFrame:
     return _read(spark, folder, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         _money("l_extendedprice").alias("price"), _money("l_quantity").alias("hours"),
         F.col("l_discount").cast("decimal(4,2)").alias("discount"),
         F.col("l_tax").cast("decimal(4,2)").alias("tax"), "l_returnflag",
-        F.to_date("l_shipdate").alias("ship_day"),
-        F.struct(F.to_date("l_shipdate").alias("ship_day"), "l_partkey", "l_suppkey",
-                 _money("l_extendedprice").alias("price"), "_file", "_row").alias("_ordinal"))
+        F.to_date("l_shipdate").alias("ship_day"), "_file", "_row")
+
+
+def _marked(lines: DataFrame) -> DataFrame:
+    """`_best`, the best bid of its order, and `_first_part`, the part of the first line."""
+    inside = Window.partitionBy("l_orderkey")
+    bids = inside.orderBy(*[F.col(c).desc() for c in ("price", "l_linenumber", *LINE_ORDER)])
+    return lines.withColumn("_best", F.row_number().over(bids) == 1).withColumn(
+        "_first_part",
+        F.min(F.struct("l_linenumber", "ship_day", "l_partkey")).over(inside)["l_partkey"])
+
+
+def _marked_hot(lines: DataFrame) -> DataFrame:
+    """As `_marked` for orders of any size; both aggregates combine map-side."""
+    per_order = lines.groupBy("l_orderkey").agg(
+        F.min(F.struct("l_linenumber", "ship_day", "l_partkey")).alias("_start"),
+        F.max(F.struct("price", "l_linenumber", F.struct(*LINE_ORDER).alias("place")))
+        .alias("_top"))
+    joined = join_null_safe(lines, per_order.hint("merge"), ["l_orderkey"], "left")
+    own = F.struct("price", "l_linenumber", F.struct(*LINE_ORDER).alias("place"))
+    return joined.withColumns({
+        "_best": own.eqNullSafe(F.col("_top")), "_first_part": F.col("_start.l_partkey")}).drop(
+        "_start", "_top")
+
+
+def order_lines(spark: SparkSession, folder: str, limit: int = HOT_ROWS) -> DataFrame:
+    """The lines with their marks and `_won`, whether their order is won; one shuffle by order."""
+    lines = _lines(spark, folder)
+    won = spark.read.parquet(f"{folder}/orders.parquet").filter("o_orderstatus = 'F'").select(
+        F.col("o_orderkey").alias("order_key"))
+    usual, hot = split_hot(lines, ["l_orderkey"], hot_buckets(lines, ["l_orderkey"], limit))
+    parts = [_marked(usual)] + ([] if hot is None else [_marked_hot(hot)])
+    return reduce(lambda a, b: a.unionByName(b), [
+        part.join(won, F.col("l_orderkey") == F.col("order_key"), "left")
+        .withColumn("_won", F.col("order_key").isNotNull()).drop("order_key") for part in parts])
 
 
 def _per_order(lines: DataFrame) -> DataFrame:
-    """First line and best bid of each order; both combine map-side, so hot orders shrink."""
-    return (lines.groupBy("l_orderkey").agg(
-        F.min(F.struct("l_linenumber", "_ordinal")).alias("first"),
-        F.max(F.struct("price", "l_linenumber", "_ordinal")).alias("best"))
-        .select(
-            F.col("l_orderkey").alias("order_key"),
-            F.col("first._ordinal.l_partkey").alias("part_key"),
-            F.col("best.price").alias("best_price"),
-            F.col("best.l_linenumber").alias("best_line"),
-            F.col("best._ordinal").alias("best_ordinal")))
+    """First part and best bid of each order."""
+    return lines.filter("_best").groupBy(F.col("l_orderkey").alias("order_key")).agg(
+        F.first("_first_part").alias("part_key"), F.first("price").alias("best_price"),
+        F.first("l_suppkey").alias("best_dealer"), F.first("ship_day").alias("best_day"))
 
 
 def inquiries(spark: SparkSession, folder: str, per_order: DataFrame) -> DataFrame:
@@ -161,25 +196,19 @@ def inquiries(spark: SparkSession, folder: str, per_order: DataFrame) -> DataFra
         .otherwise(_translate("o_orderstatus", STATUS_TEXT)).alias("status"),
         F.when(won, F.col("best_price")).cast("string").alias("final_sale_price"),
         F.when(won & (amount > 450_000), "D-9999")
-        .when(won, _id("D", "best_ordinal.l_suppkey")).alias("winning_dealer_id"),
+        .when(won, _id("D", "best_dealer")).alias("winning_dealer_id"),
         F.when(won, "Yes").otherwise("no").alias("conversion_flag"),
-        F.when(won, F.abs(F.date_diff(F.col("best_ordinal.ship_day"), day))).cast("string")
+        F.when(won, F.abs(F.date_diff(F.col("best_day"), day))).cast("string")
         .alias("days_to_conversion"),
         amount.alias("_amount"), F.col("_file"), F.col("_row"))
     rows = _with_copies(rows, F.col("_amount") > 495_000, status=F.lit("Open"))
     return rows.withColumn("_ordinal", _ordinal("_copy")).drop("_amount", "_copy", "_file", "_row")
 
 
-def quotes(spark: SparkSession, folder: str, per_order: DataFrame) -> DataFrame:
-    lines = _lines(spark, folder)
-    orders = spark.read.parquet(f"{folder}/orders.parquet").select(
-        F.col("o_orderkey").alias("order_key"), "o_orderstatus")
-    winners = (per_order.join(orders, "order_key").filter("o_orderstatus = 'F'")
-               .select("order_key", "best_line", "best_ordinal"))
-    accepted = (F.col("best_line") == F.col("l_linenumber")) & (
-        F.col("best_ordinal") == F.col("_ordinal"))
+def quotes(lines: DataFrame) -> DataFrame:
+    accepted = F.col("_best") & F.col("_won") & F.col("l_linenumber").isNotNull()
     dealer = _id("D", "l_suppkey")
-    return lines.join(winners, F.col("l_orderkey") == F.col("order_key"), "left").select(
+    return lines.select(
         F.concat(F.lit("Q"), F.col("l_orderkey").cast("string"), F.lit("-"),
                  F.col("l_linenumber").cast("string")).alias("quote_id"),
         _id("I", "l_orderkey").alias("inquiry_id"),
@@ -194,9 +223,8 @@ def quotes(spark: SparkSession, folder: str, per_order: DataFrame) -> DataFrame:
         F.when(F.col("discount") != 0, F.col("hours").cast("string"))
         .alias("response_time_hours"),
         F.col("l_linenumber").cast("string").alias("quote_rank"),
-        F.when(F.coalesce(accepted, F.lit(False)), "true").otherwise("false")
-        .alias("accepted_flag"),
-        "_ordinal")
+        F.when(accepted, "true").otherwise("false").alias("accepted_flag"),
+        F.struct(*LINE_ORDER).alias("_ordinal"))
 
 
 def dates(spark: SparkSession, folder: str) -> DataFrame:
@@ -221,19 +249,20 @@ def dates(spark: SparkSession, folder: str) -> DataFrame:
 def raw_tables(spark: SparkSession, folder: str,
                workspace: Workspace | None = None) -> dict[str, DataFrame]:
     """The six raw tables; with a workspace they are landed once and read back from there."""
-    per_order = _per_order(_lines(spark, folder))
+    lines = order_lines(spark, folder)
     if workspace is not None:
-        per_order = workspace.stage(per_order, "order_summary")
+        lines = workspace.stage(lines, "order_lines")
     tables = {
         "dim_customer": customers(spark, folder), "dim_vehicle": vehicles(spark, folder),
         "dim_dealer": dealers(spark, folder),
-        "fact_inquiry": inquiries(spark, folder, per_order),
-        "fact_quote": quotes(spark, folder, per_order), "dim_date": dates(spark, folder),
+        "fact_inquiry": inquiries(spark, folder, _per_order(lines)),
+        "dim_date": dates(spark, folder),
     }
-    if workspace is None:
-        return tables
-    landed = workspace.stage_all({f"raw_{name}": df for name, df in tables.items()})
-    return {name: landed[f"raw_{name}"] for name in tables}
+    if workspace is not None:
+        landed = workspace.stage_all({f"raw_{name}": df for name, df in tables.items()})
+        tables = {name: landed[f"raw_{name}"] for name in tables}
+    # Quotes are the stored lines in other words, so they are not written again.
+    return {**tables, "fact_quote": quotes(lines)}
 
 
 def brand_catalog(spark: SparkSession, folder: str) -> DataFrame:
