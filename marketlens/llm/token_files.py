@@ -10,9 +10,9 @@ statistics and Bloom filters admit the wanted ids.
 
 Texts are cut where the tokenizer always cuts: at white space, which it drops, and between an ASCII
 letter and one of `.,;:!?`. Distinct pieces are encoded once a slice, through a cache of at most
-`CACHE` pieces; those of ASCII letters alone, lower-cased, go straight to the merges. Texts that name an
-added token are encoded whole. Null texts count as empty: their only id is the end. Null doc_ids come first; rows
-of one doc_id are ordered by a hash of their text, and equal rows by their place in the input, so
+`CACHE` pieces; those of ASCII letters alone, lower-cased, go straight to the merges, others are the
+words of one call for every `TOGETHER` pieces. Texts that name an added token are encoded whole. Null
+texts count as empty: their only id is the end. Null doc_ids come first; rows of one doc_id are ordered by a hash of their text, and equal rows by their place in the input, so
 that a doc_id of any weight is spread over slices. Repeated rows are written as often as they come.
 Other columns are left out. An empty table gives files without rows. Texts are encoded in slices of
 about four megabytes, so the longest single text bounds a task's memory.
@@ -44,6 +44,7 @@ STRIDE = 1000
 STRIPE_BYTES = 64 << 20
 CACHE = 700_000
 TEXT_BYTES = 4 << 20
+TOGETHER = 2000
 
 # Classes of bytes, for cutting texts into pieces.
 _OTHER, _SPACE, _LETTER, _STOP = range(4)
@@ -73,6 +74,13 @@ class _Coder:
         found = self.tokenizer.encode(text.decode(), add_special_tokens=False)
         return np.array(found.ids, np.int32)
 
+    def together(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces encoded as the words of one call, and how many each has."""
+        found = self.tokenizer.encode([p.decode() for p in pieces], is_pretokenized=True,
+                                      add_special_tokens=False)
+        return np.array(found.ids, np.int32), np.bincount(
+            np.array(found.word_ids, np.int64), minlength=len(pieces))
+
     def places(self, pieces: list[bytes]) -> np.ndarray:
         """The place of each distinct piece in the pool; new ones are encoded."""
         if len(self.known) > CACHE:
@@ -85,11 +93,12 @@ class _Coder:
         other = [p for p in new if not _PLAIN(p)]
         merge = self.tokenizer.model.tokenize
         ids = [[t.id for t in merge(p.decode())] for p in plain]
-        ids += [c.ids for c in self.tokenizer.encode_batch(
-            [p.decode() for p in other], add_special_tokens=False)]
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         fresh = np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum()))
-        self.known.update(zip(plain + other, range(len(self.size), len(self.size) + len(ids))))
+        for start in range(0, len(other), TOGETHER):
+            some, counts = self.together(other[start:start + TOGETHER])
+            fresh, sizes = np.append(fresh, some), np.append(sizes, counts)
+        self.known.update(zip(plain + other, range(len(self.size), len(self.size) + len(sizes))))
         self.first = np.append(self.first, len(self.pool) + np.cumsum(sizes) - sizes)
         self.size = np.append(self.size, sizes)
         self.pool = np.append(self.pool, fresh)

@@ -197,6 +197,16 @@ def test_ids_of_awkward_texts(tokenizer):
         assert found.tolist() == ids_of(tokenizer, text), repr(text)
 
 
+def test_pieces_encoded_together_are_those_encoded_alone(tokenizer):
+    pieces = ["ci\u00f3n", ".", "\u0000", "e\u0301t\u00e9", "\ufffd", "\u4f60\u597d\u4f60", "a.b", "\u200d", "\U0001f600x",
+              "X1-2", "\u00a0", "\u0130I"]
+    ids, counts = token_files._Coder(public_tokenizers.path(token_files.FILE)).together(
+        [p.encode() for p in pieces])
+    alone = [tokenizer.encode(p, add_special_tokens=False).ids for p in pieces]
+    assert counts.tolist() == list(map(len, alone))
+    assert ids.tolist() == [i for found in alone for i in found]
+
+
 def test_token_files_hold_all_rows_in_order(spark, odd, empty, tokenizer):
     reach_workers(spark)
     path = new_folder(spark)
