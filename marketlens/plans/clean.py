@@ -24,10 +24,10 @@ from marketlens.operators.numbering import number_groups
 from marketlens.operators.order_stats import cell_percentiles, value_cells
 from marketlens.operators.rules import first_failure, passed, rejected
 from marketlens.schema import (
-    CORRECTIONS, FUEL_TYPES, KEYS, LEAD_SOURCES, MALFORMED_RULE, MILEAGE_BRACKETS, RAW_COLUMNS,
-    SOFT_FLAGS, STATUSES, VALUE_BANDS, VEHICLE_CONDITIONS, curated_schema,
+    CORRECTIONS, FUEL_TYPES, KEYS, LEAD_SOURCES, MALFORMED_RULE, MILEAGE_BRACKETS, QUOTE_BUCKETS,
+    RAW_COLUMNS, SOFT_FLAGS, STATUSES, VALUE_BANDS, VEHICLE_CONDITIONS, curated_schema,
 )
-from marketlens.session import Workspace
+from marketlens.session import Workspace, buckets_for
 
 __all__ = ["Cleaned", "clean_tables"]
 
@@ -45,28 +45,38 @@ class Cleaned:
     origins: dict[str, DataFrame] = field(default_factory=dict)
 
 
-def _prepare(raw: DataFrame, table: str, keys: list[str]) -> DataFrame:
-    """Keep the raw columns for the quarantine payload and normalise the key columns."""
+FACTS = ("fact_inquiry", "fact_quote")
+
+
+def _prepare(raw: DataFrame, table: str, keys: list[str],
+             cleaned: dict[str, str] | None = None) -> DataFrame:
+    """Keep the raw columns for the quarantine payload and normalise the key columns.
+
+    `cleaned` names the columns of the raw table that hold a key already normalised.
+    """
+    cleaned = cleaned or {}
     T.require_columns(raw, [*RAW_COLUMNS[table], "_ordinal"], table)
     return raw.select(
         *[F.col(name).alias(f"raw_{name}") for name in RAW_COLUMNS[table]],
-        *[T.business_key(name).alias(name) for name in keys],
+        *[(F.col(cleaned[name]) if name in cleaned else T.business_key(name)).alias(name)
+          for name in keys],
         "_ordinal")
 
 
 def _tag(df: DataFrame, table: str, rules: list[tuple[str, Column]], columns: dict[str, Column],
-         fixes: dict[str, Column], late: bool = False) -> DataFrame:
+         fixes: dict[str, Column], late: bool = False, kept: tuple[str, ...] = ()) -> DataFrame:
     """Final projection of a tagged table; only rejects carry the original row as JSON.
 
-    A fact does not carry it (`late`): `with_payload` looks it up for the rejects, which keep
-    only their key, rule and place.
+    Rejected facts keep only their key, rule, place and the `kept` columns. Where a shuffle would
+    have to carry the original rows of a fact, it goes without (`late`) and `with_payload` looks
+    them up for the rejects.
     """
     tagged = df.withColumn("_rule", first_failure(rules))
     payload = [] if late else [F.when(
         F.col("_rule").isNotNull(), T.record_json(RAW_COLUMNS[table], prefix="raw_"))
         .alias("_payload")]
-    if late:
-        columns = {name: value if name == KEYS[table] else F.when(F.col("_rule").isNull(), value)
+    if table in FACTS:
+        columns = {name: value if name in (KEYS[table], *kept) else F.when(F.col("_rule").isNull(), value)
                    for name, value in columns.items()}
     return tagged.select(
         *[expression.alias(name) for name, expression in columns.items()],
@@ -210,8 +220,13 @@ def tag_inquiries(raw: DataFrame, customers: DataFrame, vehicles: DataFrame) ->
 
 def tag_quotes(raw: DataFrame, inquiries: DataFrame, dealers: DataFrame,
                limit: int = HOT_ROWS) -> DataFrame:
-    df = _prepare(raw, "fact_quote", ["quote_id", "inquiry_id", "dealer_id"]).select(
+    # Rows stored by the cleaned key of their inquiry are joined and ranked where they lie.
+    keyed = QUOTE_BUCKETS in raw.columns
+    df = _prepare(raw, "fact_quote", ["quote_id", "inquiry_id", "dealer_id"],
+                  {"inquiry_id": QUOTE_BUCKETS} if keyed else {})
+    df = df.select(
         "quote_id", "inquiry_id", "dealer_id", "_ordinal",
+        *([c for c in df.columns if c.startswith("raw_")] if keyed else []),
         N.to_day("raw_quote_date").alias("_day"), N.to_number("raw_quote_amount").alias("_amount"),
         N.to_number("raw_response_time_hours").alias("response_time_hours"),
         T.to_flag("raw_accepted_flag").alias("accepted_flag"))
@@ -239,13 +254,14 @@ def tag_quotes(raw: DataFrame, inquiries: DataFrame, dealers: DataFrame,
          "dealer_id": F.col("dealer_id"), "quote_date": day, "quote_amount": amount,
          "response_time_hours": F.col("response_time_hours"),
          "accepted_flag": F.col("accepted_flag")},
-        {}, late=True)
+        {}, late=not keyed, kept=("inquiry_id",) if keyed else ())
 
 
-def impute_response(quotes: DataFrame) -> DataFrame:
+def impute_response(quotes: DataFrame, buckets: int | None = None) -> DataFrame:
     """Fill a missing response time with the dealer median, else the median of all quotes.
 
-    Only the rows with a gap are joined to the medians, so known rows are never shuffled.
+    Only the rows with a gap are joined to the medians, so known rows are never shuffled. Of quotes
+    bucketed by inquiry the filled ones are dealt back to their buckets.
     """
     hours = F.col("response_time_hours")
     known = quotes.filter(hours.isNotNull()).withColumn("_fix_missing_response_time", F.lit(False))
@@ -258,6 +274,8 @@ def impute_response(quotes: DataFrame) -> DataFrame:
         "response_time_hours", F.coalesce("_dealer_median", "_median").cast(N.PARSED))
         .drop("_dealer_median", "_median")
         .withColumn("_fix_missing_response_time", F.lit(True)))
+    if buckets:
+        filled = filled.repartition(buckets, "inquiry_id")
     return known.unionByName(filled)
 
 
@@ -362,9 +380,14 @@ def clean_tables(raw: dict[str, DataFrame], workspace: Workspace,
         tag_inquiries(raw["fact_inquiry"], passed(customers), passed(vehicles)),
         "tagged_inquiry")
     open_inquiries = passed(tagged_inquiries)
-    tagged_quotes = stage(
-        tag_quotes(raw["fact_quote"], open_inquiries, passed(dealers)), "tagged_quote")
-    filled = stage(impute_response(passed(tagged_quotes)), "filled_quote")
+    tagged = tag_quotes(raw["fact_quote"], open_inquiries, passed(dealers))
+    # What is bucketed by inquiry stays so, and is reconciled and ranked without a shuffle.
+    keyed = QUOTE_BUCKETS in raw["fact_quote"].columns
+    buckets = buckets_for(raw["fact_quote"]) if keyed else None
+    by_inquiry = ("inquiry_id", buckets) if keyed else ()
+    tagged_quotes = stage(tagged, "tagged_quote", *by_inquiry)
+    filled = stage(impute_response(passed(tagged_quotes).drop("_payload"), buckets),
+                   "filled_quote", *by_inquiry, placed=True)
     inquiries = stage(reconcile_inquiries(open_inquiries, filled), "reconciled_inquiry")
     quotes = stage(
         enrich_quotes(filled, passed(inquiries), workspace)
@@ -386,11 +409,11 @@ def clean_tables(raw: dict[str, DataFrame], workspace: Workspace,
         tagged={
             "dim_customer": [customers], "dim_vehicle": [vehicles], "dim_dealer": [dealers],
             "dim_date": [dates], "fact_inquiry": [tagged_inquiries, inquiries],
-            "fact_quote": [tagged_quotes, quotes],
+            "fact_quote": [tagged_quotes.drop("_payload"), quotes],
         },
         rejects={table: [*([malformed[table]] if table in malformed else []), *found]
                  for table, found in charged.items()},
-        origins={name: raw[name] for name in ("fact_inquiry", "fact_quote")})
+        origins={name: raw[name] for name in FACTS})
 
 
 def known_issues(table: str) -> dict[str, tuple[str, str]]:

@@ -14,10 +14,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from marketlens.functions import text as T
 from marketlens.functions.calendar import date_spine
 from marketlens.operators.hot import HOT_ROWS, hot_buckets, split_hot
 from marketlens.operators.joins import join_null_safe
-from marketlens.session import Workspace
+from marketlens.schema import QUOTE_BUCKETS
+from marketlens.session import Workspace, buckets_for
 
 # Source words as the raw layer spells them.
 LEAD_TEXT = {
@@ -131,9 +133,15 @@ def dealers(spark: SparkSession, folder: str) -> DataFrame:
 LINE_ORDER = ["ship_day", "l_partkey", "l_suppkey", "price", "_file", "_row"]
 
 
+def _inquiry_key(order: str) -> Column:
+    """The inquiry of an order as cleaning spells it; lines are stored by it."""
+    return T.business_key(_id("I", order))
+
+
 def _lines(spark: SparkSession, folder: str) -> DataFrame:
     return _read(spark, folder, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        _inquiry_key("l_orderkey").alias(QUOTE_BUCKETS), "l_orderkey", "l_linenumber",
+        "l_partkey", "l_suppkey",
         _money("l_extendedprice").alias("price"), _money("l_quantity").alias("hours"),
         F.col("l_discount").cast("decimal(4,2)").alias("discount"),
         F.col("l_tax").cast("decimal(4,2)").alias("tax"), "l_returnflag",
@@ -142,7 +150,7 @@ def _lines(spark: SparkSession, folder: str) -> DataFrame:
 
 def _marked(lines: DataFrame) -> DataFrame:
     """`_best`, the best bid of its order, and `_first_part`, the part of the first line."""
-    inside = Window.partitionBy("l_orderkey")
+    inside = Window.partitionBy(QUOTE_BUCKETS)
     bids = inside.orderBy(*[F.col(c).desc() for c in ("price", "l_linenumber", *LINE_ORDER)])
     return lines.withColumn("_best", F.row_number().over(bids) == 1).withColumn(
         "_first_part",
@@ -162,21 +170,36 @@ def _marked_hot(lines: DataFrame) -> DataFrame:
         "_start", "_top")
 
 
-def order_lines(spark: SparkSession, folder: str, limit: int = HOT_ROWS) -> DataFrame:
-    """The lines with their marks and `_won`, whether their order is won; one shuffle by order."""
+def order_lines(spark: SparkSession, folder: str, limit: int = HOT_ROWS,
+                workspace: Workspace | None = None) -> DataFrame:
+    """The lines with their marks and `_won`, whether their order is won; one shuffle by order.
+
+    With a workspace they are stored, in buckets by `_inquiry_key`, which then stands for the order
+    key, unless an order is hot: the join that splits a hot order has to shuffle.
+    """
     lines = _lines(spark, folder)
     won = spark.read.parquet(f"{folder}/orders.parquet").filter("o_orderstatus = 'F'").select(
-        F.col("o_orderkey").alias("order_key"))
+        _inquiry_key("o_orderkey").alias("order_key"))
     usual, hot = split_hot(lines, ["l_orderkey"], hot_buckets(lines, ["l_orderkey"], limit))
+    bucketed = workspace is not None and hot is None
+    if bucketed:
+        buckets = buckets_for(spark.read.parquet(f"{folder}/lineitem.parquet"))
+        usual = usual.drop("l_orderkey").repartition(buckets, QUOTE_BUCKETS)
     parts = [_marked(usual)] + ([] if hot is None else [_marked_hot(hot)])
-    return reduce(lambda a, b: a.unionByName(b), [
-        part.join(won, F.col("l_orderkey") == F.col("order_key"), "left")
+    marked = reduce(lambda a, b: a.unionByName(b), [
+        part.join(won, F.col(QUOTE_BUCKETS) == F.col("order_key"), "left")
         .withColumn("_won", F.col("order_key").isNotNull()).drop("order_key") for part in parts])
+    if workspace is None:
+        return marked
+    if bucketed:
+        return workspace.stage(marked, "order_lines", QUOTE_BUCKETS, buckets)
+    return workspace.stage(marked.drop(QUOTE_BUCKETS), "order_lines")
 
 
 def _per_order(lines: DataFrame) -> DataFrame:
     """First part and best bid of each order."""
-    return lines.filter("_best").groupBy(F.col("l_orderkey").alias("order_key")).agg(
+    key = F.col(QUOTE_BUCKETS) if QUOTE_BUCKETS in lines.columns else _inquiry_key("l_orderkey")
+    return lines.filter("_best").groupBy(key.alias("order_key")).agg(
         F.first("_first_part").alias("part_key"), F.first("price").alias("best_price"),
         F.first("l_suppkey").alias("best_dealer"), F.first("ship_day").alias("best_day"))
 
@@ -186,7 +209,7 @@ def inquiries(spark: SparkSession, folder: str, per_order: DataFrame) -> DataFra
     day = F.to_date("o_orderdate")
     won = F.col("o_orderstatus") == "F"
     orders = _read(spark, folder, "orders")
-    rows = orders.join(per_order, F.col("o_orderkey") == F.col("order_key"), "left").select(
+    rows = orders.join(per_order, _inquiry_key("o_orderkey") == F.col("order_key"), "left").select(
         _id("I", "o_orderkey").alias("inquiry_id"),
         _id("C", "o_custkey").alias("customer_id"),
         _id("V", "part_key").alias("vehicle_id"),
@@ -208,10 +231,12 @@ def inquiries(spark: SparkSession, folder: str, per_order: DataFrame) -> DataFra
 def quotes(lines: DataFrame) -> DataFrame:
     accepted = F.col("_best") & F.col("_won") & F.col("l_linenumber").isNotNull()
     dealer = _id("D", "l_suppkey")
+    keyed = QUOTE_BUCKETS in lines.columns
+    order = F.substr(QUOTE_BUCKETS, F.lit(2)) if keyed else F.col("l_orderkey").cast("string")
     return lines.select(
-        F.concat(F.lit("Q"), F.col("l_orderkey").cast("string"), F.lit("-"),
-                 F.col("l_linenumber").cast("string")).alias("quote_id"),
-        _id("I", "l_orderkey").alias("inquiry_id"),
+        F.concat(F.lit("Q"), order, F.lit("-"), F.col("l_linenumber").cast("string"))
+        .alias("quote_id"),
+        F.concat(F.lit("I"), order).alias("inquiry_id"),
         F.when(F.col("l_returnflag") == "R", F.concat(F.lit(" "), F.lower(dealer)))
         .otherwise(dealer).alias("dealer_id"),
         F.when((F.col("hours") == 50) & (F.col("tax") == 0), "not-a-date")
@@ -224,7 +249,8 @@ def quotes(lines: DataFrame) -> DataFrame:
         .alias("response_time_hours"),
         F.col("l_linenumber").cast("string").alias("quote_rank"),
         F.when(accepted, "true").otherwise("false").alias("accepted_flag"),
-        F.struct(*LINE_ORDER).alias("_ordinal"))
+        F.struct(*LINE_ORDER).alias("_ordinal"),
+        *([QUOTE_BUCKETS] if keyed else []))
 
 
 def dates(spark: SparkSession, folder: str) -> DataFrame:
@@ -249,9 +275,7 @@ def dates(spark: SparkSession, folder: str) -> DataFrame:
 def raw_tables(spark: SparkSession, folder: str,
                workspace: Workspace | None = None) -> dict[str, DataFrame]:
     """The six raw tables; with a workspace they are landed once and read back from there."""
-    lines = order_lines(spark, folder)
-    if workspace is not None:
-        lines = workspace.stage(lines, "order_lines")
+    lines = order_lines(spark, folder, workspace=workspace)
     tables = {
         "dim_customer": customers(spark, folder), "dim_vehicle": vehicles(spark, folder),
         "dim_dealer": dealers(spark, folder),

@@ -8,8 +8,9 @@ from marketlens.operators.dedupe import flag_later_copies, flag_stored_copies
 from marketlens.operators.hot import copies_stay_within, hot_buckets
 from marketlens.operators.joins import unknown_keys
 from marketlens.operators.numbering import number_groups
-from marketlens.plans.clean import tag_quotes
-from marketlens.session import Workspace
+from marketlens.plans.clean import impute_response, tag_quotes, with_payload
+from marketlens.schema import QUOTE_BUCKETS
+from marketlens.session import Workspace, buckets_for
 from marketlens.sources import star
 
 from tests.conftest import rows
@@ -88,3 +89,42 @@ def test_quotes_are_tagged_in_one_wide_shuffle(spark):
     assert sorted(rows(one), key=str) == sorted(rows(several), key=str)
     assert one.filter("_rule = 'duplicate_primary_key'").count() > 0
     assert wide_shuffles(one, "_ordinal") <= 1 < wide_shuffles(several, "_ordinal")
+
+
+def test_bucketed_quotes_are_tagged_and_filled_where_they_lie(spark):
+    space = Workspace(spark, "buckets")
+    plain = star.quotes(space.stage(star.order_lines(spark, SMALL).drop(QUOTE_BUCKETS), "lines"))
+    keyed = star.quotes(star.order_lines(spark, SMALL, workspace=space))
+    assert sorted(rows(keyed.select(plain.columns)), key=str) == sorted(rows(plain), key=str)
+    inquiries = plain.select("inquiry_id").distinct().withColumn(
+        "inquiry_date", F.lit("1996-01-01").cast("date"))
+    dealers = spark.createDataFrame([(f"D{i}",) for i in range(0, 200, 2)], "dealer_id string")
+    tagged = tag_quotes(keyed, inquiries, dealers)
+    late = tag_quotes(plain, inquiries, dealers)
+    assert wide_shuffles(tagged, "_ordinal") == 0
+    same = [c for c in late.columns if c != "inquiry_id"]
+    assert sorted(rows(tagged.select(same)), key=str) == sorted(rows(late.select(same)), key=str)
+    looked_up = with_payload(late.filter("_rule is not null"), plain, "fact_quote")
+    found = tagged.filter("_rule is not null").select("_ordinal", "_payload")
+    assert sorted(rows(found), key=str) == sorted(rows(looked_up.select(found.columns)), key=str)
+
+    n = buckets_for(keyed)
+    stored = space.stage(tagged, "tagged", "inquiry_id", n)
+    passing = stored.filter("_rule is null").drop("_payload")
+    filled = space.stage(impute_response(passing, n), "filled", "inquiry_id", n, placed=True)
+    expected = impute_response(late.filter("_rule is null"))
+    assert sorted(rows(filled), key=str) == sorted(rows(expected.select(filled.columns)), key=str)
+    per_inquiry = filled.groupBy("inquiry_id").agg(F.count("quote_id").alias("n"))
+    assert "Exchange" not in per_inquiry._jdf.queryExecution().executedPlan().toString()
+    again = filled.groupBy("inquiry_id").agg(F.count("quote_id").alias("n")).collect()
+    want = expected.groupBy("inquiry_id").agg(F.count("quote_id").alias("n")).collect()
+    assert sorted(again, key=str) == sorted(want, key=str)
+
+
+def test_orders_with_a_hot_one_are_not_bucketed(spark):
+    space, other = Workspace(spark, "hot-lines"), Workspace(spark, "usual-lines")
+    hot = star.order_lines(spark, SMALL, limit=4, workspace=space)
+    usual = star.order_lines(spark, SMALL, workspace=other)
+    assert QUOTE_BUCKETS not in hot.columns and not space.bucketed and other.bucketed
+    a, b = star.quotes(hot), star.quotes(usual)
+    assert sorted(rows(a), key=str) == sorted(rows(b.select(a.columns)), key=str)
