@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -35,39 +36,62 @@ def _lookup_literal(words: dict[str, str], column: str):
     return F.try_element_at(F.create_map(*pairs), F.col(column))
 
 
-def _rejects(cleaned: Cleaned, whole: bool) -> DataFrame:
-    """All rejected rows; whole ones have their original row, and `_place` orders tables and rules."""
+def _rejects(cleaned: Cleaned) -> DataFrame:
+    """All rejected rows without their original rows."""
     parts = []
-    for number, table in enumerate(TABLE_ORDER):
-        actions = {MALFORMED_RULE: MALFORMED_ACTION, **REJECT_RULES[table]}
+    for table in TABLE_ORDER:
         for rows in cleaned.rejects[table]:
-            if whole and "_payload" not in rows.columns:
-                rows = with_payload(rows, cleaned.origins[table], table)
-            place = F.array_position(F.array(*[F.lit(r) for r in actions]), F.col("_rule"))
-            extra = [F.col("_payload").alias("record_payload"),
-                     (F.lit(number * 100) + place).cast("int").alias("_place"),
-                     source_key(rows).alias("_source_order")] if whole else []
-            parts.append(rows.select(
-                F.lit(table).alias("table_name"),
-                F.coalesce(F.col(KEYS[table]).cast("string"), F.lit("<NULL>"))
-                .alias("record_id"),
-                F.col("_rule").alias("issue_type"),
-                _lookup_literal(actions, "_rule").alias("action"),
-                F.to_timestamp(F.lit(DETECTED_AT)).alias("detected_at"), *extra))
+            parts.append(rows.select(F.lit(table).alias("table_name"), *_reject_columns(table)))
     return _union(parts)
 
 
+def _actions(table: str) -> dict[str, str]:
+    return {MALFORMED_RULE: MALFORMED_ACTION, **REJECT_RULES[table]}
+
+
+def _reject_columns(table: str) -> list[Column]:
+    return [F.coalesce(F.col(KEYS[table]).cast("string"), F.lit("<NULL>")).alias("record_id"),
+            F.col("_rule").alias("issue_type"),
+            _lookup_literal(_actions(table), "_rule").alias("action")]
+
+
+def _numbered_rejects(cleaned: Cleaned, workspace: Workspace, table: str) -> DataFrame:
+    """The whole rejects of a table, numbered by rule and source order.
+
+    Rows of one table compare by their own ordinals; only frames of different ordinals need
+    `source_key`.
+    """
+    frames = [with_payload(rows, cleaned.origins[table], table) if "_payload" not in rows.columns
+              else rows for rows in cleaned.rejects[table]]
+    alike = len({rows.schema["_ordinal"].dataType.simpleString() for rows in frames}) == 1
+    place = F.array_position(F.array(*[F.lit(r) for r in _actions(table)]), F.col("_rule"))
+    whole = _union([rows.select(
+        *_reject_columns(table), F.col("_payload").alias("record_payload"),
+        place.cast("int").alias("_place"),
+        (F.col("_ordinal") if alike else source_key(rows)).alias("_source_order"))
+        for rows in frames])
+    order = [F.col("_place"), F.col("_source_order"), F.col("record_id")]
+    return range_numbered(workspace, whole, f"quarantine_{table}", order, "_n").drop(
+        "_place", "_source_order").withColumn("table_name", F.lit(table))
+
+
 def quarantined_records(cleaned: Cleaned, workspace: Workspace) -> DataFrame:
     """Every rejected row with its original values and a consecutive identifier.
 
     Tables and rules come in the order they were applied, rows of a rule in source order. Rejects
-    are unbounded, so they are numbered by range slices instead of one global window.
+    are unbounded, so those of a table are numbered by range slices instead of one global window,
+    and go on from the last number of the table before.
     """
-    order = [F.col("_place"), F.col("_source_order"), F.col("record_id")]
-    numbered = range_numbered(workspace, _rejects(cleaned, True), "quarantine_slices", order, "_n")
+    with ThreadPoolExecutor(len(TABLE_ORDER)) as pool:
+        parts = list(pool.map(lambda t: _numbered_rejects(cleaned, workspace, t), TABLE_ORDER))
+        sizes = list(pool.map(lambda part: part.count(), parts))
+    earlier = [sum(sizes[:i]) for i in range(len(parts))]
+    numbered = _union([part.withColumn("_n", F.col("_n") + F.lit(before).cast("int"))
+                       for part, before in zip(parts, earlier)])
     return numbered.select(
         F.format_string("QR%07d", "_n").alias("quarantine_id"), "table_name", "record_id",
-        "issue_type", "action", "detected_at", "record_payload")
+        "issue_type", "action", F.to_timestamp(F.lit(DETECTED_AT)).alias("detected_at"),
+        "record_payload")
 
 
 def issue_counts(cleaned: Cleaned) -> DataFrame:
@@ -85,7 +109,7 @@ def issue_counts(cleaned: Cleaned) -> DataFrame:
                     for n in fixes]))
                 parts.append(wide.select(entries.alias("e")).select(
                     F.lit(table).alias("table_name"), "e.*"))
-    rejects = _rejects(cleaned, False).groupBy("table_name", "issue_type", "action").agg(
+    rejects = _rejects(cleaned).groupBy("table_name", "issue_type", "action").agg(
         N.rows().alias("affected_rows"))
     parts.append(rejects.select(
         "table_name", "issue_type", "affected_rows", "action",
@@ -193,7 +217,7 @@ def run_summary(raw: dict[str, DataFrame], cleaned: Cleaned, counts: DataFrame)
         .alias("duplicate_records"),
         N.total("affected_rows", F.col("issue_type").isin(corrections))
         .alias("corrected_records"))
-    rejects = _rejects(cleaned, False).groupBy("table_name").agg(
+    rejects = _rejects(cleaned).groupBy("table_name").agg(
         F.count_distinct("record_id").alias("quarantined_records"))
     return (sizes.join(issues, "table_name", "left").join(rejects, "table_name", "left")
             .join(clean, "table_name", "left")

@@ -39,3 +39,37 @@ def test_quarantine_follows_the_source(spark):
     numbers = [int(r.record_id[1:]) for r in found]
     assert numbers == sorted(numbers) != sorted(numbers, key=str)
     assert all('"vehicle_id":"' + r.record_id + '"' in r.record_payload for r in found)
+
+
+def test_rejects_are_numbered_by_table_and_across_ordinals(spark):
+    from marketlens.plans.clean import Cleaned
+    from marketlens.plans.quality import TABLE_ORDER, quarantined_records
+    from marketlens.schema import KEYS, MALFORMED_RULE, REJECT_RULES
+    from marketlens.session import Workspace
+
+    def rejects(table, rule, ordinals, kind):
+        return spark.createDataFrame(
+            [(f"{rule[:3]}{i}", rule, o, "{}") for i, o in enumerate(ordinals)],
+            f"{KEYS[table]} string, _rule string, _ordinal {kind}, _payload string")
+
+    frames = {table: [rejects(table, next(iter(REJECT_RULES[table])), [30, 4, 100], "long")]
+              for table in TABLE_ORDER}
+    frames["dim_dealer"].append(rejects("dim_dealer", MALFORMED_RULE, [("b", 9), ("b", 10), ("a", 7)],
+                                        "struct<file: string, row: long>"))
+    space = Workspace(spark, "numbers")
+    found = quarantined_records(Cleaned({}, rejects=frames), space).orderBy("quarantine_id").collect()
+    assert [r.quarantine_id for r in found] == [f"QR{n:07d}" for n in range(1, 22)]
+    assert list(dict.fromkeys(r.table_name for r in found)) == TABLE_ORDER
+    for table in TABLE_ORDER:
+        numbers = [r.record_id[3:] for r in found
+                   if r.table_name == table and r.issue_type != MALFORMED_RULE]
+        assert numbers == ["1", "0", "2"]
+    assert [r.record_id[3:] for r in found if r.issue_type == MALFORMED_RULE] == ["2", "0", "1"]
+
+
+def test_rejected_quotes_need_no_lookup(spark):
+    import __spark_entry__ as registered
+    cleaned = registered.run_for(spark, "/root/testdata/sf0.001").cleaned
+    (quotes,) = cleaned.rejects["fact_quote"]
+    assert "_payload" in quotes.columns and not quotes.isEmpty()
+    assert quotes.filter("_payload is null").isEmpty()
