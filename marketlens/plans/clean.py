@@ -184,7 +184,8 @@ def tag_dates(raw: DataFrame) -> DataFrame:
 def tag_inquiries(raw: DataFrame, customers: DataFrame, vehicles: DataFrame) -> DataFrame:
     """Dedupe and check inquiries; market value and build year come along for enrichment."""
     df = _prepare(raw, "fact_inquiry",
-                  ["inquiry_id", "customer_id", "vehicle_id", "winning_dealer_id"])
+                  ["inquiry_id", "customer_id", "vehicle_id", "winning_dealer_id"],
+                  {"inquiry_id": QUOTE_BUCKETS} if QUOTE_BUCKETS in raw.columns else {})
     df = df.select(
         "inquiry_id", "customer_id", "vehicle_id", "winning_dealer_id", "_ordinal",
         N.to_day("raw_inquiry_date").alias("_day"),
@@ -376,19 +377,20 @@ def clean_tables(raw: dict[str, DataFrame], workspace: Workspace,
         "tagged_dealer": tag_dealers(raw["dim_dealer"]),
         "tagged_date": tag_dates(raw["dim_date"]),
     }).values()
+    # What is bucketed by inquiry stays so, and is joined, reconciled and ranked without a shuffle.
+    keyed = QUOTE_BUCKETS in raw["fact_quote"].columns
+    buckets = buckets_for(raw["fact_quote"]) if keyed else None
+    by_inquiry = ("inquiry_id", buckets) if keyed else ()
     tagged_inquiries = stage(
         tag_inquiries(raw["fact_inquiry"], passed(customers), passed(vehicles)),
-        "tagged_inquiry")
+        "tagged_inquiry", *by_inquiry)
     open_inquiries = passed(tagged_inquiries)
     tagged = tag_quotes(raw["fact_quote"], open_inquiries, passed(dealers))
-    # What is bucketed by inquiry stays so, and is reconciled and ranked without a shuffle.
-    keyed = QUOTE_BUCKETS in raw["fact_quote"].columns
-    buckets = buckets_for(raw["fact_quote"]) if keyed else None
-    by_inquiry = ("inquiry_id", buckets) if keyed else ()
     tagged_quotes = stage(tagged, "tagged_quote", *by_inquiry)
     filled = stage(impute_response(passed(tagged_quotes).drop("_payload"), buckets),
                    "filled_quote", *by_inquiry, placed=True)
-    inquiries = stage(reconcile_inquiries(open_inquiries, filled), "reconciled_inquiry")
+    inquiries = stage(reconcile_inquiries(open_inquiries, filled), "reconciled_inquiry",
+                      *by_inquiry)
     quotes = stage(
         enrich_quotes(filled, passed(inquiries), workspace)
         .withColumn("anomaly_flag", F.col("_fix_quote_to_market_anomaly")), "enriched_quote")

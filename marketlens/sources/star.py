@@ -223,6 +223,7 @@ def inquiries(spark: SparkSession, folder: str, per_order: DataFrame) -> DataFra
         F.when(won, "Yes").otherwise("no").alias("conversion_flag"),
         F.when(won, F.abs(F.date_diff(F.col("best_day"), day))).cast("string")
         .alias("days_to_conversion"),
+        _inquiry_key("o_orderkey").alias(QUOTE_BUCKETS),
         amount.alias("_amount"), F.col("_file"), F.col("_row"))
     rows = _with_copies(rows, F.col("_amount") > 495_000, status=F.lit("Open"))
     return rows.withColumn("_ordinal", _ordinal("_copy")).drop("_amount", "_copy", "_file", "_row")
@@ -282,8 +283,13 @@ def raw_tables(spark: SparkSession, folder: str,
         "fact_inquiry": inquiries(spark, folder, _per_order(lines)),
         "dim_date": dates(spark, folder),
     }
+    if QUOTE_BUCKETS not in lines.columns or workspace is None:
+        tables["fact_inquiry"] = tables["fact_inquiry"].drop(QUOTE_BUCKETS)
     if workspace is not None:
-        landed = workspace.stage_all({f"raw_{name}": df for name, df in tables.items()})
+        # Inquiries come from a join with the lines, so they lie as these do.
+        by_inquiry = {"raw_fact_inquiry": (QUOTE_BUCKETS, buckets_for(lines), True)} \
+            if QUOTE_BUCKETS in tables["fact_inquiry"].columns else {}
+        landed = workspace.stage_all({f"raw_{name}": df for name, df in tables.items()}, by_inquiry)
         tables = {name: landed[f"raw_{name}"] for name in tables}
     # Quotes are the stored lines in other words, so they are not written again.
     return {**tables, "fact_quote": quotes(lines)}
