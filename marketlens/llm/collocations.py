@@ -7,12 +7,17 @@ over the dictionaries; those with at least `min_count` occurrences get an id, wh
 a join on the dictionaries.
 
 A relation holds occurrences (at, g): a group of `size` words with id g starts at position `at`.
-Positions are unique, and adjacent ones lie in one piece. They are dealt in blocks of `BLOCK`; the
-first position of a block is also given to the block before, so that neighbours always meet.
-Relation k+1 is the stored merge join of relation k with itself at the next position: two groups
-that overlap are one of k+1 words. Its groups are counted, and those with at least `min_count` get
-ids; the join with them is the semi-join that prunes the relation before it is extended again. Ids
-are exact, no hashes stand for words, and every join has whole numbers as its key.
+Positions are unique, and adjacent ones lie in one piece. The first relation is stored in order, as
+blocks of `BLOCK` positions; the first position of a block is also given to the block before, so that
+neighbours always meet and the next position is the next element. Later relations are stored as rows.
+Relation k+1 joins relation k with itself at the next position, by place in the blocks and by merge
+joins on the rows: two groups that overlap are one of k+1 words. Its groups are counted, and those
+with at least `min_count` get ids; the join with them is the semi-join that prunes the relation before
+it is extended again. Ids are exact, no hashes stand for words, and every join of relations has whole
+numbers as its key.
+
+The joins that bring ids hash the frequent words and groups of a partition rather than sort their
+occurrences, of which each has at least `min_count`; a task holds its partition's groups in memory.
 
 A phrase scores the lowest of floor(SCALE * a * a / (l * r)) over its cuts, in decimals of 38
 digits. A phrase inside a longer candidate with COVER percent of its count or more goes; as counts
@@ -56,9 +61,6 @@ _LOWER = np.frombuffer(LOWER, np.uint8)
 GAP = -1
 BLOCK = 4096
 
-# Relations stay dealt by block through the joins on (at, block).
-_BY_BLOCK = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
-
 
 def _list(values: pa.Array, lengths: list[int]) -> pa.ListArray:
     """Consecutive values as lists of the given lengths."""
@@ -127,9 +129,10 @@ def _numbered(groups: DataFrame) -> tuple[DataFrame, int]:
 
 def _numbered_words(cut: DataFrame, min_count: int) -> tuple[DataFrame, int]:
     """Frequent words of each language: `lang`, `word`, `f` and `g`."""
-    told = cut.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("e"))
-    return _numbered(told.groupBy(F.col("e.words").alias("word"), "lang").agg(
-        F.sum("e.counts").alias("f")).where(F.col("f") >= min_count))
+    told = cut.select("lang", "counts", F.posexplode("words").alias("code", "word")).select(
+        "word", "lang", F.get("counts", "code").alias("count"))
+    return _numbered(told.groupBy("word", "lang").agg(F.sum("count").alias("f")).where(
+        F.col("f") >= min_count))
 
 
 def _occurrences(cut: DataFrame, words: DataFrame) -> DataFrame:
@@ -138,7 +141,8 @@ def _occurrences(cut: DataFrame, words: DataFrame) -> DataFrame:
     A block ends with the first id of the next block of its run.
     """
     entries = cut.select("run", "lang", F.posexplode("words").alias("code", "word"))
-    known = entries.join(words.select("word", "lang", "g"), ["word", "lang"]).groupBy("run").agg(
+    known = entries.join(words.select("word", "lang", "g").hint("shuffle_hash"),
+                         ["word", "lang"]).groupBy("run").agg(
         F.collect_list(F.struct("code", "g")).alias("ids"))
     named = cut.select("run", "codes").join(known, "run").select(
         "run", "codes", F.col("ids.code").alias("known"), F.col("ids.g").alias("g"))
@@ -161,11 +165,17 @@ def _occurrences(cut: DataFrame, words: DataFrame) -> DataFrame:
     return stored(named.mapInArrow(number, "block long, ids array<long>"))
 
 
+def _neighbours(blocks: DataFrame) -> DataFrame:
+    """`at`, `g` and the group `h` at the next position, for the blocks of the first relation."""
+    return blocks.select("block", "ids", F.posexplode("ids").alias("at", "g")).select(
+        F.expr(f"block * {BLOCK} + at").alias("at"), "g",
+        F.get("ids", F.col("at") + 1).alias("h")).where("g is not null and h is not null")
+
+
 def _pairs(relation: DataFrame) -> DataFrame:
-    """`at`, `g` and the group `h` at the next position, for a relation dealt by block."""
-    left = relation.where(F.expr(f"at div {BLOCK} = block"))
-    right = relation.select("block", (F.col("at") - 1).alias("at"), F.col("g").alias("h"))
-    return left.join(right.hint("merge"), ["at", "block"]).select("at", "g", "h")
+    """`at`, `g` and the group `h` at the next position, for a relation of rows (at, g)."""
+    right = relation.select((F.col("at") - 1).alias("at"), F.col("g").alias("h"))
+    return relation.join(right.hint("merge"), "at").select("at", "g", "h")
 
 
 def _grown(pairs: DataFrame, ids: int, min_count: int) -> tuple[DataFrame, int, Column]:
@@ -193,27 +203,21 @@ def frequent(docs: DataFrame, text: str = "text", min_count: int = MIN_COUNT,
         "counts", F.lit(0).cast("long"), lambda a, b: a + b)).alias("n")))
     words, ids = _numbered_words(cut, min_count)
     groups = [words]
-    blocks = _occurrences(cut, words)
+    relation = _occurrences(cut, words)
     discard(cut)
-    relation = blocks.repartition("block").sortWithinPartitions("block").select(
-        "block", F.posexplode("ids").alias("at", "g")).where("g is not null").select(
-        "block", F.expr(f"block * {BLOCK} + at").alias("at"), "g")
-    used = blocks
     for size in range(2, max_words + 1):
-        with with_settings(docs.sparkSession, _BY_BLOCK):
-            pairs = _pairs(relation) if size == max_words else stored(_pairs(relation))
-            found, ids, key = _grown(pairs, ids, min_count)
-        discard(used)
+        # Neighbours in blocks cost less to find again than to store.
+        pairs = (_neighbours(relation) if size == 2 else
+                 _pairs(relation) if size == max_words else stored(_pairs(relation)))
+        found, ids, key = _grown(pairs, ids, min_count)
         groups.append(found)
+        used = relation
         if size < max_words:
-            kept = pairs.select("at", key.alias("key")).join(
-                found.select("key", F.col("g").alias("g")).hint("merge"), "key")
-            used = stored(kept.select("at", "g"))
-            discard(pairs)
-            own = F.expr(f"at div {BLOCK}")
-            relation = used.withColumn("block", F.explode(F.when(
-                F.col("at") % BLOCK == 0, F.array(own, own - 1)).otherwise(F.array(own)))
-                ).repartition("block")
+            relation = stored(pairs.select("at", key.alias("key")).join(
+                found.select("key", "g").hint("shuffle_hash"), "key").select("at", "g"))
+            if size > 2:
+                discard(pairs)
+        discard(used)
     return groups, totals
 
 

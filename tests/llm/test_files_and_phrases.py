@@ -152,6 +152,42 @@ def test_collocations_across_blocks_and_pieces(spark):
         phrases(docs.collect(), 10, 3, 2000))
 
 
+def test_collocations_of_whole_blocks(spark):
+    """Runs that end at, before and after the end of a block do not reach into the next run."""
+    rng = random.Random(5)
+    rows = []
+    for i, extra in enumerate((-1, 0, 1, collocations.BLOCK)):
+        words = [rng.choice("abcdef") for _ in range(collocations.BLOCK + extra)]
+        rows += [(i, " ".join(words), f"l{i}"), (i, "a b c d", f"l{i}x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1)
+    for longest in (3, 4):
+        found = collocations.collocations(docs, max_words=longest)
+        assert sorted(map(tuple, found.collect())) == sorted(
+            phrases(docs.collect(), 10, longest, 2000))
+
+
+def test_rare_groups_are_not_stored(spark, monkeypatch):
+    """Of the rows by position only those of frequent groups are written, no rare pair."""
+    words = [f"w{i}" for i in range(60)]
+    rng = random.Random(8)
+    rare = " ".join(f"{a} {b}." for a in words for b in rng.sample(words, 50) if a < b)
+    docs = spark.createDataFrame([(1, rare + " w0 x y." * 12, "en")],
+                                 "doc_id long, text string, lang string")
+    written = []
+
+    def stored(df):
+        kept = store(df)
+        if "at" in df.columns:
+            written.append(kept.count())
+        return kept
+
+    store = collocations.stored
+    monkeypatch.setattr(collocations, "stored", stored)
+    found = collocations.collocations(docs)
+    assert [r.phrase for r in found.collect()] == ["w0 x y"]
+    assert written == [24]
+
+
 def test_long_keys(spark):
     """Ids too large for one long make decimal keys with the same groups."""
     pairs = spark.createDataFrame([(i, 5, 7) for i in range(12)] + [(20, 6, 7)],
